@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,14 +37,10 @@ def read_user_weeks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(USER_WEEKS).parquet(path)
 
 
-def _new_users(first_weeks: DataFrame) -> DataFrame:
-    return first_weeks.groupBy("week").agg(F.count("user_id").alias("new_users"))
-
-
 def first_seen_week(events: DataFrame) -> DataFrame:
     """New users per week: a user is new in the first week with an event."""
     first = events.groupBy("user_id").agg(F.min(week_start(event_date())).alias("week"))
-    return _new_users(first).orderBy("week")
+    return first.groupBy("week").agg(F.count("user_id").alias("new_users")).orderBy("week")
 
 
 def weekly_dynamics(weeks: DataFrame) -> DataFrame:
@@ -53,33 +49,30 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
     "Retained" is everyone who is not new, returning users included; "gone" is
     retained minus last week's active users, so it is normally negative.
 
-    The events are read and shuffled once: both counts below start from the
-    same distinct rows, whose exchange Spark reuses. From there on there is
-    one row per week. Each week also passes its active users on to the
-    calendar week after it; a week following a gap hence finds none and
-    counts 0.
+    A user's first week comes from a window over the distinct rows, not from
+    a second pass over the events; it holds one row per week the user was
+    active. From there on there is one row per week. Each week also passes its
+    active users on to the calendar week after it; a week following a gap
+    hence finds none and counts 0.
     """
     none = F.lit(0).cast("bigint")
-    active = weeks.groupBy("week").agg(F.count("user_id").alias("active_users"))
-    first = weeks.groupBy("user_id").agg(F.min("week").alias("week"))
-    counts = active.select("week", "active_users", none.alias("new_users")).unionByName(
-        _new_users(first).select("week", none.alias("active_users"), "new_users")
+    first = F.min("week").over(Window.partitionBy("user_id"))
+    counts = (
+        weeks.withColumn("first_week", first)
+        .groupBy("week")
+        .agg(
+            F.count("user_id").alias("active_users"),
+            F.count_if(F.col("week") == F.col("first_week")).alias("new_users"),
+        )
+    )
+    this_week = F.struct("week", "active_users", "new_users", none.alias("previous_users"))
+    next_week = F.struct(
+        F.date_add("week", 7).alias("week"),
+        none.alias("active_users"),
+        none.alias("new_users"),
+        F.col("active_users").alias("previous_users"),
     )
-    passed_on = counts.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    "week", "active_users", "new_users", none.alias("previous_users")
-                ),
-                F.struct(
-                    F.date_add("week", 7).alias("week"),
-                    none.alias("active_users"),
-                    none.alias("new_users"),
-                    F.col("active_users").alias("previous_users"),
-                ),
-            )
-        ).alias("row")
-    ).select("row.*")
+    passed_on = counts.select(F.explode(F.array(this_week, next_week)).alias("r")).select("r.*")
     retained = F.col("active_users") - F.col("new_users")
     return (
         passed_on.groupBy("week")

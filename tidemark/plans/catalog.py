@@ -284,7 +284,7 @@ def _chart(t: StarSchema) -> DataFrame:
 
 @_query("slot_metrics_15m")
 def _(t):
-    return _alert_slots(t)
+    return _alert_slots(t).orderBy("period")
 
 
 @_query("slot_history")

@@ -111,12 +111,16 @@ class StarSchema:
         )
         return frame.join(country, "account_id", "left").drop("account_id")
 
-    def stream_of_events(self, files_per_batch: int = 1000) -> DataFrame:
-        """The events as a stream; watermarks need ``timestamp``, hence the cast."""
-        return (
-            self.spark.readStream.schema(EVENTS)
-            .option("pathGlobFilter", "events*.parquet")
-            .option("maxFilesPerTrigger", files_per_batch)
-            .parquet(self._folder)
-            .withColumn("ts", F.col("ts").cast("timestamp"))
-        )
+    def stream_of_events(self, files_per_batch: int | None = None) -> DataFrame:
+        """The events as a stream; watermarks need ``timestamp``, hence the cast.
+
+        Without ``files_per_batch`` all files found at the start are one
+        batch, so none is late whatever their order. Limit it only for files
+        that arrive in order of time.
+        """
+        reader = self.spark.readStream.schema(EVENTS)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        # The pattern matches a single file as well as a folder of files.
+        events = reader.parquet(f"{self._folder}/events.parque[t]")
+        return events.withColumn("ts", F.col("ts").cast("timestamp"))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.anomaly import alert_messages, following_days, iqr_bands
 from tidemark.params import Params
+from tidemark.streaming.state import state_on_disk
 from tidemark.streaming.slots import SLOT_METRICS
 
 STORED_SLOTS = T.StructType([*SLOT_METRICS, T.StructField("batch", T.LongType())])
@@ -68,13 +69,14 @@ def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, i
 def run_alerts(
     slots: DataFrame, history: str, alerts: str, checkpoint: str, p: Params
 ) -> StreamingQuery:
-    return (
-        slots.writeStream.outputMode("append")
-        .foreachBatch(alert_writer(history, alerts, p))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_on_disk(slots.sparkSession):
+        return (
+            slots.writeStream.outputMode("append")
+            .foreachBatch(alert_writer(history, alerts, p))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

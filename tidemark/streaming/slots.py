@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.anomaly import slot_metrics, slot_users, tag_services
 from tidemark.params import Params
+from tidemark.streaming.state import state_on_disk
 
 SLOT_METRICS = T.StructType(
     [
@@ -40,14 +41,15 @@ def stream_slot_metrics(
 
 def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Write closed slots to files, working off what is there and then stopping."""
-    return (
-        slots.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_on_disk(slots.sparkSession):
+        return (
+            slots.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def read_slots(spark: SparkSession, path: str) -> DataFrame:

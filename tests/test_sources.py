@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+from datetime import date
+from types import SimpleNamespace
+
+import pytest
+
+from tests.rows import dicts, feed, messages
+from tidemark.operators import cohorts
+from tidemark.params import Params
+from tidemark.plans import catalog, jobs
+from tidemark.sources.scratch import CHECKPOINT_SETTING, shared_folder
+from tidemark.sources.tables import FEED_ACTIONS, MESSAGE_ACTIONS, read_events
+
+P = Params(as_of=date(2024, 1, 30))
+FEED_ROWS = [
+    (1, "2024-01-29 10:00:00.5", "view", None, 23, None),
+    (2, "2024-01-29 23:59:59", "like", 1, 40, "iOS"),
+]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_event_tables_from_files(spark, tmp_path, fmt):
+    f = feed(spark, FEED_ROWS)
+    path = str(tmp_path / fmt)
+    f.write.format(fmt).option("header", "true").save(path)
+    read = read_events(spark, FEED_ACTIONS, path, fmt, header="true")
+    assert read.schema.names == FEED_ACTIONS.names
+    assert [x.dataType for x in read.schema] == [x.dataType for x in FEED_ACTIONS]
+    assert dicts(read, "user_id") == dicts(f, "user_id")
+
+
+def test_day_partitions_stay_visible(spark, tmp_path):
+    path = str(tmp_path / "by_day")
+    m = messages(spark, [(1, 2, "2024-01-29 10:00")])
+    m.selectExpr("*", "to_date(time) as event_date").write.partitionBy("event_date").parquet(path)
+    read = read_events(spark, MESSAGE_ACTIONS, path)
+    assert read.columns == [*MESSAGE_ACTIONS.names, "event_date"]
+
+
+def test_a_missing_column_is_named(spark, tmp_path):
+    path = str(tmp_path / "short")
+    feed(spark, FEED_ROWS).drop("os").write.parquet(path)
+    with pytest.raises(ValueError, match="os"):
+        read_events(spark, FEED_ACTIONS, path)
+
+
+def test_written_data_goes_to_the_shared_folder(spark):
+    root = spark.conf.get(CHECKPOINT_SETTING)
+    assert shared_folder(spark, "x").startswith(f"{root}/x-")
+    sink = catalog.queries()["slice_sink"](spark, "/root/testdata/sf0.001")
+    assert all(root in path for path in sink.inputFiles())
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(ValueError, match=CHECKPOINT_SETTING):
+        shared_folder(cluster, "x")
+
+
+def test_stored_user_weeks_give_the_same_cohorts(spark, tmp_path):
+    path = str(tmp_path / "weeks")
+    rows = [(u, f"2024-01-{d:02d} 10:00", "view") for u, d in
+            [(1, 3), (1, 10), (2, 10), (2, 18), (1, 24), (3, 24), (3, 29), (4, 30)]]
+    f = feed(spark, rows)
+    cohorts.write_user_weeks(cohorts.user_weeks(f.where("day(time) < 25")), path)
+    jobs.refresh_user_weeks(f, P, path)
+    jobs.refresh_user_weeks(f, P, path)
+    stored = cohorts.weekly_dynamics(cohorts.read_user_weeks(spark, path))
+    assert dicts(stored) == dicts(cohorts.weekly_dynamics(cohorts.user_weeks(f)))
+
+
+def test_reports_are_written_per_run_day(spark, tmp_path):
+    f = feed(spark, FEED_ROWS)
+    m = messages(spark, [(1, 2, "2024-01-29 10:00")])
+    target = str(tmp_path / "reports")
+    for _ in range(2):
+        jobs.write_report(jobs.feed_report(f, P), P, target)
+        jobs.write_report(jobs.app_report(f, m, P), P, target)
+        jobs.write_report(jobs.alert_run(f, m, P), P, target)
+    assert spark.read.parquet(f"{target}/feed_kpi_series").count() == 4
+    digest = spark.read.parquet(f"{target}/feed_kpi_digest").first()
+    assert digest.message.splitlines()[1:] == [
+        "        DAU = 2 users",
+        "        Views = 1",
+        "        Likes = 1",
+        "        CTR = 100.00%",
+    ]
+    assert spark.read.parquet(f"{target}/feed_dau_by_source").count() == 1
+    assert spark.read.parquet(f"{target}/alert_messages").count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FRACTION_BITS = 52
+FRACTION_BITS = 56
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -18,7 +18,8 @@ def two_places(value: Column) -> Column:
 
     This is what C and Python print. ``format_string('%.2f')`` rounds the
     shortest decimal text half up instead, so 3.125 and 1.015 come out
-    differently. The fraction is scaled to 52 bits and rounded as an integer.
+    differently. The fraction is scaled by a power of two, which loses nothing,
+    and rounded as an integer.
     Valid for magnitudes below 2**53.
     """
     one = 1 << FRACTION_BITS
@@ -26,12 +27,11 @@ def two_places(value: Column) -> Column:
     whole = F.floor(size)
     scaled = (size - whole) * float(one)
     bits = F.floor(scaled)
-    lost = scaled > bits
     product = bits * 100
     cents = F.shiftright(product, FRACTION_BITS)
     rest = product.bitwiseAND(F.lit(one - 1))
-    half = F.lit(one // 2)
-    up = (rest > half) | ((rest == half) & (lost | (cents % 2 == 1)))
+    over_half = (rest - one // 2).cast("double") + (scaled - bits) * 100
+    up = (over_half > 0) | ((over_half == 0) & (cents % 2 == 1))
     total = whole * 100 + cents + up.cast("bigint")
     text = F.concat(
         ((total - total % 100) / 100).cast("bigint").cast("string"),

@@ -36,9 +36,7 @@ def quick_local_files(spark):
 
 def _closed_slots(spark):
     table = StarSchema(spark, FOLDER)
-    slots = anomaly.slot_metrics(
-        anomaly.slot_users(anomaly.tag_services(table.feed, table.messages), P)
-    )
+    slots = anomaly.slot_metrics(table.feed, table.messages, P)
     newest = min(
         table.feed.agg(F.max("time")).first()[0], table.messages.agg(F.max("time")).first()[0]
     )

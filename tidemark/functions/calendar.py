@@ -50,9 +50,10 @@ def runs(days: Iterable[date]) -> list[tuple[date, date]]:
 def on_days(frame: DataFrame, ranges: Iterable[tuple[date, date]]) -> DataFrame:
     """Keep the events of the given closed day ranges.
 
-    The bounds are compared with the raw ``time`` column, so they reach the
-    file scan as min/max filters. A table laid out by ``event_date`` is pruned
-    to the matching partitions as well.
+    A table laid out by ``event_date`` (see `sources.tables.write_events`) is
+    pruned to the matching partitions. The bounds are compared with the raw
+    ``time`` column and so reach the file scan as well, but only some readers
+    can skip data by them: ORC does, Parquet does not for ``timestamp_ntz``.
     """
     keep = F.lit(False)
     for first, last in ranges:

@@ -115,11 +115,8 @@ def attribute_totals(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """
     keys = [event_date(), "gender", "age", "os"]
     feed_totals = feed.groupBy(*keys).agg(views(), likes())
-    message_totals = (
-        messages_activity(messages)
-        .groupBy("event_date", "gender", "age", "os")
-        .agg(*[F.sum(m).alias(m) for m in METRICS[2:]])
-    )
     filled = ["event_date", *_filled_attributes()]
-    rows = _as_metrics(feed_totals, filled).unionByName(_as_metrics(message_totals, filled))
+    rows = _as_metrics(feed_totals, filled).unionByName(
+        _as_metrics(messages_activity(messages), filled)
+    )
     return rows.groupBy("event_date", "gender", "age", "os").agg(*_totals())

@@ -1,10 +1,10 @@
 """Fifteen-minute metrics and interquartile alerts on them.
 
-Only `slot_users` and `slot_metrics` touch events. Everything after them works
-on one row per slot (96 a day) and is written without joins: each slot hands
-its values to all the slots that will look back at it, and a ``groupBy`` on
-the receiving slot collects a history of bounded size. So the events are
-aggregated once, however many steps follow.
+Only `slot_metrics` touches events. Everything after it works on one row per
+slot (96 a day) and is written without self joins: each slot hands its values
+to all the slots that will look back at it, and a ``groupBy`` on the receiving
+slot collects a history of bounded size. So the events are aggregated once,
+however many steps follow.
 """
 
 from __future__ import annotations
@@ -27,46 +27,31 @@ ALERT_METRICS = ["Views", "Likes", "CTR", "Feed_users", "Mes_users", "Sent_messa
 ALERT_TEXT = "Метрика %s.\nТекущее значение %s. Отклонение более %s%%.\n"
 
 
-def tag_services(feed: DataFrame, messages: DataFrame) -> DataFrame:
-    """Both tables under one another; messages have no ``action``."""
-    return feed.select("time", "user_id", "action", F.lit(True).alias("in_feed")).unionByName(
-        messages.select(
-            "time",
-            "user_id",
-            F.lit(None).cast("string").alias("action"),
-            F.lit(False).alias("in_feed"),
-        )
-    )
+def _slot(p: Params) -> Column:
+    return F.window("time", f"{p.slot_minutes} minutes")
 
 
-def slot_users(tagged: DataFrame, p: Params) -> DataFrame:
-    """What each user did in each slot.
+def slot_metrics(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
+    """The six metrics of every slot that both services were used in.
 
-    The first of two steps that count distinct users exactly. It spreads a
-    busy slot over its users, and streams accept it, which they do not
-    ``count_distinct``.
+    The distinct counts spread a busy slot over its users before they meet,
+    and the join sees one row per slot from either side.
     """
-    return tagged.groupBy(F.window("time", f"{p.slot_minutes} minutes"), "user_id").agg(
-        views(),
-        likes(),
-        F.count_if(F.col("in_feed")).alias("feed_rows"),
-        F.count_if(~F.col("in_feed")).alias("message_rows"),
+    feed_slots = feed.groupBy(_slot(p).start.alias("period")).agg(
+        views(), likes(), F.count_distinct("user_id").alias("feed_users")
+    )
+    message_slots = messages.groupBy(_slot(p).start.alias("period")).agg(
+        F.count_distinct("user_id").alias("mes_users"),
+        F.count("user_id").alias("sent_messages"),
     )
+    return slot_columns(message_slots.join(feed_slots, "period"))
 
 
-def slot_metrics(users: DataFrame) -> DataFrame:
-    """The six metrics of every slot that both services were used in."""
-    slots = users.groupBy("window").agg(
-        F.count_if(F.col("message_rows") > 0).alias("mes_users"),
-        F.sum("message_rows").alias("sent_messages"),
-        F.sum("views").alias("views"),
-        F.sum("likes").alias("likes"),
-        F.count_if(F.col("feed_rows") > 0).alias("feed_users"),
-    )
-    return slots.where((F.col("mes_users") > 0) & (F.col("feed_users") > 0)).select(
-        F.to_date("window.start").alias("event_date"),
-        F.col("window.start").alias("period"),
-        F.date_format("window.start", "HH:mm").alias("hm"),
+def slot_columns(slots: DataFrame) -> DataFrame:
+    return slots.select(
+        F.to_date("period").alias("event_date"),
+        "period",
+        F.date_format("period", "HH:mm").alias("hm"),
         "mes_users",
         "sent_messages",
         "views",

@@ -329,9 +329,7 @@ def _(t):
 
 @_query("anomaly_backtest")
 def _(t):
-    tagged = anomaly.tag_services(t.feed, t.messages)
-    slots = anomaly.slot_metrics(anomaly.slot_users(tagged, P))
-    return anomaly.anomaly_backtest(slots, P)
+    return anomaly.anomaly_backtest(anomaly.slot_metrics(t.feed, t.messages, P), P)
 
 
 # Streams, worked off up to the end of the data

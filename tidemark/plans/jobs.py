@@ -72,8 +72,7 @@ def app_report(
 
 def alert_slots(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
     """The slots an alert run looks at: six days of both tables."""
-    tagged = anomaly.tag_services(in_alert_days(feed, p), in_alert_days(messages, p))
-    return anomaly.slot_metrics(anomaly.slot_users(tagged, p))
+    return anomaly.slot_metrics(in_alert_days(feed, p), in_alert_days(messages, p), p)
 
 
 def alert_run(feed: DataFrame, messages: DataFrame, p: Params) -> dict[str, DataFrame]:

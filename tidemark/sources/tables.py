@@ -63,3 +63,21 @@ def read_events(
     if fmt in ("csv", "json"):
         reader = reader.schema(schema)
     return conform(reader.load(path) if path else reader.load(), schema)
+
+
+def write_events(events: DataFrame, schema: T.StructType, path: str) -> None:
+    """Store events by day, replacing the days they cover.
+
+    A job for one day then reads one day. ``rebalance`` gathers a day's events
+    into files of the advisory size: it merges the pieces of a small day and
+    splits a large one over many tasks.
+    """
+    (
+        conform(events, schema)
+        .withColumn("event_date", F.to_date("time"))
+        .hint("rebalance", "event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )

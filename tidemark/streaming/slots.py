@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators.anomaly import slot_metrics, slot_users, tag_services
+from tidemark.operators.activity import likes, views
+from tidemark.operators.anomaly import slot_columns
 from tidemark.params import Params
 from tidemark.streaming.state import state_on_disk
 
@@ -25,18 +27,45 @@ SLOT_METRICS = T.StructType(
 )
 
 
+def _tagged(feed: DataFrame, messages: DataFrame) -> DataFrame:
+    """Both tables under one another; messages have no ``action``."""
+    return feed.select("time", "user_id", "action", F.lit(True).alias("in_feed")).unionByName(
+        messages.select(
+            "time",
+            "user_id",
+            F.lit(None).cast("string").alias("action"),
+            F.lit(False).alias("in_feed"),
+        )
+    )
+
+
 def stream_slot_metrics(
     feed: DataFrame, messages: DataFrame, p: Params, lateness: str = "1 hour"
 ) -> DataFrame:
-    """`slot_metrics` over two streams, with the same two aggregations as in batch.
+    """`slot_metrics` over two streams.
 
-    Each side has its own watermark, so that the slower source holds a slot
-    open. State is kept per user and open slot and is dropped with the slot.
+    Streams do not take ``count_distinct`` and would hold two states to join,
+    so both tables go into one aggregation per slot and user, which a second
+    one sums up to slots. State is kept per user and open slot and is dropped
+    with the slot. Each side has its own watermark, so that the slower source
+    holds a slot open.
     """
-    tagged = tag_services(
-        feed.withWatermark("time", lateness), messages.withWatermark("time", lateness)
+    rows = _tagged(feed.withWatermark("time", lateness), messages.withWatermark("time", lateness))
+    users = rows.groupBy(F.window("time", f"{p.slot_minutes} minutes"), "user_id").agg(
+        views(),
+        likes(),
+        F.count_if(F.col("in_feed")).alias("feed_rows"),
+        F.count_if(~F.col("in_feed")).alias("message_rows"),
+    )
+    slots = users.groupBy("window").agg(
+        F.count_if(F.col("message_rows") > 0).alias("mes_users"),
+        F.sum("message_rows").alias("sent_messages"),
+        F.sum("views").alias("views"),
+        F.sum("likes").alias("likes"),
+        F.count_if(F.col("feed_rows") > 0).alias("feed_users"),
     )
-    return slot_metrics(slot_users(tagged, p))
+    in_both = slots.where((F.col("mes_users") > 0) & (F.col("feed_users") > 0))
+    return slot_columns(in_both.withColumn("period", F.col("window.start")))
 
 
 def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -50,14 +50,10 @@ def _closed_slots(spark):
     )
 
 
-def _plain(rows):
-    return [{**r, "period": r["period"].replace(tzinfo=None)} for r in rows]
-
-
 def test_stream_equals_batch_on_closed_slots(spark):
     found = catalog.queries()["stream_slot_metrics"](spark, FOLDER)
     expected = dicts(catalog._rounded(_closed_slots(spark)), "period")
-    assert expected and _plain(dicts(found, "period")) == expected
+    assert expected and dicts(found, "period") == expected
 
 
 def test_stream_alerts_equal_the_back_test(spark):
@@ -65,7 +61,7 @@ def test_stream_alerts_equal_the_back_test(spark):
     closed = _closed_slots(spark)
     bands = anomaly.iqr_bands(closed, anomaly.following_days(P), P)
     expected = catalog._rounded(anomaly.alert_messages(bands, last_only=False))
-    rows = _plain(dicts(found, "period", "metric"))
+    rows = dicts(found, "period", "metric")
     assert rows == dicts(expected, "period", "metric")
 
 

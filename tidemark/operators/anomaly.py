@@ -61,14 +61,6 @@ def slot_columns(slots: DataFrame) -> DataFrame:
     )
 
 
-def metric_series(slots: DataFrame) -> DataFrame:
-    """`slot_metrics` with one row per slot and metric."""
-    wide = slots.select(
-        "period", *[F.col(m.lower()).cast("double").alias(m) for m in ALERT_METRICS]
-    )
-    return wide.unpivot("period", ALERT_METRICS, "metric", "value")
-
-
 def loaded_days(days: Iterable[date]) -> Column:
     """All the given days: what a single alert run looks back over."""
     return F.array(*[F.lit(day_number(day)).cast("bigint") for day in days])
@@ -80,7 +72,7 @@ def following_days(p: Params) -> Column:
     return F.array(*[day + back for back in p.reference_days])
 
 
-def _look_backs(series: DataFrame, days: Column, p: Params) -> DataFrame:
+def _look_backs(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     """Hand every slot to itself and to the later slots it is history for.
 
     ``centre`` is a slot on one of ``days`` within ``neighbour_slots`` of the
@@ -96,22 +88,21 @@ def _look_backs(series: DataFrame, days: Column, p: Params) -> DataFrame:
             lambda step: F.pmod(clock + step, F.lit(per_day)),
         )
     )
-    numbered = series.select(
-        "metric",
+    metrics = [F.col(m.lower()).cast("double").alias(m) for m in ALERT_METRICS]
+    numbered = slots.select(
         "period",
-        "value",
         slot_number("period", p.slot_minutes).alias("slot"),
         near.alias("near"),
+        *metrics,
     )
     centres = F.flatten(
         F.transform(days, lambda day: F.transform("near", lambda at: day * per_day + at))
     )
     later = F.filter(centres, lambda centre: centre > F.col("slot"))
     return numbered.select(
-        "metric",
         "period",
-        "value",
         "slot",
+        *ALERT_METRICS,
         F.explode(F.concat(F.array("slot"), later)).alias("centre"),
     )
 
@@ -120,25 +111,39 @@ def _own() -> Column:
     return F.col("slot") == F.col("centre")
 
 
-def _quartiles(used: Column) -> list[Column]:
-    """Sample size and exact quartiles over the rows that satisfy ``used``."""
-    sample = F.when(used, F.col("value"))
-    return [
+def _of_own(column: str) -> Column:
+    return F.max(F.when(_own(), F.col(column)))
+
+
+def _stats(metric: str, used: Column) -> Column:
+    """Sample size and exact quartiles of a metric over the rows that satisfy ``used``."""
+    sample = F.when(used, F.col(metric))
+    return F.struct(
         F.count_if(used).alias("rows"),
         F.count(sample).alias("defined"),
         F.percentile(sample, F.array(F.lit(0.25), F.lit(0.75))).alias("quartiles"),
+    )
+
+
+def _per_metric(frame: DataFrame, *names: str) -> DataFrame:
+    """One row per metric; ``names`` start the columns that exist for each of them."""
+    shared = [c for c in frame.columns if not c.endswith(tuple(ALERT_METRICS))]
+    rows = [
+        F.struct(F.lit(m).alias("metric"), *[F.col(f"{n}{m}").alias(n.strip("_")) for n in names])
+        for m in ALERT_METRICS
     ]
+    return frame.select(*shared, F.inline(F.array(*rows)))
 
 
-def _band(stats: str, p: Params) -> list[Column]:
-    """Band columns from `_quartiles`.
+def _band(p: Params) -> list[Column]:
+    """Band columns from ``stats``.
 
     One undefined value in the sample leaves the whole band undefined, and so
     does an empty sample; ``percentile`` alone would skip the undefined value.
     """
-    usable = (F.col(f"{stats}.rows") > 0) & (F.col(f"{stats}.rows") == F.col(f"{stats}.defined"))
-    q25 = F.when(usable, F.col(f"{stats}.quartiles")[0])
-    q75 = F.when(usable, F.col(f"{stats}.quartiles")[1])
+    rows, quartiles = F.col("stats.rows"), F.col("stats.quartiles")
+    usable = (rows > 0) & (rows == F.col("stats.defined"))
+    q25, q75 = F.when(usable, quartiles[0]), F.when(usable, quartiles[1])
     iqr = q75 - q25
     return [
         q25.alias("q25"),
@@ -151,34 +156,32 @@ def _band(stats: str, p: Params) -> list[Column]:
 
 def slot_history(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     """Every slot and metric paired with the earlier values it is compared to."""
-    same_centre = Window.partitionBy("metric", "centre")
+    target = F.max(F.when(_own(), F.col("period"))).over(Window.partitionBy("centre"))
     return (
-        _look_backs(metric_series(slots), days, p)
-        .withColumn("target", F.max(F.when(_own(), F.col("period"))).over(same_centre))
+        _look_backs(slots, days, p)
+        .withColumn("target", target)
         .where(F.col("target").isNotNull() & ~_own())
         .select(
-            F.col("target").alias("period"),
-            "metric",
-            F.col("period").alias("history_period"),
-            F.col("value").alias("history_value"),
+            F.col("target").alias("period"), F.col("period").alias("history_period"), *ALERT_METRICS
         )
+        .unpivot(["period", "history_period"], ALERT_METRICS, "metric", "history_value")
     )
 
 
 def iqr_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     """The band of every slot and metric, from its history."""
-    history = ~_own()
-    return (
-        _look_backs(metric_series(slots), days, p)
-        .groupBy("metric", "centre")
+    by_centre = (
+        _look_backs(slots, days, p)
+        .groupBy("centre")
         .agg(
-            F.max(F.when(_own(), F.col("period"))).alias("period"),
-            F.max(F.when(_own(), F.col("value"))).alias("value"),
-            *_quartiles(history),
+            _of_own("period").alias("period"),
+            *[_of_own(m).alias(f"value_{m}") for m in ALERT_METRICS],
+            *[_stats(m, ~_own()).alias(f"stats_{m}") for m in ALERT_METRICS],
         )
         .where(F.col("period").isNotNull())
-        .withColumn("stats", F.struct("rows", "defined", "quartiles"))
-        .select("period", "metric", "value", *_band("stats", p))
+    )
+    return _per_metric(by_centre, "value_", "stats_").select(
+        "period", "metric", "value", *_band(p)
     )
 
 
@@ -252,23 +255,29 @@ def chart_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     ``in_chart`` is false for a slot that gets a band across a gap but is
     older than the chart's rows.
     """
-    same_centre = Window.partitionBy("metric", "centre")
+    earlier_slot = F.when(~_own(), F.col("slot"))
+    earlier_period = F.when(~_own(), F.col("period"))
     newest_first = Window.partitionBy("metric").orderBy(F.desc("centre"))
-    latest = F.max(F.when(~_own(), F.col("slot"))).over(same_centre)
     rows = p.backfill_rows + 1
-    centres = (
-        _look_backs(metric_series(slots), days, p)
-        .withColumn("latest", latest)
-        .groupBy("metric", "centre")
+    by_centre = (
+        _look_backs(slots, days, p)
+        .withColumn("latest", F.max(earlier_slot).over(Window.partitionBy("centre")))
+        .groupBy("centre")
         .agg(
-            F.max(F.when(_own(), F.col("period"))).alias("period"),
-            F.max(F.when(_own(), F.col("value"))).alias("value"),
+            _of_own("period").alias("period"),
             F.max("latest").alias("target"),
-            F.max(F.when(~_own(), F.col("period"))).alias("target_period"),
-            F.struct(*_quartiles(~_own())).alias("own"),
-            F.struct(*_quartiles(F.col("slot") < F.col("latest"))).alias("given"),
+            F.max(earlier_period).alias("target_period"),
+            *[_of_own(m).alias(f"value_{m}") for m in ALERT_METRICS],
+            *[_stats(m, ~_own()).alias(f"own_{m}") for m in ALERT_METRICS],
+            *[
+                _stats(m, F.col("slot") < F.col("latest")).alias(f"given_{m}")
+                for m in ALERT_METRICS
+            ],
         )
         .where(F.col("period").isNotNull())
+    )
+    centres = (
+        _per_metric(by_centre, "value_", "own_", "given_")
         .withColumn("age", F.row_number().over(newest_first))
         .where(F.col("age") <= rows)
     )
@@ -302,7 +311,7 @@ def chart_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
             F.min("centre").alias("centre"),
             F.min_by("stats", "centre").alias("stats"),
         )
-        .select("period", "metric", "value", "in_chart", "slot", "centre", *_band("stats", p))
+        .select("period", "metric", "value", "in_chart", "slot", "centre", *_band(p))
     )
 
 

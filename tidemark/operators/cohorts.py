@@ -87,7 +87,6 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
                 "stayed"
             ),
         )
-        .orderBy("week")
     )
 
 
@@ -99,7 +98,9 @@ def _by_service(feed: DataFrame, messages: DataFrame) -> DataFrame:
 
 def weekly_stayed_compare(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """The share that stayed in both services, each over its own weeks."""
-    return _by_service(feed, messages).select("service", "week", "stayed")
+    return _by_service(feed, messages).select("service", "week", "stayed").orderBy(
+        "service", "week"
+    )
 
 
 def weekly_dynamics_series(feed: DataFrame, messages: DataFrame) -> DataFrame:
@@ -111,4 +112,5 @@ def weekly_dynamics_series(feed: DataFrame, messages: DataFrame) -> DataFrame:
         F.col("retained").alias("Retained"),
         F.col("gone").alias("Gone"),
     )
-    return wide.unpivot(["service", "week"], ["New", "Retained", "Gone"], "metric", "value")
+    series = wide.unpivot(["service", "week"], ["New", "Retained", "Gone"], "metric", "value")
+    return series.orderBy("service", "metric", "week")

@@ -78,7 +78,7 @@ def service_usage(users: DataFrame) -> DataFrame:
         "event_date",
         "all_users",
         *[ratio(F.col(g), F.col("all_users")).alias(f"{g}_share") for g in groups],
-    ).orderBy("event_date")
+    )
 
 
 def service_usage_stack(usage: DataFrame) -> DataFrame:
@@ -93,4 +93,4 @@ def service_usage_stack(usage: DataFrame) -> DataFrame:
         both_top.alias("both_top"),
         both_top.alias("message_only_bottom"),
         (both_top + F.col("message_only_share")).alias("message_only_top"),
-    )
+    ).orderBy("event_date")

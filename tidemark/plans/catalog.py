@@ -158,7 +158,7 @@ def _(t):
 
 @_query("feed_kpi_7d")
 def _(t):
-    return reports.feed_kpi(t.feed, P)
+    return reports.feed_kpi(t.feed, P).orderBy("day")
 
 
 @_query("feed_kpi_digest")
@@ -215,12 +215,12 @@ def _weekly(events: DataFrame) -> DataFrame:
 
 @_query("feed_weekly_dynamics")
 def _(t):
-    return _weekly(t.feed)
+    return _weekly(t.feed).orderBy("week")
 
 
 @_query("msg_weekly_dynamics")
 def _(t):
-    return _weekly(t.messages)
+    return _weekly(t.messages).orderBy("week")
 
 
 @_query("first_seen_week")
@@ -243,7 +243,7 @@ def _(t):
 
 @_query("service_usage")
 def _(t):
-    return services.service_usage(services.presence(t.feed, t.messages))
+    return services.service_usage(services.presence(t.feed, t.messages)).orderBy("event_date")
 
 
 @_query("service_usage_stack")

@@ -319,7 +319,7 @@ for _name, _table in [
 # Alerts
 
 
-def _slots(days: str) -> list[str]:
+def _slots(days: str, closed: str = "true") -> list[str]:
     slot = "time_bucket(interval '15 minutes', time)"
     return [
         FEED,
@@ -331,10 +331,10 @@ def _slots(days: str) -> list[str]:
   select d, {slot} as period, count(*) filter (action = 'view') as views,
     count(*) filter (action = 'like') as likes, count(distinct user_id) as feed_users
   from feed where {days} group by all)""",
-        """slots as (
+        f"""slots as (
   select ms.d as event_date, ms.period, strftime(ms.period, '%H:%M') as hm,
     mes_users, sent_messages, views, likes, likes / nullif(views, 0) as ctr, feed_users
-  from ms join fs on ms.d = fs.d and ms.period = fs.period)""",
+  from ms join fs on ms.d = fs.d and ms.period = fs.period where {closed})""",
         """series as (
   select period, event_date, cast(hour(period) * 4 + minute(period) // 15 as int) as clock,
     metric, value,
@@ -379,11 +379,9 @@ def _r(*names: str) -> str:
     return ", ".join(f"round({n}, 6) as {n}" for n in names)
 
 
-CHECK_SQL["slot_metrics_15m"] = (
-    _with(*_slots(ALERT_DAYS))
-    + """select event_date, period, hm, mes_users, sent_messages, views, likes,
+_slot_rows = """select event_date, period, hm, mes_users, sent_messages, views, likes,
   round(ctr, 6) as ctr, feed_users from slots"""
-)
+CHECK_SQL["slot_metrics_15m"] = _with(*_slots(ALERT_DAYS)) + _slot_rows
 CHECK_SQL["slot_history"] = (
     _with(*_slots(ALERT_DAYS))
     + f"""select c.period, c.metric, h.period as history_period,
@@ -399,13 +397,8 @@ _flags = (
     " is_undefined, is_anomaly from bands"
 )
 CHECK_SQL["anomaly_flags"] = _with(*_slots(ALERT_DAYS), *_bands()) + _flags + " where age = 1"
-CHECK_SQL["anomaly_backtest"] = (
-    _with(
-        *_slots("true"),
-        *_bands("and c.event_date - h.event_date in (0, 1, 7, 8, 14, 15)"),
-    )
-    + _flags
-)
+OWN_DAYS = "and c.event_date - h.event_date in (0, 1, 7, 8, 14, 15)"
+CHECK_SQL["anomaly_backtest"] = _with(*_slots("true"), *_bands(OWN_DAYS)) + _flags
 
 MESSAGES = """told as (
   select now.period, now.metric, now.value, now.age, v2.value as reported_value,
@@ -426,6 +419,15 @@ from told"""
 CHECK_SQL["alert_messages_replay"] = _with(*_slots(ALERT_DAYS), *_bands(), MESSAGES) + _tell
 CHECK_SQL["alert_messages"] = CHECK_SQL["alert_messages_replay"] + " where age = 1"
 
+# The streams emit the slots that ended an hour before the newest event of the
+# service that is behind; watermarks keep whole milliseconds.
+CLOSED = """ms.period + interval '15 minutes' <= (select date_trunc('milliseconds',
+    least((select max(time) from feed), (select max(time) from msg))) - interval '1 hour')"""
+CHECK_SQL["stream_slot_metrics"] = _with(*_slots("true", CLOSED)) + _slot_rows
+CHECK_SQL["stream_alerts"] = (
+    _with(*_slots("true", CLOSED), *_bands(OWN_DAYS), MESSAGES) + _tell
+)
+
 CHART = [
     """given as (
   select c.metric, c.period as centre, h.period, h.value,

@@ -80,4 +80,6 @@ def run_alerts(
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ALERTS).parquet(path).drop("batch")
+    """The stored alerts, with ``period`` as in batch."""
+    stored = spark.read.schema(ALERTS).parquet(path).drop("batch")
+    return stored.withColumn("period", F.col("period").cast("timestamp_ntz"))

@@ -82,4 +82,6 @@ def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
 
 
 def read_slots(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SLOT_METRICS).parquet(path)
+    """The stored slots, with ``period`` as in batch."""
+    stored = spark.read.schema(SLOT_METRICS).parquet(path)
+    return stored.withColumn("period", F.col("period").cast("timestamp_ntz"))

@@ -75,19 +75,45 @@ def test_stored_user_weeks_give_the_same_cohorts(spark, tmp_path):
 
 def test_reports_are_written_per_run_day(spark, tmp_path):
     f = feed(spark, FEED_ROWS)
-    m = messages(spark, [(1, 2, "2024-01-29 10:00")])
+    m = messages(spark, [(1, 2, "2024-01-29 10:00"), (3, 1, "2024-01-29 11:00")])
     target = str(tmp_path / "reports")
     for _ in range(2):
-        jobs.write_report(jobs.feed_report(f, P), P, target)
-        jobs.write_report(jobs.app_report(f, m, P), P, target)
-        jobs.write_report(jobs.alert_run(f, m, P), P, target)
-    assert spark.read.parquet(f"{target}/feed_kpi_series").count() == 4
-    digest = spark.read.parquet(f"{target}/feed_kpi_digest").first()
+        jobs.run_feed_report(f, P, target)
+        jobs.run_app_report(f, m, P, target)
+
+    def stored(name):
+        return spark.read.parquet(f"{target}/{name}")
+
+    digest = stored("feed_kpi_digest").first()
+    assert digest.as_of == P.as_of
     assert digest.message.splitlines()[1:] == [
         "        DAU = 2 users",
         "        Views = 1",
         "        Likes = 1",
         "        CTR = 100.00%",
     ]
-    assert spark.read.parquet(f"{target}/feed_dau_by_source").count() == 1
-    assert spark.read.parquet(f"{target}/alert_messages").count() == 0
+    assert stored("feed_kpi_series").count() == 4
+    assert stored("dau_by_country").count() == 2
+    assert stored("dau_by_country_major").count() == 0
+    assert stored("feed_dau_by_source").count() == 1
+    assert stored("weekly_dynamics_series").count() == 6
+    assert stored("service_usage_stack").first().message_only_top == 1
+
+
+def test_an_alert_run_leaves_messages_and_the_charts_they_name(spark, tmp_path):
+    target = str(tmp_path / "alerts")
+    clock = [f"10:{minute:02d}" for minute in (0, 15, 30, 45)] + ["11:00"]
+    f = feed(
+        spark,
+        [(u, f"2024-01-30 {t}", "view") for t in clock for u in range(20 if t > "11" else 2)],
+    )
+    m = messages(spark, [(1, 2, f"2024-01-30 {t}") for t in clock])
+    for _ in range(2):
+        jobs.run_alerts(f, m, P, target)
+    alerts = spark.read.parquet(f"{target}/alert_messages")
+    assert {(r.metric, r.value) for r in alerts.collect()} == {("Views", 20), ("Feed_users", 20)}
+    chart = spark.read.parquet(f"{target}/alert_chart_series")
+    assert dicts(chart.groupBy("metric").count()) == [
+        {"metric": "Feed_users", "count": 5},
+        {"metric": "Views", "count": 5},
+    ]

@@ -23,10 +23,12 @@ def write_user_weeks(weeks: DataFrame, path: str) -> None:
     """Store whole weeks of `user_weeks`, replacing those weeks only.
 
     The cohorts look at all history. With this table a daily run reads the
-    events of the current week and finds the past here.
+    events of the current week and finds the past here. ``rebalance`` keeps
+    the files of a week few and of even size.
     """
     (
-        weeks.write.mode("overwrite")
+        weeks.hint("rebalance", "week")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("week")
         .parquet(path)

@@ -2,6 +2,10 @@
 
 A scheduler calls these with the day to run for. Every job can be repeated
 for the same day and leaves the same rows behind.
+
+A result that others are derived from is written first and read back, so the
+events behind it are aggregated once and a lost executor does not bring them
+back in.
 """
 
 from __future__ import annotations
@@ -14,6 +18,19 @@ from tidemark.operators.filters import in_alert_days, on_yesterday
 from tidemark.params import Params
 
 
+class _Run:
+    """The result folder of one run: a folder per result set, a partition per run day."""
+
+    def __init__(self, p: Params, target: str) -> None:
+        self._day = p.as_of
+        self._target = target
+
+    def store(self, name: str, frame: DataFrame) -> DataFrame:
+        path = f"{self._target}/{name}/as_of={self._day}"
+        frame.write.mode("overwrite").parquet(path)
+        return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def daily_slices(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
     """Yesterday's activity by gender, os and age."""
     totals = activity.attribute_totals(on_yesterday(feed, p), on_yesterday(messages, p))
@@ -24,13 +41,12 @@ def run_daily_slices(feed: DataFrame, messages: DataFrame, p: Params, target: st
     slices.write_slices(daily_slices(feed, messages, p), target)
 
 
-def feed_report(feed: DataFrame, p: Params) -> dict[str, DataFrame]:
-    """The feed's digest and chart series."""
-    kpi = reports.feed_kpi(feed, p)
-    return {
-        "feed_kpi_digest": reports.feed_kpi_digest(kpi),
-        "feed_kpi_series": reports.feed_kpi_series(kpi),
-    }
+def run_feed_report(feed: DataFrame, p: Params, target: str) -> None:
+    """The feed's KPI with its digest and chart series."""
+    run = _Run(p, target)
+    kpi = run.store("feed_kpi", reports.feed_kpi(feed, p))
+    run.store("feed_kpi_digest", reports.feed_kpi_digest(kpi))
+    run.store("feed_kpi_series", reports.feed_kpi_series(kpi))
 
 
 def refresh_user_weeks(events: DataFrame, p: Params, path: str) -> None:
@@ -43,31 +59,39 @@ def refresh_user_weeks(events: DataFrame, p: Params, path: str) -> None:
     cohorts.write_user_weeks(cohorts.user_weeks(recent), path)
 
 
-def app_report(
+def run_app_report(
     feed: DataFrame,
     messages: DataFrame,
     p: Params,
+    target: str,
     feed_weeks: DataFrame | None = None,
     message_weeks: DataFrame | None = None,
-) -> dict[str, DataFrame]:
+) -> None:
     """All result sets of the whole-app report.
 
     Pass stored user weeks to keep the cohorts from reading all history.
     """
-    feed_weekly = cohorts.weekly_dynamics(feed_weeks or cohorts.user_weeks(feed))
-    message_weekly = cohorts.weekly_dynamics(message_weeks or cohorts.user_weeks(messages))
-    dau = reports.dau_by_country(reports.audience_days(feed, messages, p))
-    usage = services.service_usage(services.presence(feed, messages))
-    return {
-        "dau_by_country_major": reports.dau_by_country_major(dau, p),
-        "avg_feed_usage": reports.avg_feed_usage(feed, p),
-        "avg_msg_usage": reports.avg_message_usage(messages, p),
-        "feed_dau_by_source": reports.dau_by_source(feed, p),
-        "msg_dau_by_source": reports.dau_by_source(messages, p),
-        "weekly_stayed_compare": cohorts.weekly_stayed_compare(feed_weekly, message_weekly),
-        "weekly_dynamics_series": cohorts.weekly_dynamics_series(feed_weekly, message_weekly),
-        "service_usage_stack": services.service_usage_stack(usage),
-    }
+    run = _Run(p, target)
+    audience = reports.audience_days(feed, messages, p)
+    dau = run.store("dau_by_country", reports.dau_by_country(audience))
+    run.store("dau_by_country_major", reports.dau_by_country_major(dau, p))
+
+    run.store("avg_feed_usage", reports.avg_feed_usage(feed, p))
+    run.store("avg_msg_usage", reports.avg_message_usage(messages, p))
+    run.store("feed_dau_by_source", reports.dau_by_source(feed, p))
+    run.store("msg_dau_by_source", reports.dau_by_source(messages, p))
+
+    feed_weeks = feed_weeks or cohorts.user_weeks(feed)
+    message_weeks = message_weeks or cohorts.user_weeks(messages)
+    feed_weekly = run.store("feed_weekly_dynamics", cohorts.weekly_dynamics(feed_weeks))
+    message_weekly = run.store("msg_weekly_dynamics", cohorts.weekly_dynamics(message_weeks))
+    both = feed_weekly, message_weekly
+    run.store("weekly_stayed_compare", cohorts.weekly_stayed_compare(*both))
+    run.store("weekly_dynamics_series", cohorts.weekly_dynamics_series(*both))
+
+    users = services.presence(feed, messages)
+    usage = run.store("service_usage", services.service_usage(users))
+    run.store("service_usage_stack", services.service_usage_stack(usage))
 
 
 def alert_slots(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
@@ -75,19 +99,15 @@ def alert_slots(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
     return anomaly.slot_metrics(in_alert_days(feed, p), in_alert_days(messages, p), p)
 
 
-def alert_run(feed: DataFrame, messages: DataFrame, p: Params) -> dict[str, DataFrame]:
+def run_alerts(feed: DataFrame, messages: DataFrame, p: Params, target: str) -> None:
     """Messages for the newest slot and the charts of the metrics they name."""
-    slots = alert_slots(feed, messages, p)
+    run = _Run(p, target)
+    slots = run.store("slot_metrics", alert_slots(feed, messages, p))
     days = anomaly.loaded_days(p.alert_days)
-    messages_out = anomaly.alert_messages(anomaly.iqr_bands(slots, days, p))
+    alerts = run.store(
+        "alert_messages", anomaly.alert_messages(anomaly.iqr_bands(slots, days, p))
+    )
     chart = anomaly.alert_chart_series(anomaly.chart_bands(slots, days, p), p)
-    return {
-        "alert_messages": messages_out,
-        "alert_chart_series": chart.join(messages_out.select("metric"), "metric", "left_semi"),
-    }
-
-
-def write_report(results: dict[str, DataFrame], p: Params, target: str) -> None:
-    """One folder per result set and run day, replaced when the run is repeated."""
-    for name, frame in results.items():
-        frame.write.mode("overwrite").parquet(f"{target}/{name}/as_of={p.as_of}")
+    run.store(
+        "alert_chart_series", chart.join(alerts.select("metric"), "metric", "left_semi")
+    )

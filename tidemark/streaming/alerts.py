@@ -41,13 +41,13 @@ def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, i
     A slot leaves the stream in exactly one batch and both outputs are kept by
     batch, so a batch that runs twice leaves no second alert. The stored
     history is one row per slot, and only the days that the new slots are
-    compared to are read of it.
+    compared to are read of it; batches older than those may be deleted.
     """
     longest_look_back = max(p.reference_days) + 1
 
     def write(slots: DataFrame, batch: int) -> None:
         spark = slots.sparkSession
-        _replace_batch(slots, history, batch)
+        _replace_batch(slots.repartition(1), history, batch)
         new = spark.read.schema(SLOT_METRICS).parquet(f"{history}/batch={batch}")
         first = new.agg(F.min("event_date")).first()[0]
         if first is None:

@@ -69,10 +69,14 @@ def stream_slot_metrics(
 
 
 def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write closed slots to files, working off what is there and then stopping."""
+    """Write closed slots to files, working off what is there and then stopping.
+
+    A batch closes a few slots, one row each, which go into one file.
+    """
     with state_on_disk(slots.sparkSession):
         return (
-            slots.writeStream.format("parquet")
+            slots.repartition(1)
+            .writeStream.format("parquet")
             .outputMode("append")
             .option("path", out)
             .option("checkpointLocation", checkpoint)

@@ -8,12 +8,17 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 # RocksDB keeps the state of open slots on local disk with its changes in the
-# checkpoint, where the default store holds all of it on the heap.
+# checkpoint, where the default store holds all of it on the heap. Its memory
+# is bounded per executor, and it does not count its rows, which would cost a
+# look-up per change.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1000",
 }
 
 

@@ -27,12 +27,12 @@ def day_number(day: date) -> int:
 
 def clock_slot(period: str, minutes: int) -> Column:
     """Index of a slot within its day, 0 at midnight."""
-    return F.floor((F.hour(period) * 60 + F.minute(period)) / minutes).cast("bigint")
+    return F.expr(f"(hour({period}) * 60 + minute({period})) div {minutes}")
 
 
 def slot_number(period: str, minutes: int) -> Column:
     """Index of a slot on the whole time line: neighbours differ by 1."""
-    days = F.datediff(F.to_date(period), F.lit(EPOCH)).cast("bigint")
+    days = F.expr(f"cast(unix_date(to_date({period})) as bigint)")
     return days * (24 * 60 // minutes) + clock_slot(period, minutes)
 
 

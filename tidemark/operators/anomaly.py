@@ -61,15 +61,23 @@ def slot_columns(slots: DataFrame) -> DataFrame:
     )
 
 
+def _numbers(values: Iterable[int]) -> str:
+    return f"array({', '.join(f'{value}L' for value in values)})"
+
+
 def loaded_days(days: Iterable[date]) -> Column:
     """All the given days: what a single alert run looks back over."""
-    return F.array(*[F.lit(day_number(day)).cast("bigint") for day in days])
+    return F.expr(_numbers(day_number(day) for day in days))
 
 
 def following_days(p: Params) -> Column:
     """The days whose own alert runs load a slot's day."""
-    day = F.floor(F.col("slot") / p.slots_per_day)
-    return F.array(*[day + back for back in p.reference_days])
+    backs = _numbers(p.reference_days)
+    return F.expr(f"transform({backs}, back -> slot div {p.slots_per_day} + back)")
+
+
+OWN = "slot = centre"
+EARLIER = "slot <> centre"
 
 
 def _look_backs(slots: DataFrame, days: Column, p: Params) -> DataFrame:
@@ -80,48 +88,43 @@ def _look_backs(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     their own are in the result, too; they lack the row with ``slot = centre``.
     """
     per_day = p.slots_per_day
-    reach = p.neighbour_slots
-    clock = clock_slot("period", p.slot_minutes)
-    near = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(-reach).cast("bigint"), F.lit(reach).cast("bigint")),
-            lambda step: F.pmod(clock + step, F.lit(per_day)),
-        )
-    )
-    metrics = [F.col(m.lower()).cast("double").alias(m) for m in ALERT_METRICS]
+    steps = _numbers(range(-p.neighbour_slots, p.neighbour_slots + 1))
     numbered = slots.select(
         "period",
         slot_number("period", p.slot_minutes).alias("slot"),
-        near.alias("near"),
-        *metrics,
+        clock_slot("period", p.slot_minutes).alias("clock"),
+        *[F.col(m.lower()).cast("double").alias(m) for m in ALERT_METRICS],
     )
-    centres = F.flatten(
-        F.transform(days, lambda day: F.transform("near", lambda at: day * per_day + at))
+    reached = numbered.select(
+        "period",
+        "slot",
+        *ALERT_METRICS,
+        days.alias("days"),
+        F.expr(f"array_distinct(transform({steps}, step -> pmod(clock + step, {per_day})))").alias(
+            "near"
+        ),
     )
-    later = F.filter(centres, lambda centre: centre > F.col("slot"))
-    return numbered.select(
+    centres = f"flatten(transform(days, day -> transform(near, at -> day * {per_day} + at)))"
+    return reached.select(
         "period",
         "slot",
         *ALERT_METRICS,
-        F.explode(F.concat(F.array("slot"), later)).alias("centre"),
+        F.expr(
+            f"explode(concat(array(slot), filter({centres}, centre -> centre > slot)))"
+        ).alias("centre"),
     )
 
 
-def _own() -> Column:
-    return F.col("slot") == F.col("centre")
-
-
 def _of_own(column: str) -> Column:
-    return F.max(F.when(_own(), F.col(column)))
+    return F.expr(f"max(CASE WHEN {OWN} THEN {column} END)")
 
 
-def _stats(metric: str, used: Column) -> Column:
+def _stats(metric: str, used: str) -> Column:
     """Sample size and exact quartiles of a metric over the rows that satisfy ``used``."""
-    sample = F.when(used, F.col(metric))
-    return F.struct(
-        F.count_if(used).alias("rows"),
-        F.count(sample).alias("defined"),
-        F.percentile(sample, F.array(F.lit(0.25), F.lit(0.75))).alias("quartiles"),
+    sample = f"CASE WHEN {used} THEN {metric} END"
+    return F.expr(
+        f"struct(count_if({used}) AS rows, count({sample}) AS defined,"
+        f" percentile({sample}, array(0.25D, 0.75D)) AS quartiles)"
     )
 
 
@@ -129,10 +132,10 @@ def _per_metric(frame: DataFrame, *names: str) -> DataFrame:
     """One row per metric; ``names`` start the columns that exist for each of them."""
     shared = [c for c in frame.columns if not c.endswith(tuple(ALERT_METRICS))]
     rows = [
-        F.struct(F.lit(m).alias("metric"), *[F.col(f"{n}{m}").alias(n.strip("_")) for n in names])
+        f"struct('{m}' AS metric, " + ", ".join(f"{n}_{m} AS {n}" for n in names) + ")"
         for m in ALERT_METRICS
     ]
-    return frame.select(*shared, F.inline(F.array(*rows)))
+    return frame.select(*shared, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def _band(p: Params) -> list[Column]:
@@ -156,11 +159,11 @@ def _band(p: Params) -> list[Column]:
 
 def slot_history(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     """Every slot and metric paired with the earlier values it is compared to."""
-    target = F.max(F.when(_own(), F.col("period"))).over(Window.partitionBy("centre"))
+    target = _of_own("period").over(Window.partitionBy("centre"))
     return (
         _look_backs(slots, days, p)
         .withColumn("target", target)
-        .where(F.col("target").isNotNull() & ~_own())
+        .where(f"target IS NOT NULL AND {EARLIER}")
         .select(
             F.col("target").alias("period"), F.col("period").alias("history_period"), *ALERT_METRICS
         )
@@ -176,11 +179,11 @@ def iqr_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
         .agg(
             _of_own("period").alias("period"),
             *[_of_own(m).alias(f"value_{m}") for m in ALERT_METRICS],
-            *[_stats(m, ~_own()).alias(f"stats_{m}") for m in ALERT_METRICS],
+            *[_stats(m, EARLIER).alias(f"stats_{m}") for m in ALERT_METRICS],
         )
         .where(F.col("period").isNotNull())
     )
-    return _per_metric(by_centre, "value_", "stats_").select(
+    return _per_metric(by_centre, "value", "stats").select(
         "period", "metric", "value", *_band(p)
     )
 
@@ -255,29 +258,26 @@ def chart_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     ``in_chart`` is false for a slot that gets a band across a gap but is
     older than the chart's rows.
     """
-    earlier_slot = F.when(~_own(), F.col("slot"))
-    earlier_period = F.when(~_own(), F.col("period"))
+    latest = F.expr(f"max(CASE WHEN {EARLIER} THEN slot END)")
+    latest_period = F.expr(f"max(CASE WHEN {EARLIER} THEN period END)")
     newest_first = Window.partitionBy("metric").orderBy(F.desc("centre"))
     rows = p.backfill_rows + 1
     by_centre = (
         _look_backs(slots, days, p)
-        .withColumn("latest", F.max(earlier_slot).over(Window.partitionBy("centre")))
+        .withColumn("latest", latest.over(Window.partitionBy("centre")))
         .groupBy("centre")
         .agg(
             _of_own("period").alias("period"),
             F.max("latest").alias("target"),
-            F.max(earlier_period).alias("target_period"),
+            latest_period.alias("target_period"),
             *[_of_own(m).alias(f"value_{m}") for m in ALERT_METRICS],
-            *[_stats(m, ~_own()).alias(f"own_{m}") for m in ALERT_METRICS],
-            *[
-                _stats(m, F.col("slot") < F.col("latest")).alias(f"given_{m}")
-                for m in ALERT_METRICS
-            ],
+            *[_stats(m, EARLIER).alias(f"own_{m}") for m in ALERT_METRICS],
+            *[_stats(m, "slot < latest").alias(f"given_{m}") for m in ALERT_METRICS],
         )
         .where(F.col("period").isNotNull())
     )
     centres = (
-        _per_metric(by_centre, "value_", "own_", "given_")
+        _per_metric(by_centre, "value", "own", "given")
         .withColumn("age", F.row_number().over(newest_first))
         .where(F.col("age") <= rows)
     )

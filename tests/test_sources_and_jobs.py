@@ -117,3 +117,18 @@ def test_an_alert_run_leaves_messages_and_the_charts_they_name(spark, tmp_path):
         {"metric": "Feed_users", "count": 5},
         {"metric": "Views", "count": 5},
     ]
+
+
+def test_stored_slots_equal_those_read_from_events(spark, tmp_path):
+    path = str(tmp_path / "slots")
+    f = feed(
+        spark, [(1, f"2024-01-{d} 10:{m}", "view") for d in (15, 29, 30) for m in ("00", "20")]
+    )
+    m = messages(spark, [(1, 2, f"2024-01-{d} 10:{m}") for d in (15, 29, 30) for m in ("01", "21")])
+    jobs.refresh_slots(f, m, P, path, days_back=15)
+    slots = jobs.refresh_slots(f, m, P, path)
+    expected = jobs.alert_slots(f, m, P)
+    assert slots.count() == 6
+    assert dicts(slots.select(*expected.columns)) == dicts(expected)
+    jobs.run_alerts(f, m, P, str(tmp_path / "alerts"), stored_slots=slots)
+    assert spark.read.parquet(str(tmp_path / "alerts" / "alert_messages")).count() == 0

@@ -11,6 +11,7 @@ back in.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import on_days
 from tidemark.operators import activity, anomaly, cohorts, reports, services, slices
@@ -99,10 +100,40 @@ def alert_slots(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
     return anomaly.slot_metrics(in_alert_days(feed, p), in_alert_days(messages, p), p)
 
 
-def run_alerts(feed: DataFrame, messages: DataFrame, p: Params, target: str) -> None:
-    """Messages for the newest slot and the charts of the metrics they name."""
+def refresh_slots(
+    feed: DataFrame, messages: DataFrame, p: Params, path: str, days_back: int = 1
+) -> DataFrame:
+    """Bring the stored slots of the newest days up to date; return those a run looks at.
+
+    A run every 15 minutes then reads two days of events. Events that come in
+    later than ``days_back`` days are not picked up, as they are by `alert_slots`.
+    """
+    newest = [(p.day(days_back), p.as_of)]
+    slots = anomaly.slot_metrics(on_days(feed, newest), on_days(messages, newest), p)
+    (
+        slots.repartition("event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+    stored = slots.sparkSession.read.schema(slots.schema).parquet(path)
+    return stored.where(F.col("event_date").isin(p.alert_days))
+
+
+def run_alerts(
+    feed: DataFrame,
+    messages: DataFrame,
+    p: Params,
+    target: str,
+    stored_slots: DataFrame | None = None,
+) -> None:
+    """Messages for the newest slot and the charts of the metrics they name.
+
+    Pass the slots from `refresh_slots` to keep from reading six days of events.
+    """
     run = _Run(p, target)
-    slots = run.store("slot_metrics", alert_slots(feed, messages, p))
+    slots = stored_slots or run.store("slot_metrics", alert_slots(feed, messages, p))
     days = anomaly.loaded_days(p.alert_days)
     alerts = run.store(
         "alert_messages", anomaly.alert_messages(anomaly.iqr_bands(slots, days, p))

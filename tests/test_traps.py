@@ -202,7 +202,8 @@ def test_day_without_common_users_is_left_out(spark):
     assert [r["event_date"] for r in usage] == [date(2024, 1, 28)]
     row = usage[0]
     assert row["all_users"] == 3
-    assert row["message_only_share"] + row["feed_only_share"] + row["both_share"] == pytest.approx(1)
+    shares = ("message_only_share", "feed_only_share", "both_share")
+    assert sum(row[share] for share in shares) == pytest.approx(1)
 
 
 def test_service_groups_partition_the_day(spark):

@@ -12,7 +12,7 @@ from tidemark.operators import anomaly
 from tidemark.params import Params
 from tidemark.plans import catalog
 from tidemark.sources.derived import StarSchema
-from tidemark.streaming.alerts import alert_writer, read_alerts
+from tidemark.streaming.alerts import alert_writer, read_alerts, run_alerts
 from tidemark.streaming.slots import read_slots, run_to_files, stream_slot_metrics
 from tidemark.streaming.state import STATE_STORE
 
@@ -120,3 +120,33 @@ def test_a_repeated_batch_leaves_no_second_alert(spark, tmp_path):
     write(slots.where("views = 500"), 2)
     alerts = read_alerts(spark, f"{tmp_path}/alerts").collect()
     assert [(a.metric, a.value, a.reported_value) for a in alerts] == [("Views", 500.0, 10.0)]
+
+
+def test_alerts_over_several_runs_equal_one_back_test(spark, tmp_path):
+    start = datetime(2024, 1, 29, 8)
+    feed, messages = [], []
+    for slot in range(40):
+        when = start + timedelta(minutes=15 * slot + 1)
+        users = range(30 if slot % 13 == 12 else 2 + slot % 2)
+        feed += [(u, when, "view" if u % 3 else "like") for u in users]
+        messages += [(u, when) for u in users]
+    cuts = [start, start + timedelta(hours=3), start + timedelta(hours=6), datetime(2024, 2, 1)]
+    for first, last in zip(cuts, cuts[1:]):
+        _write(spark, f"{tmp_path}/feed", [r for r in feed if first <= r[1] < last], FEED)
+        part = [r for r in messages if first <= r[1] < last]
+        _write(spark, f"{tmp_path}/messages", part, MESSAGES)
+        run_alerts(
+            _streams(spark, tmp_path),
+            f"{tmp_path}/slots",
+            f"{tmp_path}/alerts",
+            f"{tmp_path}/check",
+            P,
+        ).awaitTermination()
+    slots = anomaly.slot_metrics(
+        spark.createDataFrame(feed, FEED), spark.createDataFrame(messages, MESSAGES), P
+    ).where("period < timestamp'2024-01-29 16:45:00'")  # the last hour is still open
+    bands = anomaly.iqr_bands(slots, anomaly.following_days(P), P)
+    expected = dicts(anomaly.alert_messages(bands, last_only=False), "period", "metric")
+    found = dicts(read_alerts(spark, f"{tmp_path}/alerts"), "period", "metric")
+    assert {r["metric"] for r in expected} >= {"Views", "Feed_users", "Mes_users"}
+    assert found == [{**r, "period": r["period"].replace(tzinfo=None)} for r in expected]

@@ -25,7 +25,6 @@ ALERTS = T.StructType(
         T.StructField("compared_value", T.DoubleType()),
         T.StructField("deviation", T.DoubleType()),
         T.StructField("message", T.StringType()),
-        T.StructField("batch", T.LongType()),
     ]
 )
 
@@ -51,6 +50,7 @@ def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, i
         new = spark.read.schema(SLOT_METRICS).parquet(f"{history}/batch={batch}")
         first = new.agg(F.min("event_date")).first()[0]
         if first is None:
+            _replace_batch(spark.createDataFrame([], ALERTS), alerts, batch)
             return
         known = (
             spark.read.schema(STORED_SLOTS)

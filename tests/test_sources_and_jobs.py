@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 from tests.rows import dicts, feed, messages
+from tidemark.__main__ import JOBS, main
 from tidemark.operators import cohorts
 from tidemark.params import Params
 from tidemark.plans import catalog, jobs
@@ -132,3 +133,16 @@ def test_stored_slots_equal_those_read_from_events(spark, tmp_path):
     assert dicts(slots.select(*expected.columns)) == dicts(expected)
     jobs.run_alerts(f, m, P, str(tmp_path / "alerts"), stored_slots=slots)
     assert spark.read.parquet(str(tmp_path / "alerts" / "alert_messages")).count() == 0
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    paths = {name: str(tmp_path / name) for name in ("feed", "messages", "target", "store")}
+    feed(spark, FEED_ROWS).write.parquet(paths["feed"])
+    messages(spark, [(1, 2, "2024-01-29 10:00")]).write.parquet(paths["messages"])
+    for job in JOBS:
+        arguments = [f"--{name}={path}" for name, path in paths.items()]
+        main([job, "--as-of=2024-01-30", *arguments])
+    slices_written = spark.read.parquet(f"{paths['target']}/event_date=2024-01-29")
+    assert slices_written.count() == 6
+    assert spark.read.parquet(f"{paths['target']}/feed_weekly_dynamics").first().new == 2
+    assert spark.read.parquet(f"{paths['store']}/slots").count() == 1

@@ -30,8 +30,11 @@ ALERTS = T.StructType(
 
 
 def _replace_batch(frame: DataFrame, path: str, batch: int) -> None:
-    """Write the rows of one micro-batch; a retry of the batch replaces them."""
-    frame.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    """Write the rows of one micro-batch; a retry of the batch replaces them.
+
+    There are at most a few rows per closed slot, so one file holds them.
+    """
+    frame.repartition(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, int], None]:
@@ -46,7 +49,7 @@ def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, i
 
     def write(slots: DataFrame, batch: int) -> None:
         spark = slots.sparkSession
-        _replace_batch(slots.repartition(1), history, batch)
+        _replace_batch(slots, history, batch)
         new = spark.read.schema(SLOT_METRICS).parquet(f"{history}/batch={batch}")
         first = new.agg(F.min("event_date")).first()[0]
         if first is None:

@@ -89,6 +89,7 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
                 "stayed"
             ),
         )
+        .orderBy("week")
     )
 
 

@@ -28,6 +28,7 @@ def feed_kpi(feed: DataFrame, p: Params) -> DataFrame:
         .groupBy(event_date().alias("day"))
         .agg(F.count_distinct("user_id").alias("dau"), views(), likes())
         .withColumn("ctr", ratio(F.col("likes"), F.col("views")) * 100)
+        .orderBy("day")
     )
 
 

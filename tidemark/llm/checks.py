@@ -2,4 +2,48 @@
 
 from __future__ import annotations
 
-CHECK_SQL: dict[str, str] = {}
+OP2 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS host,
+           coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+win AS (
+    SELECT rid, i, array_to_string(list_slice(w, i, i + 2), ' ') AS g
+    FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+rep AS (
+    SELECT rid, count(DISTINCT i + k) AS n_repeat_words
+    FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win),
+         (SELECT unnest([0, 1, 2]) AS k)
+    WHERE c > 1 GROUP BY rid),
+raw AS (SELECT rid, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+worded AS (
+    SELECT rid, host, t, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM raw
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY rid),
+norm AS (
+    SELECT rid, host, t, len(lw) AS n,
+           translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') AS line
+    FROM worded),
+frequent AS (
+    SELECT host, line FROM norm
+    JOIN (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host) USING (host)
+    GROUP BY host, line, texts
+    HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) * 100 > texts * 10),
+gone AS (
+    SELECT rid, sum(n) AS removed_words FROM norm JOIN frequent USING (host, line) GROUP BY rid),
+c AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+           CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
+    FROM d LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT *, NOT base_failed AND (n_words - removed_words) * 100 >= n_words * 50 AS kept FROM f
+"""
+
+CHECK_SQL: dict[str, str] = {
+    "op2_line_frequency_rules": OP2,
+}

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import frames, packing
-from tidemark.llm.shared import table
+from tidemark.llm import discriminant, frames, lines, packing
+from tidemark.llm.shared import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE_TOKENS = 4096
@@ -27,6 +27,26 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(digests, SEQUENCE_TOKENS, packing.groups_for(docs))
 
 
+def op2_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every document, and whether it stays without its boilerplate."""
+    return lines.judge(table(spark, sf_dir, "documents"))
+
+
+def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document; rows of fold 1 of 3 are held out of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = discriminant.fit(docs, labels.where(~held_out))
+    return (
+        docs.select("doc_id", "text")
+        .withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+        .withColumn("score", discriminant.score(model, F.col("text")))
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        .drop("text")
+    )
+
+
 def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written token files hold of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -38,5 +58,7 @@ def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_line_frequency_rules": op2_line_frequency_rules,
+    "op6_quadratic_discriminant": op6_quadratic_discriminant,
     "op8_seekable_token_files": op8_seekable_token_files,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import discriminant, forest, frames, lines, packing
+from tidemark.llm import backoff, discriminant, forest, frames, lines, packing
 from tidemark.llm.shared import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,11 @@ def op2_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document; those of fold 2 of 7 teach the model nothing."""
+    return backoff.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document over two-word shingles."""
     return forest.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("text_key")
@@ -64,6 +69,7 @@ def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_frequency_rules": op2_line_frequency_rules,
+    "op3_backoff_automaton": op3_backoff_automaton,
     "op4_lsh_forest": op4_lsh_forest,
     "op6_quadratic_discriminant": op6_quadratic_discriminant,
     "op8_seekable_token_files": op8_seekable_token_files,

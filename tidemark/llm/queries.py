@@ -5,16 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import backoff, discriminant, forest, frames, lines, packing
-from tidemark.llm.shared import fold, table
+from tidemark.llm import (
+    backoff,
+    buckets,
+    chat,
+    discriminant,
+    forest,
+    frames,
+    lines,
+    merkle,
+    mixing,
+    packing,
+)
+from tidemark.llm.shared import fold, stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE_TOKENS = 4096
 PACKED_END = 1
 FILE_END = 2
+SHARD_BYTES = 1 << 20
+
+MIX_PATH = ["domain", "lang", "source"]
+# Target shares by node of the tree; what is not named weighs 1 beside its siblings.
+MIX_WEIGHTS = {
+    "/web": 60, "/books": 25, "/reference": 15,
+    "/web/en": 5, "/web/de": 2, "/web/fr": 2, "/books/en": 3, "/reference/en": 2,
+    "/web/en/src0": 2,
+}
+MIX_EPOCHS = 4
+MIX_SEED = 17
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +64,24 @@ def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("text_key")
 
 
+def domain_of(source: Column) -> Column:
+    """The sources numbered 0 to 9 are web, to 14 books, all others reference."""
+    number = F.regexp_extract(F.coalesce(source, F.lit("")), "([0-9]{1,9})$", 1)
+    number = F.try_to_number(number, F.lit("999999999"))
+    return F.when(number < 10, "web").when(number < 15, "books").otherwise("reference")
+
+
+def op5_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a mix of the size of the corpus, each with the epochs that take it."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source",
+        mixing.n_words(F.col("text")).alias("n_tokens"),
+    )
+    return mixing.mixed(
+        stored(docs, "sized"), MIX_PATH, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED
+    )
+
+
 def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document; rows of fold 1 of 3 are held out of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -57,6 +97,11 @@ def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, each of at most 1 MiB of text."""
+    return buckets.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written token files hold of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -66,11 +111,46 @@ def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted conversations say, read back from them."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    written = chat.formatted(chat.row_turns(rows.unionByName(extra)))
+    turns = chat.read_back(F.col("formatted"))
+    learned = F.array_join(chat.under_loss(F.col("formatted"), F.col("loss")), "")
+    told = F.array_join(
+        F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return written.select(
+        "conv_id",
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_frequency_rules": op2_line_frequency_rules,
     "op3_backoff_automaton": op3_backoff_automaton,
     "op4_lsh_forest": op4_lsh_forest,
+    "op5_hierarchical_mixing": op5_hierarchical_mixing,
     "op6_quadratic_discriminant": op6_quadratic_discriminant,
+    "op7_extendible_hashing": op7_extendible_hashing,
     "op8_seekable_token_files": op8_seekable_token_files,
+    "op9_merkle_fingerprints": op9_merkle_fingerprints,
+    "op10_chat_formatting": op10_chat_formatting,
 }

@@ -1,13 +1,81 @@
-"""The corpus pipeline: stages over the documents, each written and read again."""
+"""The corpus pipeline: five stages over the documents, each written and read again.
+
+1. quality classifier: documents that it scores below 0.5 go;
+2. quality rules: documents that fail go, boilerplate lines leave the others;
+3. near duplicates: of each group one document stays, over five-word shingles
+   at a similarity of 0.8, the one with the smallest id;
+4. mixing: a part of the corpus by target weights, no document twice;
+5. packing: the place of every piece in sequences of 4096 tokens.
+
+All stages but the last return the columns of the documents they got. Null and
+empty texts do not outlast the rules, a repeated row does not outlast the near
+duplicates, and an empty table stays one in all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import discriminant, forest, lines, mixing, packing, queries
 from tidemark.llm.shared import stored, table
 
-STAGES: list = []
+SHINGLE_WORDS = 5
+# Of the words that reach the mixing, in percent.
+MIX_SHARE = 80
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = discriminant.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.where(discriminant.score(model, F.col("text")) >= 0.5)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.cleaned(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = forest.near_duplicates(docs, SHINGLE_WORDS).where("kept")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    keyed = docs.withColumn("_text_key", lines.text_key(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    return (
+        keyed.join(kept, same, "left_semi")
+        .dropDuplicates(["doc_id", "_text_key"])
+        .select(*docs.columns)
+    )
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    measured = docs.withColumns(
+        {
+            "domain": queries.domain_of(F.col("source")),
+            "n_tokens": mixing.n_words(F.col("text")),
+        }
+    )
+    words = measured.agg(F.sum("n_tokens")).first()[0] or 0
+    return mixing.mixed(
+        measured,
+        queries.MIX_PATH,
+        queries.MIX_WEIGHTS,
+        total=words * MIX_SHARE // 100,
+        seed=queries.MIX_SEED,
+    ).select(*docs.columns)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return queries.packed(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("mixing", source_mixing),
+    ("packing", sequence_packing),
+]
 
+# The classifier and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 

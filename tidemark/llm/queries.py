@@ -39,9 +39,8 @@ MIX_EPOCHS = 4
 MIX_SEED = 17
 
 
-def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 4096 tokens."""
-    docs = table(spark, sf_dir, "documents")
+def packed(docs: DataFrame) -> DataFrame:
+    """The place of every piece of every document, and a digest of its ids."""
     pieces = packing.token_pieces(docs, TOKENIZER, PACKED_END, SEQUENCE_TOKENS)
     digests = pieces.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
@@ -49,6 +48,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(digests, SEQUENCE_TOKENS, packing.groups_for(docs))
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op2_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document, and whether it stays without its boilerplate."""
     return lines.judge(table(spark, sf_dir, "documents"))

@@ -49,17 +49,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     measured = docs.withColumns(
         {
-            "domain": queries.domain_of(F.col("source")),
-            "n_tokens": mixing.n_words(F.col("text")),
+            "_domain": queries.domain_of(F.col("source")),
+            "_words": mixing.n_words(F.col("text")),
         }
     )
-    words = measured.agg(F.sum("n_tokens")).first()[0] or 0
+    words = measured.agg(F.sum("_words")).first()[0] or 0
     return mixing.mixed(
         measured,
-        queries.MIX_PATH,
+        ["_domain", *queries.MIX_PATH[1:]],
         queries.MIX_WEIGHTS,
         total=words * MIX_SHARE // 100,
         seed=queries.MIX_SEED,
+        tokens="_words",
+        epoch="_epoch",
     ).select(*docs.columns)
 
 

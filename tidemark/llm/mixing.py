@@ -164,16 +164,21 @@ def mixed(
     total: int | None = None,
     max_epochs: int = 1,
     seed: int = 0,
+    tokens: str = "n_tokens",
+    epoch: str = "epoch",
 ) -> DataFrame:
-    """The documents with ``epoch``: a row for every epoch that takes the document.
+    """The documents with `epoch`: a row for every epoch that takes the document.
 
-    `docs` needs ``doc_id``, ``n_tokens`` and the columns of `path`; all columns are
-    kept. `total` is the budget in tokens, by default what the documents hold.
+    `docs` needs ``doc_id``, the column `tokens` and those of `path`; all columns
+    are kept, but for one named `epoch`, which is replaced. `total` is the budget in tokens, by default what the documents hold.
     Rows with equal ids have equal keys and are taken together; null ids have the
     key of an empty name. A leaf without tokens is never taken. No rows give none.
     """
     sized = stored(
-        docs.select("doc_id", *(known(n).alias(n) for n in path), "n_tokens"), "sized"
+        docs.select(
+            "doc_id", *(known(n).alias(n) for n in path), F.col(tokens).alias("n_tokens")
+        ),
+        "sized",
     )
     leaves = stored(sized.groupBy(*path).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     if total is None:
@@ -188,6 +193,6 @@ def mixed(
         .join(limit.toDF("_leaf", "_epochs", "_last"), "_leaf")
         .withColumn("_times", times)
         .where("_times > 0")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-        .select(*docs.columns, "epoch")
+        .withColumn(epoch, F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+        .select(*(n for n in docs.columns if n != epoch), epoch)
     )

@@ -1,0 +1,160 @@
+"""Language-model scores against a plain model; held-out accuracy of the classifier."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from tests.llm.samples import documents, folder, odd_rows, prose, row
+from tidemark.llm import backoff, discriminant, queries
+
+END = b"\n"
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), END]
+
+
+def plain_scores(rows):
+    """Bigram scores without blocks, hashes or states."""
+    texts = [tokens(r[1]) for r in rows]
+    train = [r[0] is None or crc32(str(r[0]).encode()) % 7 != 2 for r in rows]
+    words = Counter(w for t, use in zip(texts, train, strict=True) if use for w in t)
+    pairs = Counter(
+        p for t, use in zip(texts, train, strict=True) if use for p in zip([END, *t], t, strict=False)
+    )
+    n, v = sum(words.values()), len(words)
+    seen, once = Counter(), Counter()
+    for (h, _), c in pairs.items():
+        seen[int(math.log2(words[h]))] += c
+        once[int(math.log2(words[h]))] += c == 1
+    mass = {k: max(once[k] / seen[k], 1 / (seen[k] + 1)) for k in seen}
+    unknown = max(sum(c == 1 for c in words.values()) / n, 1 / (n + 1))
+
+    def chance(h, w):
+        p = (1 - unknown) * words[w] / n if w in words else unknown
+        if words[h]:
+            m = mass[int(math.log2(words[h]))]
+            p = (1 - m) * pairs[h, w] / words[h] + m * p
+        return p
+
+    for r, text, use in zip(rows, texts, train, strict=True):
+        base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in text)
+        score = sum(math.log10(chance(h, w)) for h, w in zip([END, *text], text, strict=False))
+        yield r[0], not use, len(text), sum(w in words for w in text), n, base, score
+
+
+def test_scores_are_those_of_a_plain_bigram_model(spark, tmp_path, monkeypatch):
+    rows = odd_rows() + [row(50 + i, prose(i % 7, 40 + i)) for i in range(60)]
+    sf_dir = folder(spark, tmp_path, documents=documents(spark, rows))
+    monkeypatch.setattr(backoff, "BLOCK_TOKENS", 2_000)
+    monkeypatch.setattr(backoff, "RANGE_TOKENS", 3_000)
+    got = sorted(map(tuple, queries.op3_backoff_automaton(spark, sf_dir).collect()), key=repr)
+    want = sorted(plain_scores(rows), key=repr)
+    assert len(got) == len(want)
+    for one, two in zip(got, want, strict=True):
+        assert one[:5] == two[:5]
+        assert one[5:] == pytest.approx(two[5:], rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_probabilities_of_a_state_add_up_to_one(monkeypatch, order):
+    monkeypatch.setattr(backoff, "ORDER", order)
+    rng = np.random.default_rng(3)
+    texts = [[*rng.choice([b"a", b"b", b"c", b"d", b"e"], rng.integers(1, 9)), END] for _ in range(40)]
+    words = sorted({w for t in texts for w in t})
+    hashes = np.array([backoff.hash_of(w) for w in words], np.uint64)
+    vocabulary, place = np.unique(hashes, return_inverse=True)
+    number = dict(zip(words, place.tolist(), strict=True))
+    ids = np.array([number[w] for t in texts for w in t])
+    sizes = np.array([len(t) for t in texts])
+    grams = backoff.grams_of(vocabulary, ids, sizes)
+    totals = [np.bincount(g.at[g.at >= 0], minlength=len(g.word)) for g in grams]
+    mass = np.full((order, backoff.CLASSES), 0.3)
+    automaton = backoff.Automaton(grams, totals, mass, int(sizes.sum()))
+
+    def state_chances(state):
+        total = 10**automaton.unknown * math.prod(
+            10 ** automaton.fail[s] for s in chain_of(state)
+        )
+        for word in range(len(words)):
+            at, weight = state, 0.0
+            while automaton.arcs.get(at * len(words) + word) is None:
+                weight += automaton.fail[at]
+                at = automaton.fail_to[at]
+            total += 10 ** (weight + automaton.weight[automaton.arcs[at * len(words) + word]])
+        return total
+
+    def chain_of(state):
+        while state:
+            yield state
+            state = automaton.fail_to[state]
+
+    # A highest-order context that only ends texts is never a state with arcs.
+    reached = {0, *automaton.to}
+    for state in reached:
+        spent = state_chances(state)
+        assert spent <= 1 + 1e-9
+        if order < 3:
+            assert spent == pytest.approx(1)
+
+
+def labelled(seed):
+    rows, labels = [], []
+    for i in range(240):
+        text = prose(seed + i, 60 + i % 90)
+        if i % 4 == 0:
+            words = text.split()
+            text = [
+                " ".join(w.upper() + "!!" for w in words), " | ".join(words),
+                " ".join(w + "###" for w in words), " ".join([words[0]] * 80 + [words[1]] * 50),
+            ][i // 4 % 4]
+        rows.append(row(i, text))
+        labels.append((i, int(i % 4 != 0), 0))
+    return rows, labels
+
+
+def test_held_out_documents_are_classified_right(spark, tmp_path):
+    rows, labels = labelled(900)
+    sf_dir = folder(
+        spark, tmp_path, documents=documents(spark, rows),
+        labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    )
+    found = queries.op6_quadratic_discriminant(spark, sf_dir).collect()
+    truth = {doc_id: quality for doc_id, quality, _ in labels}
+    held = [r for r in found if r.held_out]
+    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 3 == 1) for r in found)
+    assert len(held) > 50
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+
+
+def test_the_score_is_the_density_difference(spark):
+    rows, labels = labelled(70)
+    model = discriminant.fit(
+        documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    )
+    x = np.array([discriminant.statistics(r[1]) for r in rows])
+    y = np.array([quality for _, quality, _ in labels])
+    pooled = sum(np.cov(x[y == k].T, bias=True) * (y == k).sum() for k in (0, 1)) / len(y)
+    density = []
+    for k in (0, 1):
+        own = 0.9 * np.cov(x[y == k].T, bias=True) + 0.1 * pooled
+        own = 0.99 * own + (0.01 * np.trace(own) / len(own) + 1e-9) * np.eye(len(own))
+        gap = x - x[y == k].mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(own), gap)
+        density.append(
+            np.log((y == k).mean()) - 0.5 * (distance + np.linalg.slogdet(own)[1])
+        )
+    want = 1 / (1 + np.exp((density[0] - density[1]) / x.shape[1]))
+    assert model.score(x) == pytest.approx(want, abs=1e-6)
+
+
+def test_one_class_alone_rejects_nothing(spark):
+    rows, labels = labelled(30)
+    only = spark.createDataFrame([l for l in labels if l[1]], "doc_id long, quality int, toxic int")
+    assert discriminant.fit(documents(spark, rows), only) is None

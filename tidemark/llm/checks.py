@@ -125,7 +125,7 @@ FROM (SELECT *, unnest(range(times)) AS epoch FROM t)
 # Holds where no bucket is still too large after all 48 bits.
 OP7 = r"""
 WITH d AS (
-    SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+    SELECT row_number() OVER () AS rid, doc_id, strlen(coalesce(text, '')) AS n_bytes,
            ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))),
                            1, 12))::BIGINT AS h
     FROM documents),
@@ -135,8 +135,8 @@ SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(local_depth AS INT) AS l
        CASE WHEN local_depth = 0 THEN ''
             ELSE lpad(bin(h >> (48 - local_depth)), CAST(local_depth AS INT), '0') END AS shard,
        0 AS page
-FROM (SELECT doc_id, h, n_bytes, min(depth) AS local_depth FROM s
-      WHERE size <= 1048576 GROUP BY doc_id, h, n_bytes)
+FROM (SELECT rid, doc_id, h, n_bytes, min(depth) AS local_depth FROM s
+      WHERE size <= 1048576 GROUP BY rid, doc_id, h, n_bytes)
 """
 
 OP10 = r"""

@@ -10,11 +10,12 @@ are one class; the rest of the work is on one row per class:
    whole regions where signatures are sparse, and in dense ones compares at
    the depth at which about a window of rows is left.
 3. Neighbours whose signatures agree well enough are candidates; candidates are
-   confirmed on the full sets of both texts. That happens in three turns, so
-   that a group of thousands is not compared pair by pair: each class with two
-   of its candidates, then the best candidate between any two components, then
-   all candidates whose ends are still apart. Every candidate is confirmed,
-   refuted, or has ends that confirmed links already join.
+   confirmed on the full sets of both texts. A first look takes in only the
+   `NEAREST` neighbours, and each class is confirmed with two of those. That
+   joins groups of thousands without comparing them pair by pair. The second
+   look takes in whole windows, but only neighbours that are still apart: first
+   the best candidate between any two components, then all that remain. Every
+   candidate is confirmed, refuted, or has ends that confirmed links join.
 4. Components of the confirmed links.
 
 A pair at a similarity of exactly 0.8 shares the first four values of an order
@@ -40,6 +41,7 @@ from tidemark.llm.tokens import lower_words_of
 VALUES = 96
 ORDERS = 24
 WINDOW = 12
+NEAREST = 2
 LEAST_DEPTH = 2
 AGREEING = 60
 SIMILAR = 80  # percent
@@ -131,13 +133,15 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def candidates(classes: DataFrame, labelled: bool) -> DataFrame:
     """``a, b, agreeing`` with a < b: neighbours in some tree whose signatures agree.
 
-    `classes` has a row per class, with ``node`` and ``signature``. The rows of a
-    tree are dealt by ranges that include the node, so that a region of any
-    density spreads over tasks; the border between two tasks hides a pair in
-    one tree only.
+    `classes` has a row per class, with ``node``, ``signature`` and ``label``. If
+    `labelled`, the neighbours within the window that have different labels;
+    else the nearest neighbours, and (x, x, 0) for each end x of a candidate
+    further off. The rows of a tree are dealt by ranges that include the node,
+    so that a region of any density spreads over tasks; the border between two
+    tasks hides a pair in one tree only.
     """
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,44 +159,48 @@ def candidates(classes: DataFrame) -> DataFrame:
                             pa.binary(),
                         ),
                         batch.column("node"),
+                        batch.column("label"),
                     ],
-                    ["tree", "ordered", "node"],
+                    ["tree", "ordered", "node", "label"],
                 )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = np.empty(0, np.int32)
         table = np.empty((0, VALUES), np.uint8)
-        nodes = np.empty(0, np.int64)
+        nodes, labels = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             new = len(nodes)
             ordered = np.frombuffer(b"".join(batch.column("ordered").to_pylist()), np.uint8)
             trees = np.concatenate([trees, batch.column("tree").to_numpy()])
             table = np.concatenate([table, ordered.reshape(-1, VALUES)])
             nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
+            labels = np.concatenate([labels, batch.column("label").to_numpy()])
+            far = []
             for step in range(1, min(WINDOW, len(nodes) - 1) + 1):
                 first, second = table[:-step], table[step:]
                 near = (trees[:-step] == trees[step:]) & (
                     first[:, :LEAST_DEPTH] == second[:, :LEAST_DEPTH]
                 ).all(axis=1)
+                if labelled:
+                    near &= labels[:-step] != labels[step:]
                 near[: max(0, new - step)] = False
                 at = np.flatnonzero(near)
                 agreeing = (first[at] == second[at]).sum(axis=1)
                 at, agreeing = at[agreeing >= AGREEING], agreeing[agreeing >= AGREEING]
-                if len(at):
-                    a, b = nodes[at], nodes[at + step]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.minimum(a, b)),
-                            pa.array(np.maximum(a, b)),
-                            pa.array(agreeing.astype(np.int32)),
-                        ],
-                        ["a", "b", "agreeing"],
-                    )
-            trees, table, nodes = trees[-WINDOW:], table[-WINDOW:], nodes[-WINDOW:]
+                a, b = nodes[at], nodes[at + step]
+                if labelled or step <= NEAREST:
+                    yield _pairs(np.minimum(a, b), np.maximum(a, b), agreeing)
+                else:
+                    far += [a, b]
+            if far:
+                ends = np.unique(np.concatenate(far))
+                yield _pairs(ends, ends, np.zeros(len(ends)))
+            trees, table = trees[-WINDOW:], table[-WINDOW:]
+            nodes, labels = nodes[-WINDOW:], labels[-WINDOW:]
 
     return (
-        classes.select("node", "signature")
-        .mapInArrow(plant, "tree int, ordered binary, node long")
+        classes.select("node", "signature", "label")
+        .mapInArrow(plant, "tree int, ordered binary, node long, label long")
         .repartitionByRange("tree", "ordered", "node")
         .sortWithinPartitions("tree", "ordered", "node")
         .mapInArrow(look, "a long, b long, agreeing int")
@@ -201,6 +209,12 @@ def candidates(classes: DataFrame) -> DataFrame:
     )
 
 
+def _pairs(a: np.ndarray, b: np.ndarray, agreeing: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32))], ["a", "b", "agreeing"]
+    )
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """The pairs whose full sets are similar enough; `texts` has ``node`` and ``text``."""
 
@@ -231,13 +245,16 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
 
     `rows` is the stored result of `signed`.
     """
-    classes = (
+    classes = stored(
         rows.where("node is not null")
         .groupBy("node")
-        .agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key"))
+        .agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key")),
+        "classes",
     )
-    pairs = stored(candidates(classes), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nearest = stored(
+        candidates(classes.withColumn("label", F.col("node")), labelled=False), "nearest"
+    )
+    ends = nearest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = stored(
         docs.select(text_key(F.col("text")).alias("text_key"), "text")
         .join(classes.select("node", "text_key").join(ends, "node", "left_semi"), "text_key")
@@ -245,7 +262,8 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         .agg(F.first("text").alias("text")),
         "candidate-texts",
     )
-    both = pairs.union(pairs.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
+    nearest = nearest.where("a != b")
+    both = nearest.union(nearest.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
     rank = F.xxhash64("other")
     chosen = (
         both.groupBy("node")
@@ -259,9 +277,14 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     )
     tried = stored(chosen, "tried")
     found = stored(confirmed(tried, texts, words), "links")
+    labels = stored(components(found), "labels")
+    relabelled = classes.join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node")
+    )
+    pairs = candidates(stored(relabelled, "relabelled"), labelled=True)
+    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "windows")
     for turn in ("best", "rest"):
-        labels = stored(components(found), "labels")
-        pairs = stored(_apart(pairs.join(tried, ["a", "b"], "left_anti"), labels), "apart")
+        pairs = stored(_apart(pairs, labels), "apart")
         if pairs.isEmpty():
             return labels
         tried = pairs.select("a", "b")
@@ -269,7 +292,9 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
             best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
             tried = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
         found = found.union(stored(confirmed(tried, texts, words), "links"))
-    return components(found)
+        labels = stored(components(found), "labels")
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    return labels
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -297,15 +322,22 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     """
     rows = stored(signed(docs, words), "signed")
     labels = linked(docs, rows, words)
-    classes = (
-        rows.where("node is not null")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("least"))
-        .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
+    least = (
+        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    )
+    names = (
+        least.join(labels, "node").groupBy("label").agg(F.min("least").alias("component_id"))
+    )
+    members = labels.join(stored(names, "component-names"), "label").drop("label")
+    named = stored(
+        least.join(members, "node", "left").select(
+            "node",
+            F.when(F.col("component_id").isNull(), F.col("least"))
+            .otherwise(F.col("component_id"))
+            .alias("component_id"),
+        ),
+        "named-classes",
     )
-    names = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = classes.join(names, "label").select("node", "component_id")
     return (
         rows.join(named, "node", "left")
         .withColumn(

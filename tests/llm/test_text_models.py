@@ -33,7 +33,7 @@ def plain_scores(rows):
         seen[int(math.log2(words[h]))] += c
         once[int(math.log2(words[h]))] += c == 1
     mass = {k: max(once[k] / seen[k], 1 / (seen[k] + 1)) for k in seen}
-    unknown = max(sum(c == 1 for c in words.values()) / n, 1 / (n + 1))
+    unknown = min(max(sum(c == 1 for c in words.values()) / n, 1 / (n + 1)), n / (n + 1))
 
     def chance(h, w):
         p = (1 - unknown) * words[w] / n if w in words else unknown
@@ -61,46 +61,46 @@ def test_scores_are_those_of_a_plain_bigram_model(spark, tmp_path, monkeypatch):
         assert one[5:] == pytest.approx(two[5:], rel=1e-9)
 
 
+def test_a_single_short_text_has_finite_scores(spark, tmp_path):
+    sf_dir = folder(spark, tmp_path, documents=documents(spark, [row(1, "one two"), row(2, "x")]))
+    for r in queries.op3_backoff_automaton(spark, sf_dir).collect():
+        assert math.isfinite(r.score) and r.score < 0
+
+
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
-def test_probabilities_of_a_state_add_up_to_one(monkeypatch, order):
+def test_all_texts_of_up_to_some_words_have_the_probability_of_their_kind(monkeypatch, order):
+    """In every state the known words and the unknown one add up to 1."""
     monkeypatch.setattr(backoff, "ORDER", order)
     rng = np.random.default_rng(3)
-    texts = [[*rng.choice([b"a", b"b", b"c", b"d", b"e"], rng.integers(1, 9)), END] for _ in range(40)]
-    words = sorted({w for t in texts for w in t})
-    hashes = np.array([backoff.hash_of(w) for w in words], np.uint64)
-    vocabulary, place = np.unique(hashes, return_inverse=True)
-    number = dict(zip(words, place.tolist(), strict=True))
+    words = [b"a", b"b", b"c"]
+    train = [[*rng.choice(words, rng.integers(0, 5)), END] for _ in range(12)]
+    every = [[]]
+    for _ in range(3):
+        every += [[*t, w] for t in every for w in [*words, b"?"] if len(t) == len(every[-1])]
+    tries = [[*t, w] for t in every for w in [*words, b"?", END]]
+    texts = train + [t if t[-1] == END else [*t, END] for t in tries]
+    listed = sorted({w for t in texts for w in t})
+    vocabulary, place = np.unique(
+        np.array([backoff.hash_of(w) for w in listed], np.uint64), return_inverse=True
+    )
+    number = dict(zip(listed, place.tolist(), strict=True))
     ids = np.array([number[w] for t in texts for w in t])
     sizes = np.array([len(t) for t in texts])
     grams = backoff.grams_of(vocabulary, ids, sizes)
-    totals = [np.bincount(g.at[g.at >= 0], minlength=len(g.word)) for g in grams]
+    trains = np.repeat(np.arange(len(texts)) < len(train), sizes)
+    totals = [g.counts(trains)[g.key_of].astype(np.int64) for g in grams]
     mass = np.full((order, backoff.CLASSES), 0.3)
-    automaton = backoff.Automaton(grams, totals, mass, int(sizes.sum()))
-
-    def state_chances(state):
-        total = 10**automaton.unknown * math.prod(
-            10 ** automaton.fail[s] for s in chain_of(state)
-        )
-        for word in range(len(words)):
-            at, weight = state, 0.0
-            while automaton.arcs.get(at * len(words) + word) is None:
-                weight += automaton.fail[at]
-                at = automaton.fail_to[at]
-            total += 10 ** (weight + automaton.weight[automaton.arcs[at * len(words) + word]])
-        return total
-
-    def chain_of(state):
-        while state:
-            yield state
-            state = automaton.fail_to[state]
-
-    # A highest-order context that only ends texts is never a state with arcs.
-    reached = {0, *automaton.to}
-    for state in reached:
-        spent = state_chances(state)
-        assert spent <= 1 + 1e-9
-        if order < 3:
-            assert spent == pytest.approx(1)
+    corpus = sum(map(len, train))
+    first = np.zeros(len(ids), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    steps = backoff.Automaton(grams, totals, mass, corpus).read(first, number[END])
+    starts = np.cumsum(sizes) - sizes
+    at = dict(zip(map(tuple, tries), range(len(train), len(texts)), strict=True))
+    for before in every:
+        chances = [
+            10 ** steps[starts[at[*before, w]] + len(before)] for w in [*words, b"?", END]
+        ]
+        assert sum(chances) == pytest.approx(1)
 
 
 def labelled(seed):

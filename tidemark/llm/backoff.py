@@ -10,7 +10,9 @@ known words and the unknown one add up to 1 in every state.
 
 As an automaton: n-grams are states, an arc carries the log probability of a
 word, and the failure arc of a state carries log m to the state of h'. A text
-is read once from left to right, starting in the state of a text's end.
+is read once from left to right, starting in the state of a text's end. As the
+state after a word is the longest known n-gram that ends there, all positions of
+a block move on together: each takes its arc, or its failure arc and tries again.
 
 The n-grams of a corpus fit no machine, so none holds them. Documents are put
 into blocks; each block sends the hashes of its distinct n-grams with their
@@ -37,10 +39,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import kind_of, stored
-from tidemark.llm.tokens import words_of
+from tidemark.llm.tokens import lower_words_of
 
 ORDER = 2
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 2_000_000
 RANGE_TOKENS = 4_000_000
 GRAM_BITS = 48
 CLASSES = 64
@@ -56,7 +58,7 @@ def bits_of(order: int) -> int:
 def squeezed(values: np.ndarray) -> bytes:
     """Integers as a compressed block of their byte planes; most high bytes are zero."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unsqueezed(packed: bytes, kind: type) -> np.ndarray:
@@ -128,6 +130,14 @@ def hash_of(word: bytes) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(word))
 
 
+class Numbers(dict):
+    """Numbers words in the order of their first look-up."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def blocks_of(docs: DataFrame, held_out: Column) -> DataFrame:
     """Documents in blocks of about `BLOCK_TOKENS` tokens, their words as numbers."""
     kind = kind_of(docs, "doc_id")
@@ -135,7 +145,7 @@ def blocks_of(docs: DataFrame, held_out: Column) -> DataFrame:
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         schema = None
-        ids, out, sizes, numbers, known = [], [], [], [], {END: 0}
+        ids, out, sizes, numbers, known = [], [], [], [], Numbers()
         made = tokens = 0
 
         def block() -> pa.RecordBatch:
@@ -164,24 +174,15 @@ def blocks_of(docs: DataFrame, held_out: Column) -> DataFrame:
                     ]
                 )
             for doc_id, text, apart in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(text and text_lower(text))
-                words.append(END)
-                many = len(known)
-                number = []
-                for word in words:
-                    value = known.get(word)
-                    if value is None:
-                        value = known[word] = many
-                        many += 1
-                    number.append(value)
+                words = [*lower_words_of(text), END]
                 ids.append(doc_id)
                 out.append(apart)
                 sizes.append(len(words))
-                numbers.append(np.array(number, np.int64))
+                numbers.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
                 tokens += len(words)
                 if tokens >= BLOCK_TOKENS:
                     yield block()
-                    ids, out, sizes, numbers, known = [], [], [], [], {END: 0}
+                    ids, out, sizes, numbers, known = [], [], [], [], Numbers()
                     made, tokens = made + 1, 0
         if ids:
             yield block()
@@ -195,13 +196,6 @@ def blocks_of(docs: DataFrame, held_out: Column) -> DataFrame:
     )
 
 
-def text_lower(text: str) -> str:
-    return text.translate(LOWER)
-
-
-LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
-
-
 def opened(row: dict) -> tuple[list[Grams], np.ndarray, np.ndarray]:
     """N-grams of a block, sizes of its documents, and which positions train."""
     sizes = np.array(row["sizes"], np.int64)
@@ -354,74 +348,69 @@ def masses(blocks: DataFrame) -> np.ndarray:
     )
     mass = np.ones((ORDER, CLASSES))
     for row in rows:
-        floor = 1 / (row["positions"] + 1)
-        mass[row["level"], row["size"]] = max(row["once"] / row["positions"], floor)
+        least = 1 / (row["positions"] + 1)
+        mass[row["level"], row["size"]] = max(row["once"] / row["positions"], least)
+        if row["level"] == 0:  # Known words keep a part even if all were seen once.
+            mass[0, 0] = min(mass[0, 0], 1 - least)
     return mass
 
 
 class Automaton:
     """The states and arcs that the texts of one block can reach.
 
-    State 0 is the root; the n-grams of each order below the highest follow as
-    states. An arc is found by state and word; `weight` is its log10
-    probability and `to` the state it leads to. Failure arcs lead to the state
-    without the first word.
+    An n-gram that was seen in training is an arc from the state of its first
+    words, with a log10 probability, and below the highest order also a state,
+    with a failure arc to the state of the n-gram without its first word. An
+    n-gram that was not seen is neither. State 0 is the root, whose failure is
+    the unknown word.
     """
 
     def __init__(
         self, grams: list[Grams], totals: list[np.ndarray], mass: np.ndarray, corpus: int
     ) -> None:
-        self.words = len(grams[0].word)
-        states = np.cumsum([1, *(len(g.word) for g in grams)])
-        codes, weights, to = [], [], []
-        fail, fail_to = [np.zeros(1)], [np.zeros(1, np.int64)]
-        lower = np.zeros(0)
-        root = np.zeros(self.words, np.int64)
-        for n, (g, count) in enumerate(zip(grams, totals, strict=True)):
-            known = count > 0
-            if n == 0:
-                share = mass[0, 0]
-                chance = (1 - share) * count / max(corpus, 1)
-                context = root
-            else:
+        self.grams = grams
+        self.known = [total > 0 for total in totals]
+        self.arcs: list[np.ndarray] = []
+        self.failures: list[np.ndarray] = []
+        chance = np.zeros(0)
+        for n, (g, total, known) in enumerate(zip(grams, totals, self.known, strict=True)):
+            if n:
                 below = totals[n - 1][g.context]
                 share = mass[n][size_class(below)]
-                chance = (1 - share) * count / np.maximum(below, 1) + share * lower[g.suffix]
-                context = states[n - 1] + g.context
-            shorter = states[n - 1] + g.suffix if n else root
-            highest = n == len(grams) - 1
-            codes.append((context * self.words + g.word)[known])
-            weights.append(np.log10(chance[known]))
-            to.append((shorter if highest else states[n] + np.arange(len(count)))[known])
-            if not highest:
-                fail.append(np.log10(mass[n + 1][size_class(count)]))
-                fail_to.append(shorter)
-            lower = chance
-        self.weight = np.concatenate(weights).tolist()
-        self.to = np.concatenate(to).tolist()
-        self.arcs = dict(zip(np.concatenate(codes).tolist(), range(len(self.to)), strict=True))
-        self.fail = np.concatenate(fail).tolist()
-        self.fail_to = np.concatenate(fail_to).tolist()
+                chance = (1 - share) * total / np.maximum(below, 1) + share * chance[g.suffix]
+            else:
+                chance = (1 - mass[0, 0]) * total / max(corpus, 1)
+            self.arcs.append(np.log10(np.where(known, chance, 1)))
+            if n < len(grams) - 1:
+                self.failures.append(np.log10(mass[n + 1][size_class(total)]))
         self.unknown = float(np.log10(mass[0, 0]))
 
-    def score(self, words: list[int]) -> float:
-        """The log10 probability of a text that ends with the end, which it also starts from."""
-        find, weight, to = self.arcs.get, self.weight, self.to
-        fail, fail_to, many = self.fail, self.fail_to, self.words
-        total = 0.0
-        ended = find(words[-1])
-        state = 0 if ended is None else to[ended]
-        for word in words:
-            arc = find(state * many + word)
-            while arc is None and state:
-                total += fail[state]
-                state = fail_to[state]
-                arc = find(state * many + word)
-            if arc is None:
-                total += self.unknown
+    def states(self, first: np.ndarray, end: int) -> np.ndarray:
+        """The order of the state before each position; `first` marks where texts start."""
+        order = np.zeros(len(first), np.int64)
+        for n, g in enumerate(self.grams[:-1], 1):
+            order[(g.at >= 0) & self.known[n - 1][g.at]] = n
+        state = np.concatenate([[0], order[:-1]])
+        state[first] = min(int(self.known[0][end]), len(self.grams) - 1)
+        return state
+
+    def read(self, first: np.ndarray, end: int) -> np.ndarray:
+        """What each position adds to the log10 probability of its text."""
+        state = self.states(first, end)
+        total = np.zeros(len(first))
+        moving = np.ones(len(first), bool)
+        for n in range(len(self.grams) - 1, -1, -1):
+            g = self.grams[n]
+            here = np.flatnonzero(moving & (state == n))
+            found = self.known[n][g.at[here]]
+            total[here[found]] += self.arcs[n][g.at[here[found]]]
+            moving[here[found]] = False
+            stuck = here[~found]
+            if n:
+                total[stuck] += self.failures[n - 1][g.context[g.at[stuck]]]
+                state[stuck] = n - 1
             else:
-                total += weight[arc]
-                state = to[arc]
+                total[stuck] += self.unknown
         return total
 
 
@@ -447,12 +436,14 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             for at, row in enumerate(batch.to_pylist()):
                 grams, sizes, _ = opened(row)
                 totals = totals_of(row, grams)
-                automaton = Automaton(grams, totals, mass, corpus)
                 words = grams[0].at
                 count = totals[0][words]
                 starts = np.cumsum(sizes) - sizes
+                first = np.zeros(len(words), bool)
+                first[starts] = True
+                # Every text ends with the end.
+                steps = Automaton(grams, totals, mass, corpus).read(first, int(words[-1]))
                 base = np.log10((count + 1) / (corpus + distinct + 1))
-                texts = np.split(words, starts[1:])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_ids")[at].values,
@@ -461,7 +452,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                         pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
                         pa.array(np.full(len(sizes), corpus)),
                         pa.array(np.add.reduceat(base, starts)),
-                        pa.array([automaton.score(text.tolist()) for text in texts], pa.float64()),
+                        pa.array(np.add.reduceat(steps, starts)),
                     ],
                     [
                         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens",

@@ -102,27 +102,27 @@ def test_equal_texts_and_edits_of_a_merkle_tree():
     assert [p.number for p in new] == [3]
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_fingerprints_against_the_plain_rule(spark, parts):
+@pytest.mark.parametrize("range_rows", [1, 7, 1000])
+@pytest.mark.parametrize("nulls", [0, 3])
+def test_fingerprints_against_the_plain_rule(spark, range_rows, nulls):
     rows = [row(i * 3, prose(i, i * 5) if i % 9 else None) for i in range(40)]
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    found = merkle.fingerprints(documents(spark, rows)).collect()
-    spark.conf.set("spark.sql.shuffle.partitions", 8)
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    ordered = sorted(((r[0], r[1] or "") for r in rows), reverse=True)
-    assert len(found) == len(rows)
+    rows += [row(30, prose(77, 40)), row(0, "a zero"), row(117, "b last"), row(-5, "negative one")]
+    rows += [row(None, f"null {i}") for i in range(nulls)]
+    found = merkle.fingerprints(documents(spark, rows), range_rows).collect()
+    ordered = sorted(
+        ((r[0], r[1] or "") for r in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1])
+    )
+    want = []
     for k, (doc_id, text) in enumerate(ordered):
         following = ordered[(k + 1) % len(ordered)][1]
         half = len(text) // 2
         changed = text[: len(text) - half] + following[:half]
-        (r,) = [r for r in found if r.doc_id == doc_id]
-        assert r.n_chars == len(text)
-        assert r.edited_sha256 == sha256(changed.encode()).hexdigest()
-        assert r.fingerprint == merkle.fingerprint(text)
-        assert r.edited_fingerprint == merkle.fingerprint(changed)
-        assert r.near_edited == merkle.likeness(r.fingerprint, r.edited_fingerprint)
-        assert r.near_next == merkle.likeness(r.fingerprint, merkle.fingerprint(following))
+        one, two = merkle.fingerprint(text), merkle.fingerprint(changed)
+        near = merkle.likeness(one, two), merkle.likeness(one, merkle.fingerprint(following))
+        want.append(
+            (doc_id, len(text), sha256(changed.encode()).hexdigest(), one, two, *near)
+        )
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
 
 
 def test_only_oversized_buckets_split(spark):

@@ -20,15 +20,17 @@ from dataclasses import dataclass
 from hashlib import blake2b, sha256
 from zlib import crc32
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import kind_of, stored
+from tidemark.llm.shared import kind_of
 
 RUN = 4
 SECTION = 8
+RANGE_ROWS = 5_000
 ROOT_BYTES, NODE_BYTES = 16, 8
 LEAF_DIGITS = 6
 
@@ -165,88 +167,82 @@ def compared(text: str, own: str, following: str, other: str) -> tuple:
     )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Per document its fingerprint, and those of its edited text and its successor.
 
     Successors go by descending ``doc_id``; after the last comes the first. Null
     texts are empty; null ids come last, rows with equal ids in the order of
     their texts. A single document is its own successor, no document gives no row.
 
-    Documents are dealt by ranges of the id and each task reads its range in
-    order, holding two documents at a time. A task cannot know the document
-    after its last one; so it also leaves its first and last text, and these
-    few rows, two per task, are paired in a second step.
+    The ids alone are first cut into ranges of about `range_rows`. Each task
+    then reads whole ranges in order and holds two documents at a time. The
+    document after a range is the first of the next one, so documents with a
+    range's first id also go to the end of the range before.
     """
     kind = kind_of(docs, "doc_id")
-    fields = [*OUTPUT, ("task", pa.int32()), ("first", pa.string()), ("last", pa.string())]
+    firsts = _first_ids(docs, range_rows)
+    known = np.array([i for i in firsts if i is not None], np.int64)[::-1]
+
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series) -> pd.Series:
+        found = ids.fillna(np.iinfo(np.int64).min).to_numpy()
+        at = len(known) - 1 - np.searchsorted(known, found, side="left")
+        return pd.Series(np.clip(at, 0, max(len(firsts) - 1, 0)).astype(np.int32))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        first = before = None
+        before = None
         for batch in batches:
-            ids, rows = [], []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows = []
+            for part, is_next, doc_id, text in zip(
+                *(batch.column(n).to_pylist() for n in ("part", "is_next", "doc_id", "text")),
+                strict=True,
+            ):
                 text = text or ""
                 printed = fingerprint(text)
-                if before is None:
-                    first = text
-                else:
-                    ids.append(before[0])
-                    rows.append((*compared(*before[1:], text, printed), None, None, None))
-                before = (doc_id, text, printed)
-            yield _batch(ids, rows, batch.column(0).type)
-            id_type = batch.column(0).type
-        if before is not None:
-            ends = (*[None] * len(OUTPUT), task, first, before[1])
-            yield _batch([before[0]], [ends], id_type)
-
-    def _batch(ids: list, rows: list, id_type: pa.DataType) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [()] * len(fields)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids, id_type),
-                *(pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)),
-            ],
-            ["doc_id", *(n for n, _ in fields)],
-        )
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                compared(text, fingerprint(text), following, fingerprint(following))
-                for text, following in zip(
-                    *(batch.column(n).to_pylist() for n in ("last", "following")), strict=True
-                )
-            ]
-            columns = list(zip(*rows, strict=True)) or [()] * len(OUTPUT)
+                if before is not None and before[0] == part:
+                    rows.append((before[1], *compared(*before[2:], text, printed)))
+                before = None if is_next else (part, doc_id, text, printed)
+            columns = list(zip(*rows, strict=True)) or [()] * (1 + len(OUTPUT))
+            kinds = [batch.column("doc_id").type, *(t for _, t in OUTPUT)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    *(pa.array(c, t) for c, (_, t) in zip(columns, OUTPUT, strict=True)),
-                ],
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
                 ["doc_id", *(n for n, _ in OUTPUT)],
             )
 
-    order = [F.desc_nulls_last("doc_id"), F.asc("text")]
-    rows = stored(
-        docs.select("doc_id", "text")
-        .repartitionByRange(F.desc_nulls_last("doc_id"))
-        .sortWithinPartitions(*order)
-        .mapInArrow(read, f"doc_id {kind}, {OUTPUT_SQL}, task int, first string, last string"),
-        "fingerprints",
-    )
-    ends = rows.where("task is not null").select("doc_id", "task", "first", "last")
-    tasks = [row["task"] for row in ends.select("task").collect()]
-    following = dict(zip(sorted(tasks), [*sorted(tasks)[1:], *sorted(tasks)[:1]], strict=True))
-    successors = ends.sparkSession.createDataFrame(
-        list(following.items()), "task int, successor int"
+    part = range_of("_id")
+    # Nulls, whatever their type, are after all ids.
+    ids = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("_id"))
+    first = F.col("_id").isNull() if None in firsts else F.col("_id").isin(firsts)
+    before = F.pmod(F.col("part") + F.lit(len(firsts) - 1), F.lit(max(len(firsts), 1)))
+    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("is_next"))
+    copy = F.struct(before.alias("part"), F.lit(True).alias("is_next"))
+    return (
+        ids.withColumn("part", part)
+        .withColumn("place", F.explode(F.when(first, F.array(own, copy)).otherwise(F.array(own))))
+        .select("place.part", "place.is_next", "doc_id", "text")
+        .repartitionByRange("part")
+        .sortWithinPartitions("part", "is_next", F.desc_nulls_last("doc_id"), F.asc("text"))
+        .mapInArrow(read, f"doc_id {kind}, {OUTPUT_SQL}")
     )
-    firsts = ends.select(F.col("task").alias("successor"), F.col("first").alias("following"))
-    paired = (
-        ends.join(successors, "task")
-        .join(firsts, "successor")
-        .select("doc_id", "last", "following")
-        .mapInArrow(pair, f"doc_id {kind}, {OUTPUT_SQL}")
+
+
+def _first_ids(docs: DataFrame, range_rows: int) -> list[int | None]:
+    """The first id of every range, descending: one in some thousand ids."""
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((batch for batch in batches if batch.num_rows), None)
+        for _ in batches:
+            pass
+        if first is not None:
+            yield first.slice(0, 1)
+
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    ranges = max(1, docs.count() // range_rows)
+    order = F.desc_nulls_last("id")
+    found = (
+        ids.repartitionByRange(ranges, order).sortWithinPartitions(order).mapInArrow(ends, "id long")
     )
-    done = rows.where("task is null").select("doc_id", *(n for n, _ in OUTPUT))
-    return done.unionByName(paired)
+    numbers = [row["id"] for row in found.collect()]
+    some = sorted({i for i in numbers if i is not None}, reverse=True)
+    # Ranges begin with an id; nulls end the last one and are a range only without ids.
+    return some or numbers[:1]

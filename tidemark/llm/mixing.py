@@ -60,18 +60,19 @@ def budgets(
         pairs = chain.from_iterable((F.lit(k), F.lit(v)) for k, v in weights.items())
         weight = F.coalesce(F.create_map(*pairs)[F.col("_node")], weight)
     room = leaves.withColumn("_room", F.col("tokens") * max_epochs)
-    given = leaves.sparkSession.range(1).select(
-        F.lit("").alias("_parent"), F.lit(int(total)).cast("long").alias("_budget")
-    )
+    given = None
     for level in range(1, len(path) + 1):
         above = path_of(path[: level - 1]) if level > 1 else F.lit("")
-        nodes = (
-            room.groupBy(above.alias("_parent"), path_of(path[:level]).alias("_node"))
-            .agg(F.sum("_room").alias("_room"))
-            .join(given, "_parent")
-            .withColumn("_weight", weight)
+        nodes = room.groupBy(above.alias("_parent"), path_of(path[:level]).alias("_node")).agg(
+            F.sum("_room").alias("_room")
+        )
+        if given is None:
+            nodes = nodes.withColumn("_budget", F.lit(int(total)).cast("long"))
+        else:
+            nodes = nodes.join(given, "_parent")
+        given = _shared_out(nodes.withColumn("_weight", weight)).select(
+            F.col("_node").alias("_parent"), "_budget"
         )
-        given = _shared_out(nodes).select(F.col("_node").alias("_parent"), "_budget")
     return (
         leaves.withColumn("_parent", path_of(path))
         .join(given, "_parent")

@@ -10,10 +10,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.plans import catalog
+from tidemark.plans.checks import CHECK_SQL as CHECKS
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-CHECKS = entry_point.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +41,8 @@ def _sorted_rows(columns, rows):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(CHECKS) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))

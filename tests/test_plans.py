@@ -8,14 +8,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import activity, reports
-from tidemark.plans import catalog
+from tidemark.plans import catalog, jobs
 from tidemark.plans.catalog import P
 from tidemark.sources.derived import StarSchema
-from tidemark.sources.tables import FEED_ACTIONS, read_events, write_events
+from tidemark.sources.tables import (
+    FEED_ACTIONS,
+    MESSAGE_ACTIONS,
+    read_events,
+    write_events,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 STREAMS = {"stream_slot_metrics", "stream_alerts"}
-WRITERS = STREAMS | {"slice_sink"}
+WRITERS = STREAMS | {"slice_sink", "slots_from_store", "weekly_from_store", "alert_run"}
 
 
 def plan(frame, mode: str = "formatted") -> str:
@@ -132,3 +137,43 @@ def test_an_overfull_country_lookup_is_split(spark, tmp_path):
             spark.conf.unset(key)
     assert len(rows) == hot.where("event_type in ('view', 'click', 'error')").count()
     assert "skew=true" in text
+
+
+def test_weekly_cohorts_take_one_shuffle_by_user(spark):
+    text = plan(catalog.queries()["feed_weekly_dynamics"](spark, FOLDER), "simple")
+    by_user = re.findall(r"Exchange hashpartitioning\(user_id", text)
+    assert len(by_user) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 3
+
+
+def test_the_app_report_reads_each_event_table_once(spark, tmp_path, monkeypatch):
+    table = StarSchema(spark, FOLDER)
+    frames = {}
+    for name, schema, events in (
+        ("feed", FEED_ACTIONS, table.feed), ("messages", MESSAGE_ACTIONS, table.messages),
+    ):
+        write_events(table.with_country(events), schema, f"{tmp_path}/{name}")
+        frames[name] = read_events(spark, schema, f"{tmp_path}/{name}")
+    texts = []
+    written = jobs._Run.store
+
+    def store(self, name, frame):
+        texts.append(plan(frame, "simple"))
+        return written(self, name, frame)
+
+    monkeypatch.setattr(jobs._Run, "store", store)
+    jobs.run_app_report(*frames.values(), P, f"{tmp_path}/reports")
+    for name in frames:
+        assert sum(text.count(f"{tmp_path}/{name}") for text in texts) == 1
+
+
+def test_stored_stream_slots_are_pruned_by_day(spark, tmp_path):
+    from datetime import date
+
+    from tidemark.streaming.alerts import stored_slots
+
+    day = tmp_path / "event_date=2024-01-30" / "slot=1015"
+    day.mkdir(parents=True)
+    text = plan(stored_slots(spark, str(tmp_path), date(2024, 1, 14)))
+    (filters,) = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert "event_date" in filters and "2024-01-14" in filters

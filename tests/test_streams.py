@@ -150,3 +150,57 @@ def test_alerts_over_several_runs_equal_one_back_test(spark, tmp_path):
     found = dicts(read_alerts(spark, f"{tmp_path}/alerts"), "period", "metric")
     assert {r["metric"] for r in expected} >= {"Views", "Feed_users", "Mes_users"}
     assert found == [{**r, "period": r["period"].replace(tzinfo=None)} for r in expected]
+
+
+def _slots(spark, values, start):
+    rows = [
+        (start.date(), start + timedelta(minutes=15 * i), "", 1, 1, int(v), 0, 0.0, 1)
+        for i, v in enumerate(values)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "event_date date, period timestamp, hm string, mes_users bigint, sent_messages bigint,"
+        " views bigint, likes bigint, ctr double, feed_users bigint",
+    )
+
+
+def test_a_new_checkpoint_on_an_old_history_loses_and_doubles_nothing(spark, tmp_path):
+    history, alerts = f"{tmp_path}/slots", f"{tmp_path}/alerts"
+    old = _slots(spark, [10, 10, 10, 10, 500, 10, 10], datetime(2024, 1, 30, 10))
+    write = alert_writer(history, alerts, P)
+    for batch in (0, 1, 2):
+        write(old.where(f"minute(period) / 15 % 3 = {batch}"), batch)
+    before = dicts(read_alerts(spark, alerts), "period", "metric")
+    assert before
+    # Batches count from 0 again; the last old slot comes once more, with new ones.
+    again = _slots(spark, [10, 900, 10], datetime(2024, 1, 30, 11, 30))
+    write = alert_writer(history, alerts, P)
+    write(again, 0)
+    write(_slots(spark, [10], datetime(2024, 1, 31, 0, 15)), 1)
+    after = dicts(read_alerts(spark, alerts), "period", "metric")
+    kept = [r for r in after if r["period"] < datetime(2024, 1, 30, 11, 30)]
+    assert kept == [r for r in before if r["period"] < datetime(2024, 1, 30, 11, 30)]
+    assert len({(r["period"], r["metric"]) for r in after}) == len(after)
+    assert 900 in [r["value"] for r in after]
+    stored = spark.read.parquet(history)
+    assert stored.count() == 10 == stored.select("period").distinct().count()
+
+
+def test_event_tables_as_a_stream(spark, tmp_path):
+    from tests.rows import feed, messages
+    from tidemark.__main__ import main
+    from tidemark.sources.tables import FEED_ACTIONS, MESSAGE_ACTIONS, append_events
+
+    paths = {name: f"{tmp_path}/{name}" for name in ("feed", "messages", "target")}
+    clock = [f"2024-01-30 {h:02d}:{m:02d}" for h in (10, 11, 12) for m in (0, 15, 30, 45)]
+    rows = [(u, t, "view") for t in clock for u in range(40 if t.endswith("11:00") else 3)]
+    for part in ("10", "11", "12"):
+        own = [r for r in rows if r[1][11:13] == part]
+        append_events(feed(spark, own), FEED_ACTIONS, paths["feed"])
+        sent = [(u, u + 1, t) for u, t, _ in own]
+        append_events(messages(spark, sent), MESSAGE_ACTIONS, paths["messages"])
+        main(["alert-stream", "--as-of=2024-01-30", *[f"--{n}={p}" for n, p in paths.items()]])
+    found = dicts(read_alerts(spark, f"{paths['target']}/stream_alerts"), "period", "metric")
+    assert {(r["period"].hour, r["metric"]) for r in found if r["value"] == 40} == {
+        (11, m) for m in ("Views", "Feed_users", "Mes_users", "Sent_messages")
+    }

@@ -64,3 +64,12 @@ def on_days(frame: DataFrame, ranges: Iterable[tuple[date, date]]) -> DataFrame:
             inside &= F.col("event_date").between(F.lit(first), F.lit(last))
         keep |= inside
     return frame.where(keep)
+
+
+def up_to(frame: DataFrame, last: date) -> DataFrame:
+    """Keep the events of a day and all days before it."""
+    end = F.lit(f"{last + ONE_DAY} 00:00:00").cast("timestamp_ntz")
+    keep = F.col("time") < end
+    if "event_date" in frame.columns:
+        keep &= F.col("event_date") <= F.lit(last)
+    return frame.where(keep)

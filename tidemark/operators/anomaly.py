@@ -214,23 +214,35 @@ def alert_messages(bands: DataFrame, last_only: bool = True) -> DataFrame:
 
     The newest slot is still filling up when an alert is sent. It decides on
     the flag, but the message compares the two slots before it, in the
-    columns ``reported_value`` and ``compared_value``.
+    columns ``reported_value`` and ``compared_value``. Likes without views make
+    an infinite CTR: the value is NULL, but the text counts with it.
     """
     in_time = Window.partitionBy("metric").orderBy("period")
-    rows = bands.withColumns(
+    likes_of_slot = F.max(F.when(F.col("metric") == "Likes", F.col("value"))).over(
+        Window.partitionBy("period")
+    )
+    endless = (F.col("metric") == "CTR") & F.col("value").isNull() & (likes_of_slot > 0)
+    rows = bands.withColumn("_endless", F.coalesce(endless, F.lit(False))).withColumns(
         {
             "reported_value": F.lag("value", 1).over(in_time),
             "compared_value": F.lag("value", 2).over(in_time),
+            "_endless_now": F.lag("_endless", 1, False).over(in_time),
+            "_endless_before": F.lag("_endless", 2, False).over(in_time),
         }
     )
     if last_only:
         rows = rows.orderBy(F.desc("period")).limit(len(ALERT_METRICS))
     now, before = F.col("reported_value"), F.col("compared_value")
     deviation = F.abs(1 - ratio(now, before))
-    percent = F.when((before == 0) & (now > 0), F.lit("inf")).otherwise(
-        F.coalesce(two_places(deviation * 100), F.lit("nan"))
+    endless_now, endless_before = F.col("_endless_now"), F.col("_endless_before")
+    percent = (
+        F.when((before == 0) & (now > 0), F.lit("inf"))
+        .when(endless_now & before.isNotNull(), F.lit("inf"))
+        .when(endless_before & now.isNotNull(), F.lit("100.00"))
+        .otherwise(F.coalesce(two_places(deviation * 100), F.lit("nan")))
     )
-    value = F.coalesce(two_places(now), F.lit("nan"))
+    undefined = F.when(endless_now, F.lit("inf")).otherwise(F.lit("nan"))
+    value = F.coalesce(two_places(now), undefined)
     return (
         _flagged(rows)
         .where("is_anomaly")
@@ -361,7 +373,7 @@ def alert_chart_series(chart: DataFrame, p: Params) -> DataFrame:
             "period",
             F.date_format("period", "HH:mm").alias("hm"),
             "metric",
-            F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, 2, 99))).alias(
+            F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.expr("substring(metric, 2)"))).alias(
                 "title"
             ),
             "value",

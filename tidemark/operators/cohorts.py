@@ -2,41 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.calendar import event_date, week_start
 from tidemark.functions.numbers import ratio
 
-USER_WEEKS = T.StructType(
-    [T.StructField("user_id", T.LongType()), T.StructField("week", T.DateType())]
-)
-
-
 def user_weeks(events: DataFrame) -> DataFrame:
-    """Each user's active weeks, once each: all the cohorts need of the events."""
-    return events.select("user_id", week_start(event_date()).alias("week")).distinct()
-
-
-def write_user_weeks(weeks: DataFrame, path: str) -> None:
-    """Store whole weeks of `user_weeks`, replacing those weeks only.
-
-    The cohorts look at all history. With this table a daily run reads the
-    events of the current week and finds the past here. ``rebalance`` keeps
-    the files of a week few and of even size.
-    """
-    (
-        weeks.hint("rebalance", "week")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("week")
-        .parquet(path)
-    )
-
-
-def read_user_weeks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(USER_WEEKS).parquet(path)
+    """Users and the weeks of their events: all the cohorts need. Rows may repeat."""
+    return events.select("user_id", week_start(event_date()).alias("week"))
 
 
 def first_seen_week(events: DataFrame) -> DataFrame:
@@ -51,16 +25,19 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
     "Retained" is everyone who is not new, returning users included; "gone" is
     retained minus last week's active users, so it is normally negative.
 
-    A user's first week comes from a window over the distinct rows, not from
-    a second pass over the events; it holds one row per week the user was
-    active. From there on there is one row per week. Each week also passes its
+    A user's weeks meet in one set, one entry per week the user was active, whose
+    smallest entry is the first week; so everything takes one shuffle by user.
+    From there on there is one row per week. Each week also passes its
     active users on to the calendar week after it; a week following a gap
     hence finds none and counts 0.
     """
     none = F.lit(0).cast("bigint")
-    first = F.min("week").over(Window.partitionBy("user_id"))
     counts = (
-        weeks.withColumn("first_week", first)
+        weeks.groupBy("user_id")
+        .agg(F.collect_set("week").alias("weeks"))
+        .select(
+            "user_id", F.array_min("weeks").alias("first_week"), F.explode("weeks").alias("week")
+        )
         .groupBy("week")
         .agg(
             F.count("user_id").alias("active_users"),

@@ -33,8 +33,9 @@ def feed_kpi(feed: DataFrame, p: Params) -> DataFrame:
 
 
 def feed_kpi_digest(kpi: DataFrame) -> DataFrame:
-    """The newest day of `feed_kpi` as a message."""
-    ctr = F.coalesce(two_places(F.col("ctr")), F.lit("nan"))
+    """The newest day of `feed_kpi` as a message; likes without views read ``inf``."""
+    undefined = F.when(F.col("likes") > 0, "inf").otherwise("nan")
+    ctr = F.coalesce(two_places(F.col("ctr")), undefined)
     message = F.format_string(DIGEST_TEXT, "dau", "views", "likes", ctr)
     return kpi.orderBy(F.desc("day")).limit(1).withColumn("message", message)
 
@@ -81,6 +82,10 @@ def dau_by_country_major(dau: DataFrame, p: Params) -> DataFrame:
 def avg_feed_usage(feed: DataFrame, p: Params) -> DataFrame:
     """Average views and likes of the day's more active users."""
     per_user = in_report_days(feed, p).groupBy(event_date(), "user_id").agg(views(), likes())
+    return average_of_viewers(per_user, p)
+
+
+def average_of_viewers(per_user: DataFrame, p: Params) -> DataFrame:
     return (
         per_user.where(F.col("views") >= p.min_views)
         .groupBy("event_date")
@@ -96,6 +101,10 @@ def avg_message_usage(messages: DataFrame, p: Params) -> DataFrame:
         .groupBy(event_date(), "user_id")
         .agg(F.count("user_id").alias("sent"))
     )
+    return average_of_senders(per_user, p)
+
+
+def average_of_senders(per_user: DataFrame, p: Params) -> DataFrame:
     return (
         per_user.where(F.col("sent") > p.min_sent_exclusive)
         .groupBy("event_date")
@@ -106,9 +115,12 @@ def avg_message_usage(messages: DataFrame, p: Params) -> DataFrame:
 
 def dau_by_source(events: DataFrame, p: Params) -> DataFrame:
     """Users per day and traffic source, for either event table."""
+    return users_by_source(in_report_days(events, p).select(event_date(), "source", "user_id"))
+
+
+def users_by_source(days: DataFrame) -> DataFrame:
     return (
-        in_report_days(events, p)
-        .groupBy(event_date(), "source")
+        days.groupBy("event_date", "source")
         .agg(F.count_distinct("user_id").alias("users"))
         .orderBy("event_date", "source")
     )

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.calendar import event_date
 from tidemark.functions.numbers import ratio
 
 
+USAGE_COUNTS = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        *[T.StructField(n, T.LongType()) for n in ("all_users", "message_only", "feed_only", "both")],
+    ]
+)
+
+
 def presence(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """One row per day and user, telling which of the services they used.
 
@@ -64,12 +73,21 @@ def service_usage(users: DataFrame) -> DataFrame:
     Days that lack one of the three groups are left out, and all days in the
     tables are covered.
     """
-    counts = users.groupBy("event_date").agg(
+    return usage_shares(usage_counts(users))
+
+
+def usage_counts(users: DataFrame) -> DataFrame:
+    """Per day the users of both services and of each group, from `presence`."""
+    return users.groupBy("event_date").agg(
         F.count("user_id").alias("all_users"),
         F.count_if(_message_only()).alias("message_only"),
         F.count_if(_feed_only()).alias("feed_only"),
         F.count_if(_both()).alias("both"),
     )
+
+
+def usage_shares(counts: DataFrame) -> DataFrame:
+    """`service_usage` from `usage_counts`."""
     groups = ["message_only", "feed_only", "both"]
     kept = counts
     for group in groups:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,12 +64,19 @@ def slice_metrics(totals: DataFrame) -> DataFrame:
     return _to_target(sums.withColumns({"dimension": dimension, "dimension_value": value}))
 
 
-def write_slices(slices: DataFrame, path: str) -> None:
+def write_slices(slices: DataFrame, path: str, days: Sequence[date] = ()) -> None:
     """Write days of slices, replacing those days and leaving all others.
 
+    `days` are replaced even if there is no row for them, by an empty file: a
+    day whose events are gone must not keep its old slices.
+
     A repeated run therefore never doubles a day. A day has a few hundred
     rows, so each goes into one file, sorted by slice.
     """
+    spark = slices.sparkSession
+    for day in days:
+        empty = spark.createDataFrame([], SLICE_METRICS).drop("event_date")
+        empty.write.mode("overwrite").parquet(f"{path}/event_date={day}")
     (
         _to_target(slices)
         .repartition("event_date")

@@ -7,25 +7,42 @@ of a sum or an interpolation depends on the order of its terms.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import activity, anomaly, cohorts, filters, reports, services, slices
+from tidemark.operators import (
+    activity,
+    anomaly,
+    cohorts,
+    filters,
+    reports,
+    services,
+    slices,
+    user_days,
+)
 from tidemark.params import Params
 from tidemark.plans import jobs
 from tidemark.sources.derived import StarSchema, feed_rows, message_rows
 from tidemark.sources.scratch import shared_folder
+from tidemark.sources.tables import FEED_ACTIONS, MESSAGE_ACTIONS, read_events, write_events
 from tidemark.streaming import alerts as stream_alerts
 from tidemark.streaming import slots as stream_slots
 
 # The test data ends on this day. Its users are not active enough for the
 # default thresholds of the reports.
 TEST_RUN = Params(
-    as_of=date(2024, 1, 30), min_views=2, min_sent_exclusive=1, min_country_users=6
+    as_of=date(2024, 1, 30),
+    report_days=20,
+    min_views=2,
+    min_sent_exclusive=1,
+    min_country_users=6,
 )
+# On that day, a run at this time finds its newest slot outside its band.
+TEST_RUN_AT = datetime(2024, 1, 30, 16, 30)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -332,6 +349,50 @@ def _(t):
     return anomaly.anomaly_backtest(anomaly.slot_metrics(t.feed, t.messages, P), P)
 
 
+# The same from rows kept between runs; the store is filled by an earlier run.
+
+
+def _stored_events(t: StarSchema, store: str) -> tuple[DataFrame, DataFrame]:
+    """Both event tables laid out by day, as a production table is."""
+    read = []
+    for events, schema, name in (
+        (t.with_country(t.feed), FEED_ACTIONS, "feed"),
+        (t.with_country(t.messages), MESSAGE_ACTIONS, "messages"),
+    ):
+        write_events(events, schema, f"{store}/{name}")
+        read.append(read_events(t.spark, schema, f"{store}/{name}"))
+    return read[0], read[1]
+
+
+@_query("slots_from_store")
+def _(t):
+    store = shared_folder(t.spark, "kept")
+    events = _stored_events(t, store)
+    earlier = replace(P, as_of=P.day(2))
+    jobs.kept_alert_slots(*events, earlier, store).write.format("noop").mode("append").save()
+    return jobs.kept_alert_slots(*events, P, store).orderBy("period")
+
+
+@_query("weekly_from_store")
+def _(t):
+    store = shared_folder(t.spark, "kept")
+    events = _stored_events(t, store)
+    earlier = replace(P, as_of=P.day(9))
+    jobs.kept_user_days(*events, earlier, store).write.format("noop").mode("append").save()
+    base = user_days.of_feed(jobs.kept_user_days(*events, P, store))
+    return cohorts.weekly_dynamics(user_days.user_weeks(base))
+
+
+@_query("alert_run")
+def _(t):
+    target = shared_folder(t.spark, "alert-run")
+    for at in (TEST_RUN_AT, TEST_RUN_AT.replace(minute=45)):
+        jobs.run_alerts(t.feed, t.messages, P, target, at=at)
+    runs = t.spark.read.parquet(f"{target}/alert_messages")
+    own = F.col("run").cast("int") == int(f"{TEST_RUN_AT:%H%M}")
+    return runs.where(own).drop("as_of", "run")
+
+
 # Streams, worked off up to the end of the data
 
 

@@ -45,7 +45,7 @@ COUNTRY = """country as (
 
 YESTERDAY = "d = date '2024-01-29'"
 KPI_DAYS = "d between date '2024-01-23' and date '2024-01-29'"
-REPORT_DAYS = "d >= date '2023-12-31'"
+REPORT_DAYS = "d >= date '2024-01-10'"
 ALERT_DAYS = """(d >= date '2024-01-29' or d = date '2024-01-23' or d = date '2024-01-22'
     or d = date '2024-01-16' or d = date '2024-01-15')"""
 
@@ -174,9 +174,11 @@ CHECK_SQL["feed_kpi_7d"] = (
 CHECK_SQL["feed_kpi_digest"] = (
     _with(FEED, KPI)
     + """select day, dau, views, likes, round(ctr, 6) as ctr,
+  -- Fixed values: the text of the feed digest.
   'Cтатистика за вчера:' || chr(10) || '        DAU = ' || dau || ' users'
     || chr(10) || '        Views = ' || views || chr(10) || '        Likes = ' || likes
-    || chr(10) || '        CTR = ' || coalesce(printf('%.2f', ctr), 'nan') || '%' as message
+    || chr(10) || '        CTR = ' || coalesce(printf('%.2f', ctr), if(likes > 0, 'inf', 'nan'))
+    || '%' as message
 from kpi where day = (select max(day) from kpi)"""
 )
 CHECK_SQL["feed_kpi_series"] = (
@@ -384,9 +386,11 @@ _slot_rows = """select event_date, period, hm, mes_users, sent_messages, views,
 CHECK_SQL["slot_metrics_15m"] = _with(*_slots(ALERT_DAYS)) + _slot_rows
 CHECK_SQL["slot_history"] = (
     _with(*_slots(ALERT_DAYS))
-    + f"""select c.period, c.metric, h.period as history_period,
+    + """select c.period, c.metric, h.period as history_period,
   round(h.value, 6) as history_value
-from series c join series h on {NEAR}"""
+from (select *, unnest(range(-3, 4)) as step from series) h
+join series c on c.metric = h.metric and c.clock = (h.clock + h.step + 96) % 96
+where c.period > h.period"""
 )
 CHECK_SQL["iqr_bands"] = (
     _with(*_slots(ALERT_DAYS), *_bands())
@@ -402,22 +406,38 @@ CHECK_SQL["anomaly_backtest"] = _with(*_slots("true"), *_bands(OWN_DAYS)) + _fla
 
 MESSAGES = """told as (
   select now.period, now.metric, now.value, now.age, v2.value as reported_value,
-    v3.value as compared_value, abs(1 - v2.value / nullif(v3.value, 0)) as deviation
+    v3.value as compared_value, abs(1 - v2.value / nullif(v3.value, 0)) as deviation,
+    now.metric = 'CTR' and v2.value is null and coalesce(l2.value, 0) > 0 as endless_now,
+    now.metric = 'CTR' and v3.value is null and coalesce(l3.value, 0) > 0 as endless_before
   from bands now
   left join bands v2 on v2.metric = now.metric and v2.age = now.age + 1
   left join bands v3 on v3.metric = now.metric and v3.age = now.age + 2
+  left join series l2 on l2.metric = 'Likes' and l2.period = v2.period
+  left join series l3 on l3.metric = 'Likes' and l3.period = v3.period
   where now.is_anomaly)"""
 _tell = """select period, metric, round(value, 6) as value,
   round(reported_value, 6) as reported_value, round(compared_value, 6) as compared_value,
   round(deviation, 6) as deviation,
+  -- Fixed values: the text of an alert.
   'Метрика ' || metric || '.' || chr(10) || 'Текущее значение '
-    || coalesce(printf('%.2f', reported_value), 'nan') || '. Отклонение более '
+    || coalesce(printf('%.2f', reported_value), if(endless_now, 'inf', 'nan'))
+    || '. Отклонение более '
     || case when compared_value = 0 and reported_value > 0 then 'inf'
+         when endless_now and compared_value is not null then 'inf'
+         when endless_before and reported_value is not null then '100.00'
          else coalesce(printf('%.2f', deviation * 100), 'nan') end
     || '%.' || chr(10) as message
 from told"""
 CHECK_SQL["alert_messages_replay"] = _with(*_slots(ALERT_DAYS), *_bands(), MESSAGES) + _tell
 CHECK_SQL["alert_messages"] = CHECK_SQL["alert_messages_replay"] + " where age = 1"
+# A run judges the newest slot that had ended by its time.
+CHECK_SQL["alert_run"] = (
+    CHECK_SQL["alert_messages_replay"]
+    + """ where period =
+  (select max(period) from slots where period < timestamp '2024-01-30 16:30:00')"""
+)
+CHECK_SQL["slots_from_store"] = CHECK_SQL["slot_metrics_15m"]
+CHECK_SQL["weekly_from_store"] = CHECK_SQL["feed_weekly_dynamics"]
 
 # The streams emit the slots that ended an hour before the newest event of the
 # service that is behind; watermarks keep whole milliseconds.

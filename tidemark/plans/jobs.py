@@ -1,33 +1,39 @@
 """The scheduled jobs: each builds its results from the two event tables.
 
-A scheduler calls these with the day to run for. Every job can be repeated
-for the same day and leaves the same rows behind.
+A scheduler calls these with the day to run for; alerts also take a time of the
+day. Every job can be repeated and leaves the same rows behind, also for an
+earlier day on later data: rows after ``as_of`` do not exist for a run.
 
 A result that others are derived from is written first and read back, so the
 events behind it are aggregated once and a lost executor does not bring them
-back in.
+back in. With a `store`, rows per day are kept between runs as well; see
+`tidemark.plans.kept` for when a kept day is made again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import on_days
-from tidemark.operators import activity, anomaly, cohorts, reports, services, slices
+from tidemark.functions.calendar import on_days, runs, up_to
+from tidemark.operators import activity, anomaly, cohorts, reports, services, slices, user_days
 from tidemark.operators.filters import in_alert_days, on_yesterday
 from tidemark.params import Params
+from tidemark.plans.kept import KeptDays, day_sources
 
 
 class _Run:
-    """The result folder of one run: a folder per result set, a partition per run day."""
+    """The result folder of one run: a folder per result set, a partition per run."""
 
-    def __init__(self, p: Params, target: str) -> None:
-        self._day = p.as_of
+    def __init__(self, p: Params, target: str, part: str = "") -> None:
+        self._part = f"as_of={p.as_of}{part}"
         self._target = target
 
     def store(self, name: str, frame: DataFrame) -> DataFrame:
-        path = f"{self._target}/{name}/as_of={self._day}"
+        path = f"{self._target}/{name}/{self._part}"
         frame.write.mode("overwrite").parquet(path)
         return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -39,7 +45,8 @@ def daily_slices(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
 
 
 def run_daily_slices(feed: DataFrame, messages: DataFrame, p: Params, target: str) -> None:
-    slices.write_slices(daily_slices(feed, messages, p), target)
+    """Write yesterday's slices; a repeat replaces the day, also by no rows."""
+    slices.write_slices(daily_slices(feed, messages, p), target, [p.yesterday])
 
 
 def run_feed_report(feed: DataFrame, p: Params, target: str) -> None:
@@ -50,75 +57,117 @@ def run_feed_report(feed: DataFrame, p: Params, target: str) -> None:
     run.store("feed_kpi_series", reports.feed_kpi_series(kpi))
 
 
-def refresh_user_weeks(events: DataFrame, p: Params, path: str) -> None:
-    """Bring the stored user weeks up to date from the current and the last week.
+def kept_user_days(feed: DataFrame, messages: DataFrame, p: Params, store: str) -> DataFrame:
+    """`user_days` of all days up to the run's, where past days are kept in `store`."""
 
-    Last week is read again, because its final day was incomplete when it ran.
-    """
-    days_since_sunday = p.as_of.isoweekday() % 7
-    recent = on_days(events, [(p.day(days_since_sunday + 7), p.as_of)])
-    cohorts.write_user_weeks(cohorts.user_weeks(recent), path)
+    def make(days: Sequence[date]) -> DataFrame:
+        return user_days.user_days(on_days(feed, runs(days)), on_days(messages, runs(days)))
+
+    sources = day_sources(feed, messages)
+    if sources is None:
+        return user_days.user_days(up_to(feed, p.as_of), up_to(messages, p.as_of))
+    past = {day: source for day, source in sources.items() if day < p.as_of}
+    kept = KeptDays(feed.sparkSession, f"{store}/user_days", user_days.USER_DAYS)
+    return kept.rows(past, make).unionByName(make([p.as_of]))
+
+
+def _usage_counts(
+    base: DataFrame, feed: DataFrame, messages: DataFrame, p: Params, store: str | None
+) -> DataFrame:
+    """`services.usage_counts` of all days of the base, where past days are kept."""
+
+    def make(days: Sequence[date]) -> DataFrame:
+        own = base.where(F.col("event_date").isin(list(days)))
+        return services.usage_counts(user_days.presence(own))
+
+    sources = day_sources(feed, messages) if store else None
+    if sources is None:
+        return services.usage_counts(user_days.presence(base))
+    past = {day: source for day, source in sources.items() if day < p.as_of}
+    kept = KeptDays(base.sparkSession, f"{store}/usage_days", services.USAGE_COUNTS)
+    return kept.rows(past, make).unionByName(make([p.as_of]))
 
 
 def run_app_report(
-    feed: DataFrame,
-    messages: DataFrame,
-    p: Params,
-    target: str,
-    feed_weeks: DataFrame | None = None,
-    message_weeks: DataFrame | None = None,
+    feed: DataFrame, messages: DataFrame, p: Params, target: str, store: str | None = None
 ) -> None:
     """All result sets of the whole-app report.
 
-    Pass stored user weeks to keep the cohorts from reading all history.
+    They follow from one base of a row per day and user, so each event table is
+    read once; with a `store`, only days that are not kept are read at all.
     """
     run = _Run(p, target)
-    audience = reports.audience_days(feed, messages, p)
-    dau = run.store("dau_by_country", reports.dau_by_country(audience))
+    if store:
+        base = kept_user_days(feed, messages, p, store)
+    else:
+        base = user_days.user_days(up_to(feed, p.as_of), up_to(messages, p.as_of))
+        base = run.store("user_days", base)
+    of_feed, of_messages = user_days.of_feed(base), user_days.of_messages(base)
+
+    dau = run.store("dau_by_country", reports.dau_by_country(user_days.audience(base, p)))
     run.store("dau_by_country_major", reports.dau_by_country_major(dau, p))
 
-    run.store("avg_feed_usage", reports.avg_feed_usage(feed, p))
-    run.store("avg_msg_usage", reports.avg_message_usage(messages, p))
-    run.store("feed_dau_by_source", reports.dau_by_source(feed, p))
-    run.store("msg_dau_by_source", reports.dau_by_source(messages, p))
+    run.store("avg_feed_usage", user_days.avg_feed_usage(base, p))
+    run.store("avg_msg_usage", user_days.avg_message_usage(base, p))
+    run.store("feed_dau_by_source", user_days.dau_by_source(of_feed, p))
+    run.store("msg_dau_by_source", user_days.dau_by_source(of_messages, p))
 
-    feed_weeks = feed_weeks or cohorts.user_weeks(feed)
-    message_weeks = message_weeks or cohorts.user_weeks(messages)
-    feed_weekly = run.store("feed_weekly_dynamics", cohorts.weekly_dynamics(feed_weeks))
-    message_weekly = run.store("msg_weekly_dynamics", cohorts.weekly_dynamics(message_weeks))
+    feed_weekly = run.store(
+        "feed_weekly_dynamics", cohorts.weekly_dynamics(user_days.user_weeks(of_feed))
+    )
+    message_weekly = run.store(
+        "msg_weekly_dynamics", cohorts.weekly_dynamics(user_days.user_weeks(of_messages))
+    )
     both = feed_weekly, message_weekly
     run.store("weekly_stayed_compare", cohorts.weekly_stayed_compare(*both))
     run.store("weekly_dynamics_series", cohorts.weekly_dynamics_series(*both))
 
-    users = services.presence(feed, messages)
-    usage = run.store("service_usage", services.service_usage(users))
+    counts = _usage_counts(base, feed, messages, p, store)
+    usage = run.store("service_usage", services.usage_shares(counts))
     run.store("service_usage_stack", services.service_usage_stack(usage))
 
 
-def alert_slots(feed: DataFrame, messages: DataFrame, p: Params) -> DataFrame:
-    """The slots an alert run looks at: six days of both tables."""
-    return anomaly.slot_metrics(in_alert_days(feed, p), in_alert_days(messages, p), p)
+def alert_slots(
+    feed: DataFrame, messages: DataFrame, p: Params, at: datetime | None = None
+) -> DataFrame:
+    """The slots an alert run looks at: six days of both tables, up to the time `at`."""
+    loaded = [in_alert_days(_before(events, at), p) for events in (feed, messages)]
+    return anomaly.slot_metrics(*loaded, p)
 
 
-def refresh_slots(
-    feed: DataFrame, messages: DataFrame, p: Params, path: str, days_back: int = 1
+def kept_alert_slots(
+    feed: DataFrame, messages: DataFrame, p: Params, store: str, at: datetime | None = None
 ) -> DataFrame:
-    """Bring the stored slots of the newest days up to date; return those a run looks at.
+    """`alert_slots`, where the days before the run's are kept in `store`.
 
-    A run every 15 minutes then reads two days of events. Events that come in
-    later than ``days_back`` days are not picked up, as they are by `alert_slots`.
+    A run every 15 minutes then reads its own day, and again those days whose
+    events have changed.
     """
-    newest = [(p.day(days_back), p.as_of)]
-    slots = anomaly.slot_metrics(on_days(feed, newest), on_days(messages, newest), p)
-    (
-        slots.repartition("event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
+
+    def make(days: Sequence[date]) -> DataFrame:
+        ranges = runs(days)
+        return anomaly.slot_metrics(on_days(feed, ranges), on_days(messages, ranges), p)
+
+    sources = day_sources(feed, messages)
+    if sources is None:
+        return alert_slots(feed, messages, p, at)
+    today = [(p.as_of, p.as_of)]
+    own = anomaly.slot_metrics(
+        on_days(_before(feed, at), today), on_days(_before(messages, at), today), p
     )
-    stored = slots.sparkSession.read.schema(slots.schema).parquet(path)
-    return stored.where(F.col("event_date").isin(p.alert_days))
+    past = {
+        day: source
+        for day, source in sources.items()
+        if day in p.alert_days and day != p.as_of
+    }
+    kept = KeptDays(feed.sparkSession, f"{store}/slots_{p.slot_minutes}m", own.schema)
+    return kept.rows(past, make).unionByName(own)
+
+
+def _before(events: DataFrame, at: datetime | None) -> DataFrame:
+    if at is None:
+        return events
+    return events.where(F.col("time") < F.lit(str(at)).cast("timestamp_ntz"))
 
 
 def run_alerts(
@@ -126,14 +175,25 @@ def run_alerts(
     messages: DataFrame,
     p: Params,
     target: str,
-    stored_slots: DataFrame | None = None,
+    store: str | None = None,
+    at: datetime | None = None,
 ) -> None:
     """Messages for the newest slot and the charts of the metrics they name.
 
-    Pass the slots from `refresh_slots` to keep from reading six days of events.
+    `at` is the time of the run on its day; events from then on do not exist for
+    it. Results are kept by run, so a later run of the day leaves them alone and
+    a repeat of the run replaces its own. Without a time the run sees all of
+    its day.
     """
-    run = _Run(p, target)
-    slots = stored_slots or run.store("slot_metrics", alert_slots(feed, messages, p))
+    if at is not None and at.date() != p.as_of:
+        raise ValueError("the time of a run is on its day")
+    run = _Run(p, target, f"/run={at:%H%M}" if at else "/run=2400")
+    found = (
+        kept_alert_slots(feed, messages, p, store, at)
+        if store
+        else alert_slots(feed, messages, p, at)
+    )
+    slots = run.store("slot_metrics", found)
     days = anomaly.loaded_days(p.alert_days)
     alerts = run.store(
         "alert_messages", anomaly.alert_messages(anomaly.iqr_bands(slots, days, p))

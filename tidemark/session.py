@@ -23,7 +23,6 @@ SETTINGS = {
 
 # Added on a cluster, where shuffles of the full event history are far larger.
 CLUSTER_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     # A lost executor costs a retry of its tasks, not of the job.
@@ -32,7 +31,20 @@ CLUSTER_SETTINGS = {
 }
 
 
-def configure(builder: SparkSession.Builder, cluster: bool = False) -> SparkSession.Builder:
-    for key, value in {**SETTINGS, **(CLUSTER_SETTINGS if cluster else {})}.items():
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def configure(
+    builder: SparkSession.Builder, cluster: bool = False, initial_partitions: int = 8192
+) -> SparkSession.Builder:
+    """`initial_partitions`: a cluster's shuffles before merging.
+
+    Merging can only lower it, so choose it for the largest shuffle: its bytes
+    by the advisory partition size.
+    """
+    settings = dict(SETTINGS)
+    if cluster:
+        settings |= {**CLUSTER_SETTINGS, INITIAL_PARTITIONS: str(initial_partitions)}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder

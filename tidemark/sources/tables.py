@@ -65,19 +65,51 @@ def read_events(
     return conform(reader.load(path) if path else reader.load(), schema)
 
 
+def stream_events(
+    spark: SparkSession,
+    schema: T.StructType,
+    path: str,
+    fmt: str = "parquet",
+    **options: str,
+) -> DataFrame:
+    """One of the event tables as a stream of the files that arrive in its folder.
+
+    ``time`` is a ``timestamp``, as watermarks need it. Folders by day add an
+    ``event_date``, which the streams do not use.
+    """
+    files = spark.readStream.format(fmt).options(**options).schema(schema).load(path)
+    return conform(files, schema).withColumn("time", F.col("time").cast("timestamp"))
+
+
+def append_events(events: DataFrame, schema: T.StructType, path: str) -> None:
+    """Add events to the days they fall on, late ones to older days; nothing is replaced.
+
+    For loads that bring each event once; a load that is repeated as a whole
+    belongs to `write_events`.
+    """
+    _by_day(events, schema).write.mode("append").partitionBy("event_date").parquet(path)
+
+
 def write_events(events: DataFrame, schema: T.StructType, path: str) -> None:
-    """Store events by day, replacing the days they cover.
+    """Store whole days of events, replacing the days they cover.
 
+    Days that the load covers only in part lose the rest: see `append_events`.
     A job for one day then reads one day. ``rebalance`` gathers a day's events
     into files of the advisory size: it merges the pieces of a small day and
     splits a large one over many tasks.
     """
     (
-        conform(events, schema)
-        .withColumn("event_date", F.to_date("time"))
-        .hint("rebalance", "event_date")
+        _by_day(events, schema)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(path)
     )
+
+
+def _by_day(events: DataFrame, schema: T.StructType) -> DataFrame:
+    return (
+        conform(events, schema)
+        .withColumn("event_date", F.to_date("time"))
+        .hint("rebalance", "event_date")
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.anomaly import alert_messages, following_days, iqr_bands
 from tidemark.params import Params
+from tidemark.streaming.slots import SLOT_METRICS, trigger
 from tidemark.streaming.state import state_on_disk
-from tidemark.streaming.slots import SLOT_METRICS
-
-STORED_SLOTS = T.StructType([*SLOT_METRICS, T.StructField("batch", T.LongType())])
 
 ALERTS = T.StructType(
     [
@@ -27,62 +26,80 @@ ALERTS = T.StructType(
         T.StructField("message", T.StringType()),
     ]
 )
+# Stored rows lie in a folder per day and slot of the day.
+KEYS = [T.StructField("event_date", T.DateType()), T.StructField("slot", T.StringType())]
 
 
-def _replace_batch(frame: DataFrame, path: str, batch: int) -> None:
-    """Write the rows of one micro-batch; a retry of the batch replaces them.
+def _replace_slots(frame: DataFrame, path: str) -> None:
+    """Write rows by the slot of their ``period``; a slot's rows replace its earlier ones."""
+    (
+        frame.withColumn("event_date", F.to_date("period"))
+        .withColumn("slot", F.date_format("period", "HHmm"))
+        .repartition(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "slot")
+        .parquet(path)
+    )
 
-    There are at most a few rows per closed slot, so one file holds them.
-    """
-    frame.repartition(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+def stored_slots(spark: SparkSession, path: str, since: date) -> DataFrame:
+    """The stored slots from the day `since` on; older folders are not opened."""
+    stored = [f for f in SLOT_METRICS if f.name != "event_date"]
+    frame = spark.read.schema(T.StructType([*stored, *KEYS])).parquet(path)
+    return frame.where(F.col("event_date") >= F.lit(since))
 
 
 def alert_writer(history: str, alerts: str, p: Params) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` step: store the batch's slots, then judge them.
 
-    A slot leaves the stream in exactly one batch and both outputs are kept by
-    batch, so a batch that runs twice leaves no second alert. The stored
-    history is one row per slot, and only the days that the new slots are
-    compared to are read of it; batches older than those may be deleted.
+    Slots and alerts are stored by day and slot. So a batch that runs twice, or
+    a stream that starts anew over an old history, replaces a slot by itself
+    and leaves all others. Of the history, only the days that the new slots are
+    compared to are listed and read; older ones may be deleted.
     """
-    longest_look_back = max(p.reference_days) + 1
+    longest_look_back = timedelta(days=max(p.reference_days) + 1)
 
     def write(slots: DataFrame, batch: int) -> None:
         spark = slots.sparkSession
-        _replace_batch(slots, history, batch)
-        new = spark.read.schema(SLOT_METRICS).parquet(f"{history}/batch={batch}")
-        first = new.agg(F.min("event_date")).first()[0]
-        if first is None:
-            _replace_batch(spark.createDataFrame([], ALERTS), alerts, batch)
-            return
-        known = (
-            spark.read.schema(STORED_SLOTS)
-            .parquet(history)
-            .where(F.col("batch") <= batch)
-            .where(F.col("event_date") >= F.date_sub(F.lit(first), longest_look_back))
-        )
-        bands = iqr_bands(known, following_days(p), p)
-        messages = alert_messages(bands, last_only=False)
-        fresh = new.select("period")
-        _replace_batch(messages.join(fresh, "period", "left_semi"), alerts, batch)
+        # A micro-batch closes a few slots of one row each; they are judged from memory.
+        slots = slots.persist()
+        try:
+            first = slots.agg(F.min("event_date")).first()[0]
+            if first is None:
+                return
+            _replace_slots(slots, history)
+            known = stored_slots(spark, history, first - longest_look_back)
+            bands = iqr_bands(known, following_days(p), p)
+            messages = alert_messages(bands, last_only=False)
+            _replace_slots(messages.join(slots.select("period"), "period", "left_semi"), alerts)
+        finally:
+            slots.unpersist()
 
     return write
 
 
 def run_alerts(
-    slots: DataFrame, history: str, alerts: str, checkpoint: str, p: Params
+    slots: DataFrame,
+    history: str,
+    alerts: str,
+    checkpoint: str,
+    p: Params,
+    every: str | None = None,
 ) -> StreamingQuery:
+    """`every` is the time between micro-batches; without it, the stream ends with its input."""
     with state_on_disk(slots.sparkSession):
         return (
             slots.writeStream.outputMode("append")
             .foreachBatch(alert_writer(history, alerts, p))
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**trigger(every))
             .start()
         )
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The stored alerts, with ``period`` as in batch."""
-    stored = spark.read.schema(ALERTS).parquet(path).drop("batch")
-    return stored.withColumn("period", F.col("period").cast("timestamp_ntz"))
+    stored = spark.read.schema(T.StructType([*ALERTS, *KEYS])).parquet(path)
+    alerts = stored.drop("event_date", "slot")
+    return alerts.withColumn("period", F.col("period").cast("timestamp_ntz"))

@@ -68,9 +68,16 @@ def stream_slot_metrics(
     return slot_columns(in_both.withColumn("period", F.col("window.start")))
 
 
-def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write closed slots to files, working off what is there and then stopping.
+def trigger(every: str | None) -> dict[str, str | bool]:
+    return {"processingTime": every} if every else {"availableNow": True}
 
+
+def run_to_files(
+    slots: DataFrame, out: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Write closed slots to files, by default working off what is there and then stopping.
+
+    `every` is the time between micro-batches of a stream that does not stop.
     A batch closes a few slots, one row each, which go into one file.
     """
     with state_on_disk(slots.sparkSession):
@@ -80,7 +87,7 @@ def run_to_files(slots: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
             .outputMode("append")
             .option("path", out)
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**trigger(every))
             .start()
         )
 

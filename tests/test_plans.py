@@ -177,3 +177,10 @@ def test_stored_stream_slots_are_pruned_by_day(spark, tmp_path):
     text = plan(stored_slots(spark, str(tmp_path), date(2024, 1, 14)))
     (filters,) = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
     assert "event_date" in filters and "2024-01-14" in filters
+
+
+def test_both_message_directions_share_one_scan(spark):
+    frame = catalog.queries()["messages_activity_daily"](spark, FOLDER)
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final or final.count("FileScan") == 1

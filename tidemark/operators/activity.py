@@ -36,22 +36,44 @@ def feed_activity(feed: DataFrame) -> DataFrame:
     return feed.groupBy("user_id", "gender", "age", "os", event_date()).agg(views(), likes())
 
 
-def messages_sent(messages: DataFrame) -> DataFrame:
-    """Messages sent and distinct people written to, per sender.
+def contacts(messages: DataFrame) -> DataFrame:
+    """Messages per day, sender with attributes, and receiver.
 
-    Spark aggregates by (sender, receiver) before it shuffles, so a sender
-    with a large part of all rows is spread over the receivers.
+    Both directions add these up. A sender or a receiver with a large part of
+    all rows is spread over its partners here.
     """
-    return messages.groupBy("user_id", "gender", "age", "os", event_date()).agg(
-        F.count("reciever_id").alias("messages_sent"),
-        F.count_distinct("reciever_id").alias("users_sent"),
+    return messages.groupBy("user_id", "gender", "age", "os", event_date(), "reciever_id").agg(
+        F.count("*").alias("messages")
+    )
+
+
+def _messages_with(column: str) -> Column:
+    counted = F.when(F.col(column).isNotNull(), F.col("messages")).otherwise(F.lit(0))
+    return F.sum(counted)
+
+
+def messages_sent(messages: DataFrame) -> DataFrame:
+    """Messages sent and distinct people written to, per sender."""
+    return sent_to(contacts(messages))
+
+
+def sent_to(pairs: DataFrame) -> DataFrame:
+    """`messages_sent` from `contacts`, which has a receiver once per sender."""
+    return pairs.groupBy("user_id", "gender", "age", "os", "event_date").agg(
+        _messages_with("reciever_id").alias("messages_sent"),
+        F.count("reciever_id").alias("users_sent"),
     )
 
 
 def messages_received(messages: DataFrame) -> DataFrame:
     """Messages received and distinct senders, per receiver."""
-    return messages.groupBy("reciever_id", event_date()).agg(
-        F.count("user_id").alias("messages_received"),
+    return received_from(contacts(messages))
+
+
+def received_from(pairs: DataFrame) -> DataFrame:
+    """`messages_received` from `contacts`; a sender may be there in several attributes."""
+    return pairs.groupBy("reciever_id", "event_date").agg(
+        _messages_with("user_id").alias("messages_received"),
         F.count_distinct("user_id").alias("users_received"),
     )
 
@@ -60,10 +82,12 @@ def messages_activity(messages: DataFrame) -> DataFrame:
     """Both directions for users who sent and received on the same day.
 
     Received counts belong to the user alone, so they repeat for a user who
-    sent from two sets of attributes.
+    sent from two sets of attributes. Both directions start from the same
+    `contacts`, whose shuffle is done once.
     """
-    sent = messages_sent(messages)
-    received = messages_received(messages).withColumnsRenamed({"reciever_id": "user_id"})
+    pairs = contacts(messages)
+    sent = sent_to(pairs)
+    received = received_from(pairs).withColumnsRenamed({"reciever_id": "user_id"})
     return sent.join(received, ["user_id", "event_date"])
 
 

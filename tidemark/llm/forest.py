@@ -4,8 +4,7 @@ A document's set holds the hashes of its shingles. Documents with equal sets
 are one class; the rest of the work is on one row per class:
 
 1. A signature of `VALUES` minima, a byte of each kept.
-2. `ORDERS` trees: each sorts all signatures by the values in an order of its
-   own. Neighbours with the longest common prefix lie side by side, so looking
+2. `ORDERS` trees: each sorts signatures by the values in an order of its own. Neighbours with the longest common prefix lie side by side, so looking
    at the next `WINDOW` rows that share at least `LEAST_DEPTH` values takes in
    whole regions where signatures are sparse, and in dense ones compares at
    the depth at which about a window of rows is left.
@@ -13,8 +12,9 @@ are one class; the rest of the work is on one row per class:
    confirmed on the full sets of both texts. A first look takes in only the
    `NEAREST` neighbours, and each class is confirmed with two of those. That
    joins groups of thousands without comparing them pair by pair. The second
-   look takes in whole windows, but only neighbours that are still apart: first
-   the best candidate between any two components, then all that remain. Every
+   look is at the ends of all candidates, in trees over longer signatures, and
+   takes in whole windows, but only neighbours that are still apart: first the
+   best candidate between any two components, then all that remain. Every
    candidate is confirmed, refuted, or has ends that confirmed links join.
 4. Components of the confirmed links.
 
@@ -38,19 +38,25 @@ from tidemark.llm.lines import text_key
 from tidemark.llm.shared import kind_of, stored
 from tidemark.llm.tokens import lower_words_of
 
-VALUES = 96
+VALUES = 256
 ORDERS = 24
 WINDOW = 12
 NEAREST = 2
 LEAST_DEPTH = 2
-AGREEING = 60
 SIMILAR = 80  # percent
+# Values of the first and second look, and how many of them must agree: both about
+# four and a half standard deviations below what is expected at that similarity.
+FIRST_VALUES, FIRST_AGREEING = 96, 59
+SECOND_VALUES, SECOND_AGREEING = VALUES, 176
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20240131)
 FACTORS = _RANDOM.integers(0, 1 << 31, VALUES, np.uint32) * np.uint32(2) + np.uint32(1)
 SHIFTS = _RANDOM.integers(0, 1 << 32, VALUES, np.uint32)
-TREES = [_RANDOM.permutation(VALUES) for _ in range(ORDERS)]
+TREES = {
+    values: [_RANDOM.permutation(values) for _ in range(ORDERS)]
+    for values in (FIRST_VALUES, SECOND_VALUES)
+}
 
 
 class ShingleSets:
@@ -133,29 +139,33 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame, labelled: bool) -> DataFrame:
-    """``a, b, agreeing`` with a < b: neighbours in some tree whose signatures agree.
+def candidates(classes: DataFrame, second: bool) -> DataFrame:
+    """``a, b, agreeing, la, lb`` with a < b: neighbours whose signatures agree.
 
-    `classes` has a row per class, with ``node``, ``signature`` and ``label``. If
-    `labelled`, the neighbours within the window that have different labels;
-    else the nearest neighbours, and (x, x, 0) for each end x of a candidate
-    further off. The rows of a tree are dealt by ranges that include the node,
-    so that a region of any density spreads over tasks; the border between two
-    tasks hides a pair in one tree only.
+    `classes` has a row per class, with ``node``, ``signature`` and ``label``; la and
+    lb are the labels, the smaller one first. In the `second` look, these are the
+    neighbours within the window that have different labels; in the first, the
+    nearest neighbours, and (x, x) for each end x of a candidate further off.
+    The rows of a tree are dealt by ranges that include the node, so that a
+    region of any density spreads over tasks; the border between two tasks
+    hides a pair in one tree only.
     """
+    values, least = (
+        (SECOND_VALUES, SECOND_AGREEING) if second else (FIRST_VALUES, FIRST_AGREEING)
+    )
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = np.frombuffer(
                 b"".join(batch.column("signature").to_pylist()), np.uint8
             ).reshape(-1, VALUES)
-            for tree, order in enumerate(TREES):
+            for tree, order in enumerate(TREES[values]):
                 rows = np.ascontiguousarray(table[:, order]).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(table), tree, np.int32)),
                         pa.array(
-                            [rows[i : i + VALUES] for i in range(0, len(rows), VALUES)],
+                            [rows[i : i + values] for i in range(0, len(rows), values)],
                             pa.binary(),
                         ),
                         batch.column("node"),
@@ -166,35 +176,34 @@ def candidates(classes: DataFrame, labelled: bool) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = np.empty(0, np.int32)
-        table = np.empty((0, VALUES), np.uint8)
+        table = np.empty((0, values), np.uint8)
         nodes, labels = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             new = len(nodes)
             ordered = np.frombuffer(b"".join(batch.column("ordered").to_pylist()), np.uint8)
             trees = np.concatenate([trees, batch.column("tree").to_numpy()])
-            table = np.concatenate([table, ordered.reshape(-1, VALUES)])
+            table = np.concatenate([table, ordered.reshape(-1, values)])
             nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
             labels = np.concatenate([labels, batch.column("label").to_numpy()])
             far = []
             for step in range(1, min(WINDOW, len(nodes) - 1) + 1):
-                first, second = table[:-step], table[step:]
+                first, after = table[:-step], table[step:]
                 near = (trees[:-step] == trees[step:]) & (
-                    first[:, :LEAST_DEPTH] == second[:, :LEAST_DEPTH]
+                    first[:, :LEAST_DEPTH] == after[:, :LEAST_DEPTH]
                 ).all(axis=1)
-                if labelled:
+                if second:
                     near &= labels[:-step] != labels[step:]
                 near[: max(0, new - step)] = False
                 at = np.flatnonzero(near)
-                agreeing = (first[at] == second[at]).sum(axis=1)
-                at, agreeing = at[agreeing >= AGREEING], agreeing[agreeing >= AGREEING]
-                a, b = nodes[at], nodes[at + step]
-                if labelled or step <= NEAREST:
-                    yield _pairs(np.minimum(a, b), np.maximum(a, b), agreeing)
+                agreeing = (first[at] == after[at]).sum(axis=1)
+                at, agreeing = at[agreeing >= least], agreeing[agreeing >= least]
+                if second or step <= NEAREST:
+                    yield _pairs(nodes[at], nodes[at + step], agreeing, labels[at], labels[at + step])
                 else:
-                    far += [a, b]
+                    far += [nodes[at], nodes[at + step]]
             if far:
                 ends = np.unique(np.concatenate(far))
-                yield _pairs(ends, ends, np.zeros(len(ends)))
+                yield _pairs(ends, ends, np.zeros(len(ends)), ends, ends)
             trees, table = trees[-WINDOW:], table[-WINDOW:]
             nodes, labels = nodes[-WINDOW:], labels[-WINDOW:]
 
@@ -203,15 +212,21 @@ def candidates(classes: DataFrame, labelled: bool) -> DataFrame:
         .mapInArrow(plant, "tree int, ordered binary, node long, label long")
         .repartitionByRange("tree", "ordered", "node")
         .sortWithinPartitions("tree", "ordered", "node")
-        .mapInArrow(look, "a long, b long, agreeing int")
-        .groupBy("a", "b")
+        .mapInArrow(look, "a long, b long, agreeing int, la long, lb long")
+        .groupBy("a", "b", "la", "lb")
         .agg(F.max("agreeing").alias("agreeing"))
     )
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, agreeing: np.ndarray) -> pa.RecordBatch:
+def _pairs(
+    a: np.ndarray, b: np.ndarray, agreeing: np.ndarray, la: np.ndarray, lb: np.ndarray
+) -> pa.RecordBatch:
+    columns = [
+        np.minimum(a, b), np.maximum(a, b), agreeing.astype(np.int32),
+        np.minimum(la, lb), np.maximum(la, lb),
+    ]
     return pa.RecordBatch.from_arrays(
-        [pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32))], ["a", "b", "agreeing"]
+        [pa.array(c) for c in columns], ["a", "b", "agreeing", "la", "lb"]
     )
 
 
@@ -252,18 +267,20 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         "classes",
     )
     nearest = stored(
-        candidates(classes.withColumn("label", F.col("node")), labelled=False), "nearest"
+        candidates(classes.withColumn("label", F.col("node")), second=False), "nearest"
     )
     ends = nearest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    classes = stored(classes.join(ends, "node", "left_semi"), "candidate-classes")
     texts = stored(
         docs.select(text_key(F.col("text")).alias("text_key"), "text")
-        .join(classes.select("node", "text_key").join(ends, "node", "left_semi"), "text_key")
+        .join(classes.select("node", "text_key"), "text_key")
         .groupBy("node")
         .agg(F.first("text").alias("text")),
         "candidate-texts",
     )
     nearest = nearest.where("a != b")
-    both = nearest.union(nearest.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
+    one = nearest.select("a", "b", "agreeing")
+    both = one.union(one.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
     rank = F.xxhash64("other")
     chosen = (
         both.groupBy("node")
@@ -281,10 +298,11 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     relabelled = classes.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    pairs = candidates(stored(relabelled, "relabelled"), labelled=True)
-    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "windows")
+    pairs = candidates(stored(relabelled, "relabelled"), second=True)
     for turn in ("best", "rest"):
-        pairs = stored(_apart(pairs, labels), "apart")
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "apart")
+        if turn == "rest":
+            pairs = stored(_apart(pairs, labels), "apart")
         if pairs.isEmpty():
             return labels
         tried = pairs.select("a", "b")
@@ -293,7 +311,6 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
             tried = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
         found = found.union(stored(confirmed(tried, texts, words), "links"))
         labels = stored(components(found), "labels")
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
     return labels
 
 

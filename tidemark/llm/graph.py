@@ -58,7 +58,6 @@ def components(links: DataFrame) -> DataFrame:
             .agg(F.min("b").alias("least"))
             .select(F.col("a").alias("node"), F.least("a", "least").alias("parent"))
         )
-        parents = stored(parents, "parents")
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("label"))
         hooked = stored(parents.join(up, "parent").select("node", "label"), "hooked")
         rounds.append(hooked)

@@ -62,7 +62,7 @@ TREES = {
 class ShingleSets:
     """Sorted distinct shingle hashes of texts; remembers the hashes of words."""
 
-    def __init__(self, words: int, keep: int = 500_000) -> None:
+    def __init__(self, words: int, keep: int = 200_000) -> None:
         self._size = words
         self._keep = keep
         self._known: dict[bytes, int] = {}

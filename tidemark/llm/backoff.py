@@ -42,7 +42,7 @@ from tidemark.llm.shared import kind_of, stored
 from tidemark.llm.tokens import lower_words_of
 
 ORDER = 2
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_400_000
 RANGE_TOKENS = 4_000_000
 GRAM_BITS = 48
 CLASSES = 64
@@ -104,25 +104,26 @@ def grams_of(vocabulary: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> l
     end = int(np.searchsorted(vocabulary, hash_of(END)))
     first = np.zeros(len(tokens), bool)
     first[np.cumsum(sizes) - sizes] = True
-    order = np.arange(len(vocabulary))
-    none = np.zeros(len(vocabulary), np.int64)
+    order = np.arange(len(vocabulary), dtype=np.int32)
+    none = np.zeros(len(vocabulary), np.int32)
     grams = [Grams(tokens, none, order, none, vocabulary, vocabulary, order)]
     for n in range(2, ORDER + 1):
         shorter = grams[-1]
-        context = np.concatenate([[-1], shorter.at[:-1]])
+        context = np.concatenate([np.array([-1], np.int32), shorter.at[:-1]])
         context[first] = end if n == 2 else -1
         there = np.flatnonzero(context >= 0)
-        code = context[there] * len(vocabulary) + tokens[there]
+        code = context[there].astype(np.int64) * len(vocabulary) + tokens[there]
         distinct, place, inverse = np.unique(code, return_index=True, return_inverse=True)
-        at = np.full(len(tokens), -1, np.int64)
+        at = np.full(len(tokens), -1, np.int32)
         at[there] = inverse
-        one, word = np.divmod(distinct, len(vocabulary))
+        del code, inverse, context
+        one, word = (x.astype(np.int32) for x in np.divmod(distinct, len(vocabulary)))
         mixed = (shorter.hashes[one] ^ np.uint64(n)) * MIX
         mixed = ((mixed ^ (mixed >> np.uint64(32))) + vocabulary[word]) * MIX
         hashes = mixed ^ (mixed >> np.uint64(29))
         keys, key_of = np.unique(hashes >> np.uint64(64 - GRAM_BITS), return_inverse=True)
         suffix = shorter.at[there[place]]
-        grams.append(Grams(at, one, word, suffix, hashes, keys, key_of))
+        grams.append(Grams(at, one, word, suffix, hashes, keys, key_of.astype(np.int32)))
     return grams
 
 
@@ -196,10 +197,16 @@ def blocks_of(docs: DataFrame, held_out: Column) -> DataFrame:
     )
 
 
+def single_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one after the other, as a row is a whole block."""
+    for at in range(batch.num_rows):
+        yield batch.slice(at, 1).to_pylist()[0]
+
+
 def opened(row: dict) -> tuple[list[Grams], np.ndarray, np.ndarray]:
     """N-grams of a block, sizes of its documents, and which positions train."""
     sizes = np.array(row["sizes"], np.int64)
-    tokens = unsqueezed(row["words"], np.uint32).astype(np.int64)
+    tokens = unsqueezed(row["words"], np.uint32).astype(np.int32)
     grams = grams_of(risen(row["vocabulary"]), tokens, sizes)
     return grams, sizes, np.repeat(~np.array(row["held_out"], bool), sizes)
 
@@ -215,7 +222,7 @@ def counted(blocks: DataFrame) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in single_rows(batch):
                 grams, _, training = opened(row)
                 for order, g in enumerate(grams, 1):
                     counts = g.counts(training)
@@ -316,7 +323,7 @@ def masses(blocks: DataFrame) -> np.ndarray:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         seen = np.zeros((ORDER, CLASSES, 2))
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in single_rows(batch):
                 grams, _, training = opened(row)
                 totals = totals_of(row, grams)
                 for n, g in enumerate(grams):
@@ -433,7 +440,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, row in enumerate(batch.to_pylist()):
+            for at, row in enumerate(single_rows(batch)):
                 grams, sizes, _ = opened(row)
                 totals = totals_of(row, grams)
                 words = grams[0].at

@@ -59,8 +59,10 @@ def statistics(text: str | None) -> list[float]:
 
 
 def matrix(texts: pd.Series) -> np.ndarray:
-    rows = [statistics(None if text is None else str(text)) for text in texts]
-    return np.array(rows, np.float64).reshape(-1, FEATURES)
+    rows = np.empty((len(texts), FEATURES))
+    for at, text in enumerate(texts):
+        rows[at] = statistics(None if text is None else str(text))
+    return rows
 
 
 @dataclass(frozen=True)

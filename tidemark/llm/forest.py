@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
 from tidemark.llm.lines import text_key
-from tidemark.llm.shared import kind_of, stored
+from tidemark.llm.shared import kind_of, small_batches, stored
 from tidemark.llm.tokens import lower_words_of
 
 VALUES = 256
@@ -109,28 +109,26 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = ShingleSets(words)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                sets = [shingles(text) for text in batch.column("text").to_pylist()]
-                full = [s for s in sets if len(s)]
-                rows = iter(signature(full)) if full else iter(())
-                nodes = [
-                    np.uint64(xxhash.xxh3_64_intdigest(s)).astype(np.int64) if len(s) else None
-                    for s in sets
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        batch.column("text_key"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(nodes, pa.int64()),
-                        pa.array(
-                            [next(rows).tobytes() if len(s) else None for s in sets], pa.binary()
-                        ),
-                    ],
-                    ["doc_id", "text_key", "n_shingles", "node", "signature"],
-                )
+        for batch in small_batches(batches):
+            sets = [shingles(text) for text in batch.column("text").to_pylist()]
+            full = [s for s in sets if len(s)]
+            rows = iter(signature(full)) if full else iter(())
+            nodes = [
+                np.uint64(xxhash.xxh3_64_intdigest(s)).astype(np.int64) if len(s) else None
+                for s in sets
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_key"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(
+                        [next(rows).tobytes() if len(s) else None for s in sets], pa.binary()
+                    ),
+                ],
+                ["doc_id", "text_key", "n_shingles", "node", "signature"],
+            )
 
     return docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").mapInArrow(
         sign,
@@ -235,7 +233,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = ShingleSets(words)
-        for batch in batches:
+        for batch in small_batches(batches):
             found = []
             for one, two in zip(
                 batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True

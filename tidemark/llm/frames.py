@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import small_batches, stored
 from tidemark.llm.tokens import ID_BYTES, packed, word_encoder
 from tidemark.sources.scratch import shared_folder
 
@@ -180,7 +180,7 @@ def write_token_files(
         number = TaskContext.get().partitionId()
         name = f"{path}/{number:06d}-{uuid.uuid4().hex}.ids.zst"
         writer = None
-        for batch in batches:
+        for batch in small_batches(batches):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     files, inner = _filesystem(name)

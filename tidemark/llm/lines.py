@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import kind_of, stored
+from tidemark.llm.shared import kind_of, small_batches, stored
 from tidemark.llm.tokens import words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -100,7 +100,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
     """Per document its counts, and its lines as ``lines`` and ``line_words``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column("text").to_pylist()
             counts = list(zip(*map(text_counts, texts), strict=True)) or [()] * len(COUNTS)
             lines = [line_words(text or "") for text in texts]
@@ -196,7 +196,7 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     schema = ", ".join(f"`{n}` {kind_of(docs, n)}" for n in names)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             columns = batch.columns[:-1]
             texts = columns[text].to_pylist()
             drops = batch.column(len(names)).to_pylist()

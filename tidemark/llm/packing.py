@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import kind_of
+from tidemark.llm.shared import kind_of, small_batches
 from tidemark.llm.tokens import ID_BYTES, ID_TYPE, packed, word_encoder
 
 GROUP_ROWS = 16_384
@@ -39,7 +39,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
         encoder = word_encoder(tokenizer)
         end = packed([end_id])
         step = capacity * ID_BYTES
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 ids = encoder.encode(text) + end

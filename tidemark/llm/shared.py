@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +32,10 @@ def kind_of(frame: DataFrame, column: str) -> str:
 def fold(doc_id: Column, parts: int) -> Column:
     """The remainder of crc32 over the id as text, by which rows are held out."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts))
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: Python's copies of the texts are those of one slice at a time."""
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(at, rows)

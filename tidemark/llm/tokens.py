@@ -43,7 +43,7 @@ class WordEncoder:
     others pass through its normalizer and pre-tokenizer.
     """
 
-    def __init__(self, path: str, keep: int = 300_000) -> None:
+    def __init__(self, path: str, keep: int = 150_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

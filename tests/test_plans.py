@@ -154,17 +154,19 @@ def test_the_app_report_reads_each_event_table_once(spark, tmp_path, monkeypatch
     ):
         write_events(table.with_country(events), schema, f"{tmp_path}/{name}")
         frames[name] = read_events(spark, schema, f"{tmp_path}/{name}")
-    texts = []
+    readers = {name: [] for name in frames}
     written = jobs._Run.store
 
     def store(self, name, frame):
-        texts.append(plan(frame, "simple"))
+        for table_name, found in readers.items():
+            if any(f"/{table_name}/event_date=" in path for path in frame.inputFiles()):
+                found.append(len(scan_lines(plan(frame), "ReadSchema")))
         return written(self, name, frame)
 
     monkeypatch.setattr(jobs._Run, "store", store)
     jobs.run_app_report(*frames.values(), P, f"{tmp_path}/reports")
-    for name in frames:
-        assert sum(text.count(f"{tmp_path}/{name}") for text in texts) == 1
+    # One result set, the base, reads both tables, each by one scan.
+    assert readers == {"feed": [2], "messages": [2]}
 
 
 def test_stored_stream_slots_are_pruned_by_day(spark, tmp_path):
@@ -172,10 +174,12 @@ def test_stored_stream_slots_are_pruned_by_day(spark, tmp_path):
 
     from tidemark.streaming.alerts import stored_slots
 
-    day = tmp_path / "event_date=2024-01-30" / "slot=1015"
-    day.mkdir(parents=True)
-    text = plan(stored_slots(spark, str(tmp_path), date(2024, 1, 14)))
-    (filters,) = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    row = spark.sql("select date'2024-01-30' as event_date, '1015' as slot, 1L as views")
+    path = str(tmp_path / "slots")
+    row.write.partitionBy("event_date", "slot").parquet(path)
+    frame = stored_slots(spark, path, date(2024, 1, 14))
+    assert frame.count() == 1
+    (filters,) = [line for line in plan(frame).splitlines() if "PartitionFilters" in line]
     assert "event_date" in filters and "2024-01-14" in filters
 
 

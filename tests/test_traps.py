@@ -80,7 +80,7 @@ def test_undefined_ratio_is_null(spark):
     f = feed(spark, [(1, f"{DAY} 10:00", "like")])
     row = reports.feed_kpi(f, P).first()
     assert (row.views, row.likes, row.ctr) == (0, 1, None)
-    assert "CTR = nan%" in reports.feed_kpi_digest(reports.feed_kpi(f, P)).first().message
+    assert "CTR = inf%" in reports.feed_kpi_digest(reports.feed_kpi(f, P)).first().message
 
 
 def test_ctr_is_percent_in_report_and_fraction_in_alerts(spark):

@@ -256,3 +256,17 @@ def test_layouts_are_chosen_by_the_fingerprint(spark):
 def test_columns_without_a_layout_are_refused(spark):
     with pytest.raises(ValueError):
         chat.row_turns(spark.createDataFrame([(1, "x")], "conv_id long, text string"))
+
+
+def test_copies_that_only_their_original_links(spark):
+    rng = random.Random(6)
+    original = prose(901, 300)
+    texts = [original, *edited_copies(rng, original, 1000, 6)]
+    sets = [shingle_set(t, 5) for t in texts]
+    alike = [len(sets[0] & s) / len(sets[0] | s) for s in sets[1:]]
+    assert min(alike) >= 0.8 and sum(
+        len(sets[1] & s) / len(sets[1] | s) >= 0.8 for s in sets[2:]
+    ) < 20
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    found = forest.near_duplicates(documents(spark, rows), 5).collect()
+    assert {r.component_id for r in found} == {0}

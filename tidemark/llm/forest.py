@@ -16,11 +16,15 @@ are one class; the rest of the work is on one row per class:
    takes in whole windows, but only neighbours that are still apart: first the
    best candidate between any two components, then all that remain. Every
    candidate is confirmed, refuted, or has ends that confirmed links join.
-4. Components of the confirmed links.
+4. Where four shared values leave more than a window of others, the class is
+   full. Full classes are joined by their rarest shingles (`sharing`), which is
+   exact for any order of shingles: first with the class of most links of each
+   component, which leaves few pairs, then with all that are still apart.
+5. Components of the confirmed links.
 
 A pair at a similarity of exactly 0.8 shares the first four values of an order
 with probability 0.41, so the chance that no tree brings it together is about
-3e-6 where four shared values leave less than a window of others.
+3e-6, and else it is in the window or both ends are full.
 """
 
 from __future__ import annotations
@@ -43,11 +47,18 @@ ORDERS = 24
 WINDOW = 12
 NEAREST = 2
 LEAST_DEPTH = 2
+FULL_DEPTH = 4
 SIMILAR = 80  # percent
 # Values of the first and second look, and how many of them must agree: both about
 # four and a half standard deviations below what is expected at that similarity.
 FIRST_VALUES, FIRST_AGREEING = 96, 59
 SECOND_VALUES, SECOND_AGREEING = VALUES, 176
+# The values that go with a shingle, by the same measure.
+SHORT_VALUES, SHORT_AGREEING = 32, 15
+# Shingles are ordered by their count in about so many classes; so many counts are kept.
+COUNTED_CLASSES, COUNTED_SHINGLES = 20_000, 1 << 18
+# Classes with one shingle beyond which its pairs are made by several tasks.
+CELL_ROWS = 2048
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20240131)
@@ -144,6 +155,7 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
     lb are the labels, the smaller one first. In the `second` look, these are the
     neighbours within the window that have different labels; in the first, the
     nearest neighbours, and (x, x) for each end x of a candidate further off.
+    Both have (x, x) with agreeing = 1 for each full class x.
     The rows of a tree are dealt by ranges that include the node, so that a
     region of any density spreads over tasks; the border between two tasks
     hides a pair in one tree only.
@@ -202,8 +214,15 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
             if far:
                 ends = np.unique(np.concatenate(far))
                 yield _pairs(ends, ends, np.zeros(len(ends)), ends, ends)
-            trees, table = trees[-WINDOW:], table[-WINDOW:]
-            nodes, labels = nodes[-WINDOW:], labels[-WINDOW:]
+            over = WINDOW + 1
+            if len(nodes) > over:
+                full = (trees[:-over] == trees[over:]) & (
+                    table[:-over, :FULL_DEPTH] == table[over:, :FULL_DEPTH]
+                ).all(axis=1)
+                ends = np.unique(np.concatenate([nodes[:-over][full], nodes[over:][full]]))
+                yield _pairs(ends, ends, np.ones(len(ends)), ends, ends)
+            trees, table = trees[-over:], table[-over:]
+            nodes, labels = nodes[-over:], labels[-over:]
 
     return (
         classes.select("node", "signature", "label")
@@ -253,6 +272,178 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     )
 
 
+def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that some of the classes share, sorted, and their counts: at most
+    `COUNTED_SHINGLES` of them. They only decide how many pairs `sharing` has to look at.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = ShingleSets(words)
+        for batch in small_batches(batches):
+            sets = [shingles(text) for text in batch.column("text").to_pylist()]
+            if sets:
+                some, counts = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.view(np.int64)), pa.array(counts)], ["shingle", "n"]
+                )
+
+    every = max(1, texts.count() // COUNTED_CLASSES)
+    found = (
+        texts.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0)
+        .select("text")
+        .mapInArrow(count, "shingle long, n long")
+        .groupBy("shingle")
+        .agg(F.sum("n").alias("n"))
+        .where("n > 1")
+        .orderBy(F.desc("n"), "shingle")
+        .limit(COUNTED_SHINGLES)
+        .toArrow()
+    )
+    shingles = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], found.column("n").to_numpy()[order]
+
+
+def rarest(texts: DataFrame, words: int) -> DataFrame:
+    """``shingle, node``: the rarest shingles of every set, if another set has them, too.
+
+    Of two sets of similarity 0.8, each holds all but a fifth of the union, so
+    in any common order of shingles the first fifth of the one meets that of
+    the other. `texts` has ``node`` and ``text``.
+    """
+    known, counts = frequent_shingles(texts, words)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = ShingleSets(words)
+        for batch in small_batches(batches):
+            kept = [np.empty(0, np.uint64)]
+            for text in batch.column("text").to_pylist():
+                found = shingles(text)
+                rarity = np.zeros(len(found), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                    rarity = np.where(known[at] == found, counts[at], 0)
+                shared = -(-SIMILAR * len(found) // 100)
+                kept.append(found[np.lexsort((found, rarity))[: len(found) - shared + 1]])
+            many = [len(k) for k in kept[1:]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(kept).view(np.int64)),
+                    pa.array(np.repeat(batch.column("node").to_numpy(), many)),
+                ],
+                ["shingle", "node"],
+            )
+
+    rows = stored(
+        texts.select("node", "text").mapInArrow(first, "shingle long, node long"), "rarest"
+    )
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return rows.join(shared, "shingle")
+
+
+def sharing(firsts: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
+    """``a, b`` with a < b and different labels that share one of their rarest shingles.
+
+    Of those, the pairs whose sizes and short signatures allow it and, with `hubs`,
+    only those that hold a hub. `classes` has ``node, label, hub, size, short``. The
+    classes with a shingle are dealt into parts; any two parts meet in a cell.
+    """
+    rows = stored(firsts.join(classes, "node"), "shingles")
+    shared = (
+        rows.groupBy("shingle")
+        .agg(
+            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+            F.max("hub").alias("any"),
+        )
+        .where("low < high and any" if hubs else "low < high")
+        .select("shingle", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("parts"))
+    )
+    keys = ["shingle", "i", "j"]
+    cells = (
+        rows.join(shared, "shingle")
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("i", F.least("part", "other"))
+        .withColumn("j", F.greatest("part", "other"))
+        .select(*keys, "part", "node", "label", "hub", "size", "short")
+    )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            some = pa.Table.from_batches([batch])
+            some = some if rest is None else pa.concat_tables([rest, some])
+            last = int(_cells(some)[-1])
+            if last:
+                yield _met(some.slice(0, last), hubs)
+            rest = some.slice(last)
+        if rest is not None:
+            yield _met(rest, hubs)
+
+    return (
+        cells.repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(meet, "a long, b long")
+        .distinct()
+    )
+
+
+def _cells(rows: pa.Table) -> np.ndarray:
+    """Where the cells of the sorted rows begin."""
+    key = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in ("shingle", "i", "j")])
+    return np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+
+
+def _met(rows: pa.Table, hubs: bool) -> pa.RecordBatch:
+    """The pairs of `sharing` in whole cells."""
+    i, j, part, node, label, hub, size = (
+        rows.column(c).to_numpy() for c in ("i", "j", "part", "node", "label", "hub", "size")
+    )
+    short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8)
+    short = short.reshape(-1, SHORT_VALUES)
+    starts = _cells(rows)
+    ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
+    found, at, step = [np.empty((2, 0), np.int64)], np.arange(len(node)), 1
+    while len(at := at[at + step < ends[at]]):
+        x, y = at, at + step
+        # A cell of two parts pairs only one with the other.
+        near = (label[x] != label[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
+        near &= 100 * np.minimum(size[x], size[y]) >= SIMILAR * np.maximum(size[x], size[y])
+        if hubs:
+            near &= hub[x] | hub[y]
+        x, y = x[near], y[near]
+        alike = (short[x] == short[y]).sum(axis=1) >= SHORT_AGREEING
+        found.append(np.sort(np.stack([node[x[alike]], node[y[alike]]]), axis=0))
+        step += 1
+    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b, agreeing`` of the pairs whose whole signatures agree well enough."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES)
+                for c in ("one", "two")
+            )
+            many = (one == two).sum(axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(many)], ["a", "b", "agreeing"]
+            ).filter(pa.array(many >= SECOND_AGREEING))
+
+    signatures = classes.select("node", "signature")
+    return (
+        pairs.join(signatures.toDF("a", "one"), "a")
+        .join(signatures.toDF("b", "two"), "b")
+        .select("a", "b", "one", "two")
+        .mapInArrow(compare, "a long, b long, agreeing int")
+    )
+
+
 def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     """``node, label``: the component of every class with a confirmed link.
 
@@ -261,7 +452,10 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     classes = stored(
         rows.where("node is not null")
         .groupBy("node")
-        .agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key")),
+        .agg(
+            F.first("signature").alias("signature"), F.min("text_key").alias("text_key"),
+            F.first("n_shingles").alias("size"),
+        ),
         "classes",
     )
     nearest = stored(
@@ -296,22 +490,58 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     relabelled = classes.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    pairs = candidates(stored(relabelled, "relabelled"), second=True)
-    for turn in ("best", "rest"):
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "apart")
-        if turn == "rest":
-            pairs = stored(_apart(pairs, labels), "apart")
-        if pairs.isEmpty():
-            return labels
-        tried = pairs.select("a", "b")
-        if turn == "best":
-            best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
-            tried = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
-        found = found.union(stored(confirmed(tried, texts, words), "links"))
-        labels = stored(components(found), "labels")
+    pairs = stored(candidates(stored(relabelled, "relabelled"), second=True), "second")
+    full = classes.join(pairs.where("a = b").select(F.col("a").alias("node")), "node", "left_semi")
+    pairs = pairs.where("a != b")
+
+    def settle(pairs: DataFrame, found: DataFrame, labels: DataFrame, tried: DataFrame):
+        """The links, labels and tried pairs after the best of `pairs`, then the rest."""
+        for turn in ("best", "rest"):
+            pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "apart")
+            if turn == "rest":
+                pairs = stored(_apart(pairs, labels), "apart")
+            if pairs.isEmpty():
+                break
+            new = pairs.select("a", "b")
+            if turn == "best":
+                best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
+                new = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
+            tried = tried.union(new)
+            found = found.union(stored(confirmed(new, texts, words), "links"))
+            labels = stored(components(found), "labels")
+        return found, labels, tried
+
+    found, labels, tried = settle(pairs, found, labels, tried)
+    if full.isEmpty():
+        return labels
+    firsts = stored(rarest(full.join(texts, "node"), words), "shared-rarest")
+    for turn in ("hubs", "all"):
+        hubs = _hubs(found, labels).withColumn("hub", F.lit(True))
+        marked = (
+            full.select("node", "size", F.substring("signature", 1, SHORT_VALUES).alias("short"))
+            .join(labels, "node", "left")
+            .join(hubs, "node", "left")
+            .withColumn("label", F.coalesce("label", "node"))
+            .withColumn("hub", F.coalesce("hub", F.lit(False)))
+        )
+        pairs = agreeing(sharing(firsts, marked, hubs=turn == "hubs"), classes)
+        pairs = stored(_apart(pairs, labels), "sharing")
+        found, labels, tried = settle(pairs, found, labels, tried)
     return labels
 
 
+def _hubs(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node``: of each component the class with most links."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"))
+    return (
+        ends.groupBy("node").agg(F.count("*").alias("n"))
+        .join(labels, "node")
+        .groupBy("label")
+        .agg(F.max_by("node", F.struct("n", "node")).alias("node"))
+        .select("node")
+    )
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components, ``la`` and ``lb``."""
     one = F.coalesce(F.col("_la"), F.col("a"))

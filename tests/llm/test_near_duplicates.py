@@ -8,6 +8,7 @@ from collections import defaultdict
 from hashlib import sha256
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.samples import documents, odd_rows, prose, row
@@ -270,3 +271,24 @@ def test_copies_that_only_their_original_links(spark):
     rows = [row(i, t) for i, t in enumerate(texts)]
     found = forest.near_duplicates(documents(spark, rows), 5).collect()
     assert {r.component_id for r in found} == {0}
+
+
+def test_candidates_of_the_first_look_alone_are_tried(spark, monkeypatch):
+    texts = [prose(700 + i, 100) for i in range(10)]
+    texts += edited_copies(random.Random(3), texts[0], 1, 2)
+    shingles = forest.ShingleSets(2)
+    ends = [xxhash.xxh3_64_intdigest(shingles(t)) for t in (texts[0], texts[-1])]
+    x, y = sorted(n - (1 << 64) if n >> 63 else n for n in ends)
+
+    def candidates(classes, second):
+        one = classes.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        pairs = one.crossJoin(one.toDF("b", "lb")).where("a < b")
+        true = (F.col("a") == x) & (F.col("b") == y)
+        return pairs.select(
+            "a", "b", "la", "lb", F.when(true, 60).otherwise(90).alias("agreeing")
+        ).where(F.lit(not second))
+
+    monkeypatch.setattr(forest, "candidates", candidates)
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    found = forest.near_duplicates(documents(spark, rows), 2).collect()
+    assert {r.doc_id: r.component_id for r in found} == {**{i: i for i in range(10)}, 10: 0}

@@ -13,8 +13,9 @@ are one class; the rest of the work is on one row per class:
    `NEAREST` neighbours, and each class is confirmed with two of those. That
    joins groups of thousands without comparing them pair by pair. The second
    look is at the ends of all candidates, in trees over longer signatures, and
-   takes in whole windows, but only neighbours that are still apart: first the
-   best candidate between any two components, then all that remain. Every
+   takes in whole windows, but only neighbours that are still apart. With what
+   the first look left untried, these are confirmed: first the best candidate
+   between any two components, then all that remain. Every
    candidate is confirmed, refuted, or has ends that confirmed links join.
 4. Where four shared values leave more than a window of others, the class is
    full. Full classes are joined by their rarest shingles (`sharing`), which is
@@ -491,8 +492,16 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         "label", F.coalesce("label", "node")
     )
     pairs = stored(candidates(stored(relabelled, "relabelled"), second=True), "second")
+    untried = one.withColumn(
+        "agreeing", F.expr(f"cast(agreeing * {SECOND_VALUES} / {FIRST_VALUES} as int)")
+    )
     full = classes.join(pairs.where("a = b").select(F.col("a").alias("node")), "node", "left_semi")
-    pairs = pairs.where("a != b")
+    pairs = (
+        pairs.where("a != b")
+        .unionByName(_apart(untried, labels))
+        .groupBy("a", "b", "la", "lb")
+        .agg(F.max("agreeing").alias("agreeing"))
+    )
 
     def settle(pairs: DataFrame, found: DataFrame, labels: DataFrame, tried: DataFrame):
         """The links, labels and tried pairs after the best of `pairs`, then the rest."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     backoff,
     buckets,
+    bytepairs,
     chat,
     discriminant,
     forest,
@@ -21,8 +22,10 @@ from tidemark.llm import (
     packing,
 )
 from tidemark.llm.shared import fold, stored, table
+from tidemark.llm.tokens import ID_BYTES
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SEQUENCE_TOKENS = 4096
 PACKED_END = 1
 FILE_END = 2
@@ -146,6 +149,18 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document and the bytes that they stand for, as digests."""
+    pattern = public_tokenizers.PATTERN
+    coded = bytepairs.encoded(table(spark, sf_dir, "documents"), RANKS, pattern)
+    return bytepairs.decoded(coded, RANKS, pattern).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / ID_BYTES).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_frequency_rules": op2_line_frequency_rules,
@@ -157,4 +172,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_seekable_token_files": op8_seekable_token_files,
     "op9_merkle_fingerprints": op9_merkle_fingerprints,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_prefix_byte_pairs": op11_prefix_byte_pairs,
 }

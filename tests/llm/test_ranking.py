@@ -1,0 +1,104 @@
+"""The dual-tree ranking against the plain definition; SQL checks it, too."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.samples import documents, folder, odd_rows, prose, row, with_extra
+from tidemark.llm import queries, ranking
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+ITEM = "item_id string, text string"
+
+
+def plain_terms(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(lowered)
+
+
+def plain_ranking(items, rows, top=10):
+    found = [(r[0], Counter(plain_terms(r[1]))) for r in rows]
+    sizes = [sum(c.values()) for _, c in found]
+    docs, terms = sum(n > 0 for n in sizes), sum(sizes)
+    holding = Counter(t for _, c in found for t in c)
+    result = []
+    for item_id, text in items:
+        scored = []
+        for (doc_id, counts), size in zip(found, sizes, strict=True):
+            score = 0
+            for term in set(plain_terms(text)) & set(counts):
+                weight = math.floor(1000 * math.log((2 * docs + 2) / (2 * holding[term] + 1)))
+                m = 100 - 90 + (90 * size * docs) // terms
+                score += weight * ((10**9 * counts[term]) // (1000 * counts[term] + 8 * m))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scored)[:top], 1):
+            result.append((item_id, rank, doc_id, -score))
+    return sorted(map(repr, result))
+
+
+def asked(spark, path, items, docs):
+    sf_dir = folder(spark, path, documents=docs, benchmark=spark.createDataFrame(items, ITEM))
+    return queries.op12_dual_tree_ranking(spark, sf_dir)
+
+
+def rows_of(frame):
+    return sorted(repr((r.item_id, r.rank, r.doc_id, r.score)) for r in frame.collect())
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    pick = random.Random(3)
+    rows = [row(i, prose(i, pick.choice([5, 40, 200]))) for i in range(400)]
+    rows += [row(1000 + i, rows[7][1]) for i in range(40)] + odd_rows()
+    items = [(f"i{i}", prose(i, 12)) for i in range(0, 60, 2)]
+    items += [(f"p{i}", rows[i][1][:150]) for i in range(0, 400, 40)]
+    items += [("twice", "tare shu"), ("twice", "tare shu"), (None, "mi Mi MI lo"), ("none", "!?"),
+              ("void", None), ("odd", "naïve 日本語 É é \x7f a_b word WORD"), ("far", "zzzz qqqq"),
+              ("long", rows[-3][1][:5000])]
+    return items, rows
+
+
+@pytest.mark.parametrize("sizes", ["as they are", "small"])
+def test_against_the_plain_definition(spark, tmp_path, corpus, monkeypatch, sizes):
+    items, rows = corpus
+    if sizes == "small":
+        monkeypatch.setattr(ranking, "BLOCK_TERMS", 200)
+        monkeypatch.setattr(ranking, "GROUP_DOCS", 50)
+        monkeypatch.setattr(ranking, "SEED_PART", 3)
+    docs = with_extra(documents(spark, rows)).withColumnsRenamed({"node": "terms", "key": "lead"})
+    found = rows_of(asked(spark, tmp_path, items, docs))
+    assert found == plain_ranking(items, rows)
+    assert len(found) > 300
+
+
+def test_batches_that_cannot_reach_the_weakest_item_are_left_out():
+    pick = np.random.default_rng(2)
+    weights = np.append(np.full(200, 300), np.full(200, 5000))
+    docs = []
+    for i in range(2048):
+        docs.append(np.unique(np.append(pick.integers(0, 200, 6), 200 + i // 16)))
+    impacts = [np.full(len(d), 1000) for d in docs]
+    terms = [np.unique(np.append(pick.integers(0, 200, 3), 200 + i)) for i in range(60)]
+    items = ranking.Items(terms, weights, np.zeros(60, np.int64), 3)
+    items.search(ranking.sparse(docs, impacts), list(range(2048)))
+    again = ranking.Items(terms, weights, items.least[np.argsort(items.order)], 3)
+    again.search(ranking.sparse(docs, impacts), list(range(2048)))
+    assert sorted(items.found()) == sorted(again.found())
+    assert again.pairs < items.pairs and again.pairs < 60 * 2048 / 3
+
+
+def test_empty_tables(spark, tmp_path):
+    items = [("a", "tare")]
+    docs = documents(spark, [row(1, "tare mi")])
+    none = documents(spark, [(None,) * 5] * 3)
+    assert rows_of(asked(spark, tmp_path / "a", items, documents(spark, []))) == []
+    assert rows_of(asked(spark, tmp_path / "b", items, none)) == []
+    assert rows_of(asked(spark, tmp_path / "c", [], docs)) == []
+    assert len(rows_of(asked(spark, tmp_path / "d", items, docs))) == 1

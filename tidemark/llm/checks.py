@@ -159,9 +159,46 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP12 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents),
+s AS (
+    SELECT count(*) FILTER (len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d),
+b AS (SELECT row_number() OVER () AS iid, item_id, text FROM benchmark),
+i AS (
+    SELECT iid, item_id,
+           unnest(list_distinct(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+    FROM b),
+o AS (SELECT rid, unnest(t) AS term FROM d),
+f AS (
+    SELECT rid, term, count(*) AS tf FROM o SEMI JOIN i USING (term) GROUP BY rid, term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1)))
+                      AS BIGINT) AS w
+    FROM f, s GROUP BY term, docs),
+m AS (SELECT rid, doc_id, 100 - 90 + (90 * len(t) * docs) // terms AS m FROM d, s WHERE len(t) > 0),
+scored AS (
+    SELECT iid, item_id, rid, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (rid)
+    GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op2_line_frequency_rules": OP2,
     "op5_hierarchical_mixing": OP5,
     "op7_extendible_hashing": OP7,
     "op10_chat_formatting": OP10,
+    "op12_dual_tree_ranking": OP12,
 }

@@ -20,6 +20,8 @@ from tidemark.llm import (
     merkle,
     mixing,
     packing,
+    ranking,
+    spelling,
 )
 from tidemark.llm.shared import fold, stored, table
 from tidemark.llm.tokens import ID_BYTES
@@ -161,6 +163,17 @@ def op11_prefix_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_dual_tree_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    items = table(spark, sf_dir, "benchmark")
+    return ranking.ranked(items, table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its form, its root and its near words."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_frequency_rules": op2_line_frequency_rules,
@@ -173,4 +186,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_merkle_fingerprints": op9_merkle_fingerprints,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_prefix_byte_pairs": op11_prefix_byte_pairs,
+    "op12_dual_tree_ranking": op12_dual_tree_ranking,
+    "op13_spelling_variants": op13_spelling_variants,
 }

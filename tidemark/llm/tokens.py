@@ -9,6 +9,8 @@ from functools import lru_cache
 
 import regex
 
+from tidemark.llm.memory import Recent
+
 ID_BYTES = 4
 ID_TYPE = "<u4"
 LATIN_LETTERS = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
@@ -34,25 +36,24 @@ class WordEncoder:
 
     A tokenizer that treats white space as a separator gives a text the ids of
     its words, one after the other, and most words of a corpus come back. So
-    the ids of each word and of each piece the pre-tokenizer cuts it into are
-    kept, both up to `keep` entries; then the memory starts anew. The ids are
-    those of ``Tokenizer.encode`` over the whole text.
+    the ids of recent words are kept, in two generations of about `room` bytes,
+    and those of the pieces that the pre-tokenizer cuts words into, in a third of
+    that. The ids are those of ``Tokenizer.encode`` over the whole text.
 
     Words of printable ASCII and Latin-1 letters, on which lower case and
     normal form are plain, are cut with the tokenizer's own pattern here; all
     others pass through its normalizer and pre-tokenizer.
     """
 
-    def __init__(self, path: str, keep: int = 150_000) -> None:
+    def __init__(self, path: str, room: int = 96 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)").search
-        self._keep = keep
-        self._words: dict[bytes, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._words = Recent(self._word, room)
+        self._pieces = Recent(self._piece, room // 3)
         self._model_of = self._tokenizer.model.tokenize
         split = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self._cut = regex.compile(split["pattern"]["Regex"]).findall
@@ -61,35 +62,24 @@ class WordEncoder:
         }
 
     def _piece(self, piece: str) -> bytes:
-        coded = self._pieces.get(piece)
-        if coded is None:
-            if len(self._pieces) >= self._keep:
-                self._pieces.clear()
-            shown = piece if piece.isascii() else piece.translate(self._shown)
-            coded = self._pieces[piece] = packed([t.id for t in self._model_of(shown)])
-        return coded
+        shown = piece if piece.isascii() else piece.translate(self._shown)
+        return packed([t.id for t in self._model_of(shown)])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if self._special(text):
-            coded = packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-        elif PLAIN(text):
+            return packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        if PLAIN(text):
             lower = text.lower()
             pieces = (lower,) if lower.isalpha() else self._cut(lower)
-            coded = b"".join([self._piece(piece) for piece in pieces])
-        else:
-            normal = self._tokenizer.normalizer.normalize_str(text)
-            pieces = self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-            coded = packed([t.id for piece, _ in pieces for t in self._model_of(piece)])
-        if len(self._words) >= self._keep:
-            self._words.clear()
-        self._words[word] = coded
-        return coded
+            return b"".join([self._pieces[piece] for piece in pieces])
+        normal = self._tokenizer.normalizer.normalize_str(text)
+        pieces = self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+        return packed([t.id for piece, _ in pieces for t in self._model_of(piece)])
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; none for no text."""
-        known = self._words.get
-        return b"".join([known(word) or self._word(word) for word in words_of(text)])
+        return b"".join(map(self._words.__getitem__, words_of(text)))
 
 
 @lru_cache(maxsize=2)

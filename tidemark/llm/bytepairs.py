@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -120,44 +120,51 @@ class Vocabulary:
             else:
                 j += 1
 
-    def _entries(self, data: bytes, last: array) -> Iterator[int]:
-        """Adds the last token of each prefix that `last` lacks, and yields its length."""
-        base = max(0, len(last) + 1 - self.longest)
-        fits, many = self._fits, self._many
-        for at, (size, token) in self._endings.iter(data[base:].decode("latin-1")):
-            end = base + at + 1
-            if end <= len(last):
+    def _extend(self, data: bytes, last: list[int], until: Callable | None = None) -> None:
+        """Adds the last token of each prefix that `last` lacks, `until` says so of one."""
+        done = len(last)
+        base = max(0, done + 1 - self.longest)
+        add, fits, many = last.append, self._fits, self._many
+        for at, (size, token) in self._endings.iter(data.decode("latin-1"), base):
+            if at < done:
                 continue
-            start = end - size
+            start = at + 1 - size
             if fits[last[start - 1] * many + token] if start else self._spine(token)[0]:
-                last.append(token)
-                yield end
+                add(token)
+                done += 1
+                if until is not None and until(done):
+                    return
 
-    def prefixes(self, data: bytes) -> array:
+    def prefixes(self, data: bytes) -> list[int]:
         """The last token of every prefix of the data, the shortest first."""
-        return self.appended(b"", array("I"), data)
+        last: list[int] = []
+        self._extend(data, last)
+        return last
 
-    def appended(self, data: bytes, last: array, more: bytes) -> array:
+    def appended(self, data: bytes, last: list[int], more: bytes) -> list[int]:
         """The last tokens for ``data + more``, given those of `data`."""
         last = last[:]
-        for _ in self._entries(data + more, last):
-            pass
+        self._extend(data + more, last)
         return last
 
-    def replaced(self, data: bytes, last: array, start: int, stop: int, put: bytes) -> array:
+    def replaced(
+        self, data: bytes, last: list[int], start: int, stop: int, put: bytes
+    ) -> list[int]:
         """The last tokens once ``data[start:stop]`` is replaced by `put`."""
         changed = data[:start] + put + data[stop:]
         shift = len(changed) - len(data)
         made, same = last[:start], 0
-        for end in self._entries(changed, made):
+
+        def settled(end: int) -> bool:
+            nonlocal same
             if end > start + len(put):
                 same = same + 1 if made[-1] == last[end - 1 - shift] else 0
-                if same == self.longest:
-                    made.extend(last[end - shift :])
-                    break
-        return made
+            return same == self.longest
+
+        self._extend(changed, made, settled)
+        return made + last[len(made) - shift :]
 
-    def tokens_of(self, last: array) -> list[int]:
+    def tokens_of(self, last: list[int]) -> list[int]:
         """The ids of a byte string, read from the end of its last tokens."""
         ids, end = [], len(last)
         while end:
@@ -169,7 +176,7 @@ class Vocabulary:
 class TextCodec:
     """Ids of whole texts and back; remembers the ids of recent matches."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, room: int = 48 << 20) -> None:
+    def __init__(self, vocabulary: Vocabulary, pattern: str, room: int = 96 << 20) -> None:
         self.vocabulary = vocabulary
         self._matches = regex.compile(pattern).findall
         self._ids = Recent(self._piece, room)

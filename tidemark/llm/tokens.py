@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 from functools import lru_cache
 
@@ -14,7 +15,7 @@ from tidemark.llm.memory import Recent
 ID_BYTES = 4
 ID_TYPE = "<u4"
 LATIN_LETTERS = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
-PLAIN = regex.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+PLAIN = {*map(chr, range(0x21, 0x7F)), *LATIN_LETTERS}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -36,9 +37,9 @@ class WordEncoder:
 
     A tokenizer that treats white space as a separator gives a text the ids of
     its words, one after the other, and most words of a corpus come back. So
-    the ids of recent words are kept, in two generations of about `room` bytes,
-    and those of the pieces that the pre-tokenizer cuts words into, in a third of
-    that. The ids are those of ``Tokenizer.encode`` over the whole text.
+    the ids of recent words are kept, and those of the pieces that the
+    pre-tokenizer cuts words into, each in two generations of about `room` bytes.
+    The ids are those of ``Tokenizer.encode`` over the whole text.
 
     Words of printable ASCII and Latin-1 letters, on which lower case and
     normal form are plain, are cut with the tokenizer's own pattern here; all
@@ -52,8 +53,10 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)").search
+        plain = PLAIN - {name[0] for name in special}
+        self._plain = re.compile(f"[{re.escape(''.join(plain))}]+").fullmatch
         self._words = Recent(self._word, room)
-        self._pieces = Recent(self._piece, room // 3)
+        self._pieces = Recent(self._piece, room)
         self._model_of = self._tokenizer.model.tokenize
         split = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self._cut = regex.compile(split["pattern"]["Regex"]).findall
@@ -67,12 +70,15 @@ class WordEncoder:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if self._plain(text):
+            lower = text.lower()
+            if lower.isalpha():
+                return self._pieces[lower]
+            if lower[:-1].isalpha() and not lower[-1].isalnum():
+                return self._pieces[lower[:-1]] + self._pieces[lower[-1]]
+            return b"".join([self._pieces[piece] for piece in self._cut(lower)])
         if self._special(text):
             return packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-        if PLAIN(text):
-            lower = text.lower()
-            pieces = (lower,) if lower.isalpha() else self._cut(lower)
-            return b"".join([self._pieces[piece] for piece in pieces])
         normal = self._tokenizer.normalizer.normalize_str(text)
         pieces = self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)
         return packed([t.id for piece, _ in pieces for t in self._model_of(piece)])

@@ -12,7 +12,7 @@ from tidemark.operators import anomaly
 from tidemark.params import Params
 from tidemark.plans import catalog
 from tidemark.sources.derived import StarSchema
-from tidemark.streaming.alerts import alert_writer, read_alerts, run_alerts
+from tidemark.streaming.alerts import alert_writer, read_alerts, run_alerts, stored_slots
 from tidemark.streaming.slots import read_slots, run_to_files, stream_slot_metrics
 from tidemark.streaming.state import STATE_STORE
 
@@ -182,7 +182,7 @@ def test_a_new_checkpoint_on_an_old_history_loses_and_doubles_nothing(spark, tmp
     assert kept == [r for r in before if r["period"] < datetime(2024, 1, 30, 11, 30)]
     assert len({(r["period"], r["metric"]) for r in after}) == len(after)
     assert 900 in [r["value"] for r in after]
-    stored = spark.read.parquet(history)
+    stored = stored_slots(spark, history)
     assert stored.count() == 10 == stored.select("period").distinct().count()
 
 

@@ -12,11 +12,15 @@ from tidemark.operators import anomaly
 from tidemark.params import Params
 from tidemark.plans import jobs
 from tidemark.session import configure
+from tidemark.sources.loads import load_sources
 from tidemark.sources.tables import FEED_ACTIONS, MESSAGE_ACTIONS, read_events, stream_events
 from tidemark.streaming import alerts as stream_alerts
 from tidemark.streaming.slots import stream_slot_metrics
 
-JOBS = ["slices", "feed-report", "app-report", "alerts", "backtest", "alert-stream"]
+JOBS = [
+    "slices", "feed-report", "app-report", "alerts", "backtest", "alert-stream",
+    "alert-corrections",
+]
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -63,20 +67,35 @@ def main(argv: Sequence[str] | None = None) -> None:
         ).awaitTermination()
         return
 
-    feed = read_events(spark, FEED_ACTIONS, args.feed, args.format)
-    messages = read_events(spark, MESSAGE_ACTIONS, args.messages, args.format)
+    # An alert run opens the folders of its days only.
+    days = p.alert_days if args.job == "alerts" else None
+    feed = read_events(spark, FEED_ACTIONS, args.feed, args.format, days)
+    messages = read_events(spark, MESSAGE_ACTIONS, args.messages, args.format, days)
+    sources = None
+    if args.store and args.format == "parquet":
+        sources = load_sources(spark, [args.feed, args.messages], days)
     if args.job == "slices":
         jobs.run_daily_slices(feed, messages, p, f"{args.target}/slice_metrics_daily")
     elif args.job == "feed-report":
         jobs.run_feed_report(feed, p, args.target)
     elif args.job == "app-report":
-        jobs.run_app_report(feed, messages, p, args.target, args.store)
+        jobs.run_app_report(feed, messages, p, args.target, args.store, sources)
     elif args.job == "backtest":
         flags = anomaly.anomaly_backtest(anomaly.slot_metrics(feed, messages, p), p)
         flags.write.mode("overwrite").parquet(f"{args.target}/anomaly_backtest")
+    elif args.job == "alert-corrections":
+        jobs.run_late_corrections(
+            feed,
+            messages,
+            p,
+            f"{args.target}/stream_slots",
+            f"{args.target}/stream_alerts",
+            args.store or f"{args.target}/stream_store",
+            sources,
+        )
     else:
         at = datetime.combine(args.as_of, args.at) if args.at else None
-        jobs.run_alerts(feed, messages, p, args.target, args.store, at)
+        jobs.run_alerts(feed, messages, p, args.target, args.store, at, sources)
 
 
 if __name__ == "__main__":

@@ -27,8 +27,15 @@ from tidemark.operators import (
 from tidemark.params import Params
 from tidemark.plans import jobs
 from tidemark.sources.derived import StarSchema, feed_rows, message_rows
+from tidemark.sources.loads import load_sources
 from tidemark.sources.scratch import shared_folder
-from tidemark.sources.tables import FEED_ACTIONS, MESSAGE_ACTIONS, read_events, write_events
+from tidemark.sources.tables import (
+    FEED_ACTIONS,
+    MESSAGE_ACTIONS,
+    append_events,
+    read_events,
+    stream_events,
+)
 from tidemark.streaming import alerts as stream_alerts
 from tidemark.streaming import slots as stream_slots
 
@@ -352,34 +359,50 @@ def _(t):
 # The same from rows kept between runs; the store is filled by an earlier run.
 
 
-def _stored_events(t: StarSchema, store: str) -> tuple[DataFrame, DataFrame]:
-    """Both event tables laid out by day, as a production table is."""
-    read = []
+def _load(t: StarSchema, store: str, late: bool | None = None) -> None:
+    """Load both event tables by day, as a production table is; of two loads one brings
+    what comes a day late."""
     for events, schema, name in (
         (t.with_country(t.feed), FEED_ACTIONS, "feed"),
         (t.with_country(t.messages), MESSAGE_ACTIONS, "messages"),
     ):
-        write_events(events, schema, f"{store}/{name}")
-        read.append(read_events(t.spark, schema, f"{store}/{name}"))
-    return read[0], read[1]
+        if late is not None:
+            slow = (F.minute("time") % 5 == 3) & (F.to_date("time") < F.lit(P.as_of))
+            events = events.where(slow if late else ~slow)
+        append_events(events, schema, f"{store}/{name}")
+
+
+def _loaded(
+    t: StarSchema, store: str, days: list[date] | None = None
+) -> tuple[tuple[DataFrame, DataFrame], dict[date, str] | None]:
+    """Both tables, and what their days consist of."""
+    paths = [f"{store}/feed", f"{store}/messages"]
+    feed = read_events(t.spark, FEED_ACTIONS, paths[0], days=days)
+    messages = read_events(t.spark, MESSAGE_ACTIONS, paths[1], days=days)
+    return (feed, messages), load_sources(t.spark, paths, days)
 
 
 @_query("slots_from_store")
 def _(t):
     store = shared_folder(t.spark, "kept")
-    events = _stored_events(t, store)
+    _load(t, store)
     earlier = replace(P, as_of=P.day(2))
-    jobs.kept_alert_slots(*events, earlier, store).write.format("noop").mode("append").save()
-    return jobs.kept_alert_slots(*events, P, store).orderBy("period")
+    for p in (earlier, P):
+        events, sources = _loaded(t, store, p.alert_days)
+        slots = jobs.kept_alert_slots(*events, p, store, sources=sources)
+        if p is earlier:
+            slots.write.format("noop").mode("append").save()
+    return slots.orderBy("period")
 
 
 @_query("weekly_from_store")
 def _(t):
     store = shared_folder(t.spark, "kept")
-    events = _stored_events(t, store)
+    _load(t, store)
+    events, sources = _loaded(t, store)
     earlier = replace(P, as_of=P.day(9))
-    jobs.kept_user_days(*events, earlier, store).write.format("noop").mode("append").save()
-    base = user_days.of_feed(jobs.kept_user_days(*events, P, store))
+    jobs.kept_user_days(*events, earlier, store, sources).write.format("noop").mode("append").save()
+    base = user_days.of_feed(jobs.kept_user_days(*events, P, store, sources))
     return cohorts.weekly_dynamics(user_days.user_weeks(base))
 
 
@@ -419,3 +442,20 @@ def _(t):
         _slot_stream(t), f"{folder}/slots", f"{folder}/alerts", f"{folder}/checkpoint", P
     ).awaitTermination()
     return stream_alerts.read_alerts(t.spark, f"{folder}/alerts")
+
+
+@_query("stream_alerts_late")
+def _(t):
+    folder = shared_folder(t.spark, "late-stream")
+    _load(t, folder, late=False)
+    streams = [
+        stream_events(t.spark, schema, f"{folder}/{name}")
+        for name, schema in (("feed", FEED_ACTIONS), ("messages", MESSAGE_ACTIONS))
+    ]
+    paths = f"{folder}/slots", f"{folder}/alerts"
+    slots = stream_slots.stream_slot_metrics(*streams, P)
+    stream_alerts.run_alerts(slots, *paths, f"{folder}/checkpoint", P).awaitTermination()
+    _load(t, folder, late=True)
+    events, sources = _loaded(t, folder)
+    jobs.run_late_corrections(*events, P, *paths, f"{folder}/store", sources)
+    return stream_alerts.read_alerts(t.spark, paths[1])

@@ -17,12 +17,18 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.calendar import on_days, runs, up_to
 from tidemark.operators import activity, anomaly, cohorts, reports, services, slices, user_days
 from tidemark.operators.filters import in_alert_days, on_yesterday
 from tidemark.params import Params
-from tidemark.plans.kept import KeptDays, day_sources
+from tidemark.plans.kept import KeptDays, Sources, day_sources
+from tidemark.streaming import alerts as stream_alerts
+
+
+# Days whose stored slots have been compared with their events need no more than a mark.
+COMPARED = T.StructType([T.StructField("event_date", T.DateType())])
 
 
 class _Run:
@@ -57,13 +63,19 @@ def run_feed_report(feed: DataFrame, p: Params, target: str) -> None:
     run.store("feed_kpi_series", reports.feed_kpi_series(kpi))
 
 
-def kept_user_days(feed: DataFrame, messages: DataFrame, p: Params, store: str) -> DataFrame:
-    """`user_days` of all days up to the run's, where past days are kept in `store`."""
+def kept_user_days(
+    feed: DataFrame, messages: DataFrame, p: Params, store: str, sources: Sources | None = None
+) -> DataFrame:
+    """`user_days` of all days up to the run's, where past days are kept in `store`.
+
+    `sources` tells what the days consist of, see `sources.loads.load_sources`;
+    without it, the names of the tables' files do.
+    """
 
     def make(days: Sequence[date]) -> DataFrame:
         return user_days.user_days(on_days(feed, runs(days)), on_days(messages, runs(days)))
 
-    sources = day_sources(feed, messages)
+    sources = sources or day_sources(feed, messages)
     if sources is None:
         return user_days.user_days(up_to(feed, p.as_of), up_to(messages, p.as_of))
     past = {day: source for day, source in sources.items() if day < p.as_of}
@@ -72,7 +84,12 @@ def kept_user_days(feed: DataFrame, messages: DataFrame, p: Params, store: str)
 
 
 def _usage_counts(
-    base: DataFrame, feed: DataFrame, messages: DataFrame, p: Params, store: str | None
+    base: DataFrame,
+    feed: DataFrame,
+    messages: DataFrame,
+    p: Params,
+    store: str | None,
+    sources: Sources | None,
 ) -> DataFrame:
     """`services.usage_counts` of all days of the base, where past days are kept."""
 
@@ -80,7 +97,7 @@ def _usage_counts(
         own = base.where(F.col("event_date").isin(list(days)))
         return services.usage_counts(user_days.presence(own))
 
-    sources = day_sources(feed, messages) if store else None
+    sources = sources or day_sources(feed, messages) if store else None
     if sources is None:
         return services.usage_counts(user_days.presence(base))
     past = {day: source for day, source in sources.items() if day < p.as_of}
@@ -89,7 +106,12 @@ def _usage_counts(
 
 
 def run_app_report(
-    feed: DataFrame, messages: DataFrame, p: Params, target: str, store: str | None = None
+    feed: DataFrame,
+    messages: DataFrame,
+    p: Params,
+    target: str,
+    store: str | None = None,
+    sources: Sources | None = None,
 ) -> None:
     """All result sets of the whole-app report.
 
@@ -98,7 +120,7 @@ def run_app_report(
     """
     run = _Run(p, target)
     if store:
-        base = kept_user_days(feed, messages, p, store)
+        base = kept_user_days(feed, messages, p, store, sources)
     else:
         base = user_days.user_days(up_to(feed, p.as_of), up_to(messages, p.as_of))
         base = run.store("user_days", base)
@@ -122,7 +144,7 @@ def run_app_report(
     run.store("weekly_stayed_compare", cohorts.weekly_stayed_compare(*both))
     run.store("weekly_dynamics_series", cohorts.weekly_dynamics_series(*both))
 
-    counts = _usage_counts(base, feed, messages, p, store)
+    counts = _usage_counts(base, feed, messages, p, store, sources)
     usage = run.store("service_usage", services.usage_shares(counts))
     run.store("service_usage_stack", services.service_usage_stack(usage))
 
@@ -136,7 +158,12 @@ def alert_slots(
 
 
 def kept_alert_slots(
-    feed: DataFrame, messages: DataFrame, p: Params, store: str, at: datetime | None = None
+    feed: DataFrame,
+    messages: DataFrame,
+    p: Params,
+    store: str,
+    at: datetime | None = None,
+    sources: Sources | None = None,
 ) -> DataFrame:
     """`alert_slots`, where the days before the run's are kept in `store`.
 
@@ -144,11 +171,7 @@ def kept_alert_slots(
     events have changed.
     """
 
-    def make(days: Sequence[date]) -> DataFrame:
-        ranges = runs(days)
-        return anomaly.slot_metrics(on_days(feed, ranges), on_days(messages, ranges), p)
-
-    sources = day_sources(feed, messages)
+    sources = sources or day_sources(feed, messages)
     if sources is None:
         return alert_slots(feed, messages, p, at)
     today = [(p.as_of, p.as_of)]
@@ -160,8 +183,21 @@ def kept_alert_slots(
         for day, source in sources.items()
         if day in p.alert_days and day != p.as_of
     }
-    kept = KeptDays(feed.sparkSession, f"{store}/slots_{p.slot_minutes}m", own.schema)
-    return kept.rows(past, make).unionByName(own)
+    return _kept_slots(feed, messages, p, store, past).unionByName(own)
+
+
+def _kept_slots(
+    feed: DataFrame, messages: DataFrame, p: Params, store: str, sources: Sources
+) -> DataFrame:
+    """The slots of whole days, kept in `store`."""
+
+    def make(days: Sequence[date]) -> DataFrame:
+        ranges = runs(days)
+        return anomaly.slot_metrics(on_days(feed, ranges), on_days(messages, ranges), p)
+
+    schema = anomaly.slot_metrics(feed, messages, p).schema
+    kept = KeptDays(feed.sparkSession, f"{store}/slots_{p.slot_minutes}m", schema)
+    return kept.rows(sources, make)
 
 
 def _before(events: DataFrame, at: datetime | None) -> DataFrame:
@@ -177,6 +213,7 @@ def run_alerts(
     target: str,
     store: str | None = None,
     at: datetime | None = None,
+    sources: Sources | None = None,
 ) -> None:
     """Messages for the newest slot and the charts of the metrics they name.
 
@@ -189,7 +226,7 @@ def run_alerts(
         raise ValueError("the time of a run is on its day")
     run = _Run(p, target, f"/run={at:%H%M}" if at else "/run=2400")
     found = (
-        kept_alert_slots(feed, messages, p, store, at)
+        kept_alert_slots(feed, messages, p, store, at, sources)
         if store
         else alert_slots(feed, messages, p, at)
     )
@@ -202,3 +239,43 @@ def run_alerts(
     run.store(
         "alert_chart_series", chart.join(alerts.select("metric"), "metric", "left_semi")
     )
+
+
+def run_late_corrections(
+    feed: DataFrame,
+    messages: DataFrame,
+    p: Params,
+    history: str,
+    alerts: str,
+    store: str,
+    sources: Sources | None = None,
+) -> list[date]:
+    """Take rows that came too late for the alert stream into its slots and alerts.
+
+    Of the days up to the run's, those are made again whose events are not the ones
+    they were last compared with; the newest day of the history, whose slots are
+    still closing, always is. Afterwards the stored slots and alerts are those of
+    all events. Returns the days with changes. To be run between two micro-batches.
+    """
+    spark = feed.sparkSession
+    newest = stream_alerts.stored_slots(spark, history).agg(F.max("event_date")).first()[0]
+    if newest is None:
+        return []
+    sources = sources or day_sources(feed, messages)
+    if sources is None:
+        raise ValueError("corrections need event tables by day")
+    past = {day: source for day, source in sources.items() if day < newest and day <= p.as_of}
+    compared = KeptDays(spark, f"{store}/compared_slots_{p.slot_minutes}m", COMPARED)
+    todo = {day: past[day] for day in compared.missing(past)}
+    found = _kept_slots(feed, messages, p, store, todo)
+    days = list(todo)
+    if newest in sources and newest <= p.as_of:
+        own = [(newest, newest)]
+        found = found.unionByName(
+            anomaly.slot_metrics(on_days(feed, own), on_days(messages, own), p)
+        )
+        days.append(newest)
+    changed = stream_alerts.correct_slots(found, days, history, alerts, p)
+    if todo:
+        compared.keep(todo, spark.createDataFrame([], COMPARED))
+    return changed

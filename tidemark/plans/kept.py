@@ -3,7 +3,9 @@
 Kept rows of a day are used only if they were made from exactly the files that
 the day's events now consist of. A day that was never kept, was missed, got
 late rows or was loaded anew is therefore made again, and a run for an earlier
-day finds whole days and takes none away.
+day finds whole days and takes none away. What a day consists of is told by its
+table's loads (`sources.loads`); only for tables without them it is read off the
+list of their files.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ Sources = dict[date, str]
 def day_sources(*events: DataFrame) -> Sources | None:
     """What each day's events consist of, as a digest of their files' names.
 
-    None if a table is not laid out by day; nothing can be kept then. Files of
+    For tables without loads. None if a table is not laid out by day; nothing can be kept then. Files of
     event tables are written once and never changed, so their names tell.
     """
     files = defaultdict(list)
@@ -64,28 +66,33 @@ class KeptDays:
     def _stored(self) -> DataFrame | None:
         try:
             return self._spark.read.schema(self._schema).parquet(self._path)
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
-    def rows(self, sources: Sources, make: Callable[[Sequence[date]], DataFrame]) -> DataFrame:
-        """The rows of all days in `sources`; `make` gives those of the days not kept."""
+    def missing(self, sources: Sources) -> list[date]:
+        """The days that are not kept as they now are."""
         stored = self._stored()
-        wanted = list(sources.values())
         made = set()
-        if stored is not None and wanted:
-            marks = stored.where("kept_mark").where(F.col("kept_from").isin(wanted))
+        if stored is not None and sources:
+            marks = stored.where("kept_mark").where(F.col("kept_from").isin(list(sources.values())))
             made = {row["kept_from"] for row in marks.select("kept_from").collect()}
-        missing = sorted(day for day, source in sources.items() if source not in made)
+        return sorted(day for day, source in sources.items() if source not in made)
+
+    def rows(self, sources: Sources, make: Callable[[Sequence[date]], DataFrame]) -> DataFrame:
+        """The rows of all days in `sources`; `make` gives those of the days not kept."""
+        missing = self.missing(sources)
         if missing:
-            self._add({day: sources[day] for day in missing}, make(missing))
-            stored = self._stored()
+            self.keep({day: sources[day] for day in missing}, make(missing))
+        stored = self._stored()
         if stored is None:
             return self._spark.createDataFrame([], self._schema).select(*self._names)
-        return (
-            stored.where(F.col("kept_from").isin(wanted)).where("not kept_mark").select(*self._names)
-        )
+        kept = F.col("kept_from").isin(list(sources.values()))
+        return stored.where(kept).where("not kept_mark").select(*self._names)
 
-    def _add(self, sources: Sources, rows: DataFrame) -> None:
+    def keep(self, sources: Sources, rows: DataFrame) -> None:
+        """Keep the rows as those of the days."""
         days = self._spark.createDataFrame(
             list(sources.items()), "event_date date, kept_from string"
         )

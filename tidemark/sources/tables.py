@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.loads import add_load, loaded_events
+
 _WHO = [
     T.StructField("gender", T.IntegerType()),
     T.StructField("age", T.IntegerType()),
@@ -50,15 +55,23 @@ def read_events(
     schema: T.StructType,
     path: str | None = None,
     fmt: str = "parquet",
+    days: Collection[date] | None = None,
     **options: str,
 ) -> DataFrame:
     """Read one of the event tables from any batch format Spark knows.
 
+    Of a table that `append_events` or `write_events` wrote, the loads that count
+    are read; with `days`, only the folders of those days are listed.
+
     Files without column types of their own (csv, json) are read straight into
     ``schema``. For ``fmt='jdbc'`` pass ``partitionColumn``, ``lowerBound``,
     ``upperBound`` and ``numPartitions``, so that the warehouse is read by many
     tasks and not by one.
     """
+    if fmt == "parquet" and path:
+        events = loaded_events(spark, path, schema, days)
+        if events is not None:
+            return conform(events, schema)
     reader = spark.read.format(fmt).options(**options)
     if fmt in ("csv", "json"):
         reader = reader.schema(schema)
@@ -87,24 +100,18 @@ def append_events(events: DataFrame, schema: T.StructType, path: str) -> None:
     For loads that bring each event once; a load that is repeated as a whole
     belongs to `write_events`.
     """
-    _by_day(events, schema).write.mode("append").partitionBy("event_date").parquet(path)
+    add_load(_by_day(events, schema), path, replaces=False)
 
 
 def write_events(events: DataFrame, schema: T.StructType, path: str) -> None:
     """Store whole days of events, replacing the days they cover.
 
     Days that the load covers only in part lose the rest: see `append_events`.
-    A job for one day then reads one day. ``rebalance`` gathers a day's events
+    Earlier loads of its days stay until someone deletes them and are not read. A job for one day then reads one day. ``rebalance`` gathers a day's events
     into files of the advisory size: it merges the pieces of a small day and
     splits a large one over many tasks.
     """
-    (
-        _by_day(events, schema)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    add_load(_by_day(events, schema), path, replaces=True)
 
 
 def _by_day(events: DataFrame, schema: T.StructType) -> DataFrame:

@@ -15,15 +15,19 @@ are one class; the rest of the work is on one row per class:
    look is at the ends of all candidates, in trees over longer signatures, and
    takes in whole windows, but only neighbours that are still apart. With what
    the first look left untried, these are confirmed: first the best candidate
-   between any two components, then all that remain. Every
-   candidate is confirmed, refuted, or has ends that confirmed links join.
+   between any two components, then all that remain.
 4. Where four shared values leave more than a window of others, the class is
-   full. Full classes are joined by their rarest shingles (`sharing`), which is
-   exact for any order of shingles: first with the class of most links of each
-   component, which leaves few pairs, then with all that are still apart.
-5. Components of the confirmed links.
-
-A pair at a similarity of exactly 0.8 shares the first four values of an order
+   full, and more depth in the signatures would not part its neighbours. Pairs of
+   two full classes are left to the order of their shingles: from the rarest
+   on, two sets of that similarity share one of the first fifth (`firsts`), and how
+   far down it lies in either bounds what they can share (`sharing`). Counts are
+   exact and over all full classes, so what no other class has, which in a region
+   of variants is most of it, costs nothing. First come the pairs with the class
+   of most links of each component, which leaves few, then all that are still apart.
+5. Components of the confirmed links; every turn only adds links between components.
+
+Every candidate is confirmed, refuted, or has ends that confirmed links join. A
+pair at a similarity of exactly 0.8 shares the first four values of an order
 with probability 0.41, so the chance that no tree brings it together is about
 3e-6, and else it is in the window or both ends are full.
 """
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
@@ -54,10 +58,6 @@ SIMILAR = 80  # percent
 # four and a half standard deviations below what is expected at that similarity.
 FIRST_VALUES, FIRST_AGREEING = 96, 59
 SECOND_VALUES, SECOND_AGREEING = VALUES, 176
-# The values that go with a shingle, by the same measure.
-SHORT_VALUES, SHORT_AGREEING = 32, 15
-# Shingles are ordered by their count in about so many classes; so many counts are kept.
-COUNTED_CLASSES, COUNTED_SHINGLES = 20_000, 1 << 18
 # Classes with one shingle beyond which its pairs are made by several tasks.
 CELL_ROWS = 2048
 
@@ -152,11 +152,11 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 def candidates(classes: DataFrame, second: bool) -> DataFrame:
     """``a, b, agreeing, la, lb`` with a < b: neighbours whose signatures agree.
 
-    `classes` has a row per class, with ``node``, ``signature`` and ``label``; la and
-    lb are the labels, the smaller one first. In the `second` look, these are the
-    neighbours within the window that have different labels; in the first, the
-    nearest neighbours, and (x, x) for each end x of a candidate further off.
-    Both have (x, x) with agreeing = 1 for each full class x.
+    `classes` has a row per class, with ``node``, ``signature``, ``label`` and ``full``;
+    la and lb are the labels, the smaller one first. In the `second` look, these are
+    the neighbours within the window that have different labels and are not both
+    known as full; in the first, the nearest neighbours, and (x, x) for each end x
+    of a candidate further off. Both have (x, x) with agreeing = 1 for each full class x.
     The rows of a tree are dealt by ranges that include the node, so that a
     region of any density spreads over tasks; the border between two tasks
     hides a pair in one tree only.
@@ -181,14 +181,16 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
                         ),
                         batch.column("node"),
                         batch.column("label"),
+                        batch.column("full"),
                     ],
-                    ["tree", "ordered", "node", "label"],
+                    ["tree", "ordered", "node", "label", "full"],
                 )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = np.empty(0, np.int32)
         table = np.empty((0, values), np.uint8)
         nodes, labels = np.empty(0, np.int64), np.empty(0, np.int64)
+        dense = np.empty(0, bool)
         for batch in batches:
             new = len(nodes)
             ordered = np.frombuffer(b"".join(batch.column("ordered").to_pylist()), np.uint8)
@@ -196,6 +198,8 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
             table = np.concatenate([table, ordered.reshape(-1, values)])
             nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
             labels = np.concatenate([labels, batch.column("label").to_numpy()])
+            flags = batch.column("full").to_numpy(zero_copy_only=False).astype(bool)
+            dense = np.concatenate([dense, flags])
             far = []
             for step in range(1, min(WINDOW, len(nodes) - 1) + 1):
                 first, after = table[:-step], table[step:]
@@ -204,6 +208,7 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
                 ).all(axis=1)
                 if second:
                     near &= labels[:-step] != labels[step:]
+                    near &= ~(dense[:-step] & dense[step:])
                 near[: max(0, new - step)] = False
                 at = np.flatnonzero(near)
                 agreeing = (first[at] == after[at]).sum(axis=1)
@@ -223,11 +228,11 @@ def candidates(classes: DataFrame, second: bool) -> DataFrame:
                 ends = np.unique(np.concatenate([nodes[:-over][full], nodes[over:][full]]))
                 yield _pairs(ends, ends, np.ones(len(ends)), ends, ends)
             trees, table = trees[-over:], table[-over:]
-            nodes, labels = nodes[-over:], labels[-over:]
+            nodes, labels, dense = nodes[-over:], labels[-over:], dense[-over:]
 
     return (
-        classes.select("node", "signature", "label")
-        .mapInArrow(plant, "tree int, ordered binary, node long, label long")
+        classes.select("node", "signature", "label", "full")
+        .mapInArrow(plant, "tree int, ordered binary, node long, label long, full boolean")
         .repartitionByRange("tree", "ordered", "node")
         .sortWithinPartitions("tree", "ordered", "node")
         .mapInArrow(look, "a long, b long, agreeing int, la long, lb long")
@@ -273,83 +278,57 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     )
 
 
-def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that some of the classes share, sorted, and their counts: at most
-    `COUNTED_SHINGLES` of them. They only decide how many pairs `sharing` has to look at.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = ShingleSets(words)
-        for batch in small_batches(batches):
-            sets = [shingles(text) for text in batch.column("text").to_pylist()]
-            if sets:
-                some, counts = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some.view(np.int64)), pa.array(counts)], ["shingle", "n"]
-                )
-
-    every = max(1, texts.count() // COUNTED_CLASSES)
-    found = (
-        texts.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0)
-        .select("text")
-        .mapInArrow(count, "shingle long, n long")
-        .groupBy("shingle")
-        .agg(F.sum("n").alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "shingle")
-        .limit(COUNTED_SHINGLES)
-        .toArrow()
-    )
-    shingles = found.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], found.column("n").to_numpy()[order]
-
+def firsts(texts: DataFrame, words: int) -> DataFrame:
+    """``shingle, node, size, place``: of every set the rarest shingles that others share.
 
-def rarest(texts: DataFrame, words: int) -> DataFrame:
-    """``shingle, node``: the rarest shingles of every set, if another set has them, too.
-
-    Of two sets of similarity 0.8, each holds all but a fifth of the union, so
-    in any common order of shingles the first fifth of the one meets that of
+    Shingles go by the number of the given sets that have them, then by their
+    value; ``place`` counts from 0. Of two sets of similarity 0.8, each holds all but
+    a fifth of the union, so in this order the first fifth of the one meets that of
     the other. `texts` has ``node`` and ``text``.
     """
-    known, counts = frequent_shingles(texts, words)
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = ShingleSets(words)
-        for batch in small_batches(batches):
-            kept = [np.empty(0, np.uint64)]
-            for text in batch.column("text").to_pylist():
-                found = shingles(text)
-                rarity = np.zeros(len(found), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    rarity = np.where(known[at] == found, counts[at], 0)
-                shared = -(-SIMILAR * len(found) // 100)
-                kept.append(found[np.lexsort((found, rarity))[: len(found) - shared + 1]])
-            many = [len(k) for k in kept[1:]]
+        for batch in small_batches(batches, 32):
+            sets = [shingles(text) for text in batch.column("text").to_pylist()]
+            many = [len(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(kept).view(np.int64)),
+                    pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)),
                     pa.array(np.repeat(batch.column("node").to_numpy(), many)),
+                    pa.array(np.repeat(np.array(many, np.int64), many)),
                 ],
-                ["shingle", "node"],
+                ["shingle", "node", "size"],
             )
 
     rows = stored(
-        texts.select("node", "text").mapInArrow(first, "shingle long, node long"), "rarest"
+        texts.select("node", "text").mapInArrow(every, "shingle long, node long, size long"),
+        "full-shingles",
+    )
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    own = Window.partitionBy("node")
+    # What no other set has comes before all that is shared.
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(
+        own.orderBy("n", "shingle")
+    ) - 1
+    shared = F.ceil(F.col("size") * SIMILAR / 100)
+    return (
+        rows.join(counts, "shingle")
+        .withColumn("place", place)
+        .where(F.col("place") <= F.col("size") - shared)
+        .select("shingle", "node", "size", "place")
     )
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    return rows.join(shared, "shingle")
 
 
-def sharing(firsts: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
+def sharing(first: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
     """``a, b`` with a < b and different labels that share one of their rarest shingles.
 
-    Of those, the pairs whose sizes and short signatures allow it and, with `hubs`,
-    only those that hold a hub. `classes` has ``node, label, hub, size, short``. The
-    classes with a shingle are dealt into parts; any two parts meet in a cell.
+    Of those, the pairs whose sizes and places allow the similarity and, with
+    `hubs`, only those that hold a hub. `first` is the result of `firsts`, `classes`
+    has ``node, label, hub``. The classes with a shingle are dealt into parts; any
+    two parts meet in a cell, and only the pairs leave it.
     """
-    rows = stored(firsts.join(classes, "node"), "shingles")
+    rows = stored(first.join(classes, "node"), "shingles")
     shared = (
         rows.groupBy("shingle")
         .agg(
@@ -366,7 +345,7 @@ def sharing(firsts: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("i", F.least("part", "other"))
         .withColumn("j", F.greatest("part", "other"))
-        .select(*keys, "part", "node", "label", "hub", "size", "short")
+        .select(*keys, "part", "node", "label", "hub", "size", "place")
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,52 +378,30 @@ def _cells(rows: pa.Table) -> np.ndarray:
 
 def _met(rows: pa.Table, hubs: bool) -> pa.RecordBatch:
     """The pairs of `sharing` in whole cells."""
-    i, j, part, node, label, hub, size = (
-        rows.column(c).to_numpy() for c in ("i", "j", "part", "node", "label", "hub", "size")
+    i, j, part, node, label, hub, size, place = (
+        rows.column(c).to_numpy()
+        for c in ("i", "j", "part", "node", "label", "hub", "size", "place")
     )
-    short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8)
-    short = short.reshape(-1, SHORT_VALUES)
     starts = _cells(rows)
     ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
     found, at, step = [np.empty((2, 0), np.int64)], np.arange(len(node)), 1
     while len(at := at[at + step < ends[at]]):
-        x, y = at, at + step
         # A cell of two parts pairs only one with the other.
-        near = (label[x] != label[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
-        near &= 100 * np.minimum(size[x], size[y]) >= SIMILAR * np.maximum(size[x], size[y])
+        x = at[label[at] != label[at + step]]
+        x = x[(part[x] != part[x + step]) | (i[x] == j[x])]
         if hubs:
-            near &= hub[x] | hub[y]
-        x, y = x[near], y[near]
-        alike = (short[x] == short[y]).sum(axis=1) >= SHORT_AGREEING
-        found.append(np.sort(np.stack([node[x[alike]], node[y[alike]]]), axis=0))
+            x = x[hub[x] | hub[x + step]]
+        y = x + step
+        # What lies from here on in both is the most that they share, if this is the
+        # first they share; where it is not, the first lets the pair through.
+        most = np.minimum(size[x] - place[x], size[y] - place[y])
+        near = most * (100 + SIMILAR) >= SIMILAR * (size[x] + size[y])
+        found.append(np.sort(np.stack([node[x[near]], node[y[near]]]), axis=0))
         step += 1
     a, b = np.unique(np.concatenate(found, axis=1), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, agreeing`` of the pairs whose whole signatures agree well enough."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES)
-                for c in ("one", "two")
-            )
-            many = (one == two).sum(axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(many)], ["a", "b", "agreeing"]
-            ).filter(pa.array(many >= SECOND_AGREEING))
-
-    signatures = classes.select("node", "signature")
-    return (
-        pairs.join(signatures.toDF("a", "one"), "a")
-        .join(signatures.toDF("b", "two"), "b")
-        .select("a", "b", "one", "two")
-        .mapInArrow(compare, "a long, b long, agreeing int")
-    )
-
-
 def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     """``node, label``: the component of every class with a confirmed link.
 
@@ -454,26 +411,35 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         rows.where("node is not null")
         .groupBy("node")
         .agg(
-            F.first("signature").alias("signature"), F.min("text_key").alias("text_key"),
-            F.first("n_shingles").alias("size"),
+            F.first("signature").alias("signature"),
+            F.min(F.struct("doc_id", "text_key")).alias("own"),
         ),
         "classes",
     )
-    nearest = stored(
-        candidates(classes.withColumn("label", F.col("node")), second=False), "nearest"
-    )
+    start = classes.withColumns({"label": F.col("node"), "full": F.lit(False)})
+    nearest = stored(candidates(start, second=False), "nearest")
     ends = nearest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    classes = stored(classes.join(ends, "node", "left_semi"), "candidate-classes")
+    full = nearest.where("a = b and agreeing = 1").select(F.col("a").alias("node"))
+    classes = stored(
+        classes.join(ends, "node", "left_semi")
+        .join(full.distinct().withColumn("full", F.lit(True)), "node", "left")
+        .withColumn("full", F.coalesce("full", F.lit(False))),
+        "candidate-classes",
+    )
+    # One document stands for its class, so that no text moves once per copy.
+    one = classes.select(
+        "node", F.col("own.doc_id").alias("own_id"), F.col("own.text_key").alias("own_key")
+    )
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("own_key"))
     texts = stored(
-        docs.select(text_key(F.col("text")).alias("text_key"), "text")
-        .join(classes.select("node", "text_key"), "text_key")
+        keyed.join(one, ["own_key"])
+        .where(F.col("doc_id").eqNullSafe(F.col("own_id")))
         .groupBy("node")
         .agg(F.first("text").alias("text")),
         "candidate-texts",
     )
-    nearest = nearest.where("a != b")
-    one = nearest.select("a", "b", "agreeing")
-    both = one.union(one.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
+    nearest = nearest.where("a != b").select("a", "b", "agreeing")
+    both = nearest.union(nearest.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
     rank = F.xxhash64("other")
     chosen = (
         both.groupBy("node")
@@ -491,54 +457,67 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     relabelled = classes.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    pairs = stored(candidates(stored(relabelled, "relabelled"), second=True), "second")
-    untried = one.withColumn(
-        "agreeing", F.expr(f"cast(agreeing * {SECOND_VALUES} / {FIRST_VALUES} as int)")
-    )
-    full = classes.join(pairs.where("a = b").select(F.col("a").alias("node")), "node", "left_semi")
-    pairs = (
-        pairs.where("a != b")
+    second = stored(candidates(stored(relabelled, "relabelled"), second=True), "second")
+    scaled = F.expr(f"cast(agreeing * {SECOND_VALUES} / {FIRST_VALUES} as int)")
+    dense = classes.where("full").select("node")
+    untried = nearest.withColumn("agreeing", scaled).join(tried, ["a", "b"], "left_anti")
+    known = untried.join(dense.toDF("a"), "a", "left_semi").join(dense.toDF("b"), "b", "left_semi")
+    untried = untried.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stored(
+        second.where("a != b")
+        .join(tried, ["a", "b"], "left_anti")
         .unionByName(_apart(untried, labels))
         .groupBy("a", "b", "la", "lb")
-        .agg(F.max("agreeing").alias("agreeing"))
+        .agg(F.max("agreeing").alias("agreeing")),
+        "apart",
     )
-
-    def settle(pairs: DataFrame, found: DataFrame, labels: DataFrame, tried: DataFrame):
-        """The links, labels and tried pairs after the best of `pairs`, then the rest."""
-        for turn in ("best", "rest"):
-            pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "apart")
-            if turn == "rest":
-                pairs = stored(_apart(pairs, labels), "apart")
-            if pairs.isEmpty():
-                break
-            new = pairs.select("a", "b")
-            if turn == "best":
-                best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
-                new = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
-            tried = tried.union(new)
-            found = found.union(stored(confirmed(new, texts, words), "links"))
-            labels = stored(components(found), "labels")
-        return found, labels, tried
-
-    found, labels, tried = settle(pairs, found, labels, tried)
+    best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
+    new = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
+    fresh = stored(confirmed(new, texts, words), "links")
+    found, labels = found.union(fresh), joined(labels, fresh)
+    rest = stored(_apart(pairs.join(new, ["a", "b"], "left_anti"), labels), "apart")
+    fresh = stored(confirmed(rest, texts, words), "links")
+    found, labels = found.union(fresh), joined(labels, fresh)
+
+    over = second.where("a = b").select(F.col("a").alias("node"))
+    full = stored(dense.union(over).distinct(), "full")
     if full.isEmpty():
         return labels
-    firsts = stored(rarest(full.join(texts, "node"), words), "shared-rarest")
-    for turn in ("hubs", "all"):
-        hubs = _hubs(found, labels).withColumn("hub", F.lit(True))
+    first = stored(firsts(texts.join(full, "node", "left_semi"), words), "firsts")
+    for hubs in (True, False):
+        hub = _hubs(found, labels).withColumn("hub", F.lit(True))
         marked = (
-            full.select("node", "size", F.substring("signature", 1, SHORT_VALUES).alias("short"))
-            .join(labels, "node", "left")
-            .join(hubs, "node", "left")
-            .withColumn("label", F.coalesce("label", "node"))
-            .withColumn("hub", F.coalesce("hub", F.lit(False)))
-        )
-        pairs = agreeing(sharing(firsts, marked, hubs=turn == "hubs"), classes)
-        pairs = stored(_apart(pairs, labels), "sharing")
-        found, labels, tried = settle(pairs, found, labels, tried)
+            full.join(labels, "node", "left")
+            .join(hub, "node", "left")
+            .select(
+                "node", F.coalesce("label", "node").alias("label"),
+                F.coalesce("hub", F.lit(False)).alias("hub"),
+            )
+        )
+        pairs = stored(sharing(first, marked, hubs), "sharing")
+        fresh = stored(confirmed(pairs, texts, words), "links")
+        found, labels = found.union(fresh), joined(labels, fresh)
     return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels once the ends of some more links are joined."""
+    if links.isEmpty():
+        return labels
+    between = _apart(links.withColumn("agreeing", F.lit(0)), labels)
+    merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    every = labels.unionByName(
+        ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    )
+    return stored(
+        every.join(merged.toDF("label", "to"), "label", "left").select(
+            "node", F.coalesce("to", "label").alias("label")
+        ),
+        "labels",
+    )
+
+
 def _hubs(links: DataFrame, labels: DataFrame) -> DataFrame:
     """``node``: of each component the class with most links."""
     ends = links.select(F.explode(F.array("a", "b")).alias("node"))

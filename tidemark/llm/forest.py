@@ -23,7 +23,8 @@ are one class; the rest of the work is on one row per class:
    far down it lies in either bounds what they can share (`sharing`). Counts are
    exact and over all full classes, so what no other class has, which in a region
    of variants is most of it, costs nothing. First come the pairs with the class
-   of most links of each component, which leaves few, then all that are still apart.
+   of most links of each component, then of any two components the likeliest pair
+   at each shingle, and last, when few are still apart, all others.
 5. Components of the confirmed links; every turn only adds links between components.
 
 Every candidate is confirmed, refuted, or has ends that confirmed links join. A
@@ -58,6 +59,8 @@ SIMILAR = 80  # percent
 # four and a half standard deviations below what is expected at that similarity.
 FIRST_VALUES, FIRST_AGREEING = 96, 59
 SECOND_VALUES, SECOND_AGREEING = VALUES, 176
+# The values that go with a shingle, to choose by, and the pairs they are compared for at once.
+SHORT_VALUES, PAIRS_AT_ONCE = 64, 1 << 16
 # Classes with one shingle beyond which its pairs are made by several tasks.
 CELL_ROWS = 2048
 
@@ -320,12 +323,13 @@ def firsts(texts: DataFrame, words: int) -> DataFrame:
     )
 
 
-def sharing(first: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
+def sharing(first: DataFrame, classes: DataFrame, turn: str) -> DataFrame:
     """``a, b`` with a < b and different labels that share one of their rarest shingles.
 
-    Of those, the pairs whose sizes and places allow the similarity and, with
-    `hubs`, only those that hold a hub. `first` is the result of `firsts`, `classes`
-    has ``node, label, hub``. The classes with a shingle are dealt into parts; any
+    Of those, the pairs whose sizes and places allow the similarity; in the turn
+    "hubs" only those that hold a hub, in the turn "one" only the one of any two labels
+    in a cell whose short signatures agree best. `first` is the result of `firsts`,
+    `classes` has ``node, label, hub, short``. The classes with a shingle are dealt into parts; any
     two parts meet in a cell, and only the pairs leave it.
     """
     rows = stored(first.join(classes, "node"), "shingles")
@@ -335,7 +339,7 @@ def sharing(first: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
             F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
             F.max("hub").alias("any"),
         )
-        .where("low < high and any" if hubs else "low < high")
+        .where("low < high and any" if turn == "hubs" else "low < high")
         .select("shingle", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("parts"))
     )
     keys = ["shingle", "i", "j"]
@@ -345,7 +349,7 @@ def sharing(first: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("i", F.least("part", "other"))
         .withColumn("j", F.greatest("part", "other"))
-        .select(*keys, "part", "node", "label", "hub", "size", "place")
+        .select(*keys, "part", "node", "label", "hub", "short", "size", "place")
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,10 +361,10 @@ def sharing(first: DataFrame, classes: DataFrame, hubs: bool) -> DataFrame:
             some = some if rest is None else pa.concat_tables([rest, some])
             last = int(_cells(some)[-1])
             if last:
-                yield _met(some.slice(0, last), hubs)
+                yield _met(some.slice(0, last), turn)
             rest = some.slice(last)
         if rest is not None:
-            yield _met(rest, hubs)
+            yield _met(rest, turn)
 
     return (
         cells.repartition(*keys)
@@ -376,29 +380,47 @@ def _cells(rows: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
 
 
-def _met(rows: pa.Table, hubs: bool) -> pa.RecordBatch:
+def _met(rows: pa.Table, turn: str) -> pa.RecordBatch:
     """The pairs of `sharing` in whole cells."""
     i, j, part, node, label, hub, size, place = (
         rows.column(c).to_numpy()
         for c in ("i", "j", "part", "node", "label", "hub", "size", "place")
     )
     starts = _cells(rows)
-    ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
+    sizes = np.diff(np.append(starts, len(node)))
+    ends = np.repeat(starts + sizes, sizes)
     found, at, step = [np.empty((2, 0), np.int64)], np.arange(len(node)), 1
     while len(at := at[at + step < ends[at]]):
         # A cell of two parts pairs only one with the other.
         x = at[label[at] != label[at + step]]
         x = x[(part[x] != part[x + step]) | (i[x] == j[x])]
-        if hubs:
+        if turn == "hubs":
             x = x[hub[x] | hub[x + step]]
         y = x + step
         # What lies from here on in both is the most that they share, if this is the
         # first they share; where it is not, the first lets the pair through.
         most = np.minimum(size[x] - place[x], size[y] - place[y])
         near = most * (100 + SIMILAR) >= SIMILAR * (size[x] + size[y])
-        found.append(np.sort(np.stack([node[x[near]], node[y[near]]]), axis=0))
+        found.append(np.stack([x[near], y[near]]))
         step += 1
-    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    x, y = np.concatenate(found, axis=1)
+    if turn == "one":
+        short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8)
+        short = short.reshape(-1, SHORT_VALUES)
+        alike = np.concatenate(
+            [np.empty(0, np.int64)]
+            + [
+                (short[x[k : k + PAIRS_AT_ONCE]] == short[y[k : k + PAIRS_AT_ONCE]]).sum(axis=1)
+                for k in range(0, len(x), PAIRS_AT_ONCE)
+            ]
+        )
+        cell = np.repeat(starts, sizes)[x]
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        order = np.lexsort((node[x], alike, high, low, cell))
+        key = np.stack([cell, low, high])[:, order]
+        last = np.append((key[:, 1:] != key[:, :-1]).any(axis=0), True)[: len(order)]
+        x, y = x[order][last], y[order][last]
+    a, b = np.unique(np.sort(np.stack([node[x], node[y]]), axis=0), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
@@ -484,17 +506,22 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     if full.isEmpty():
         return labels
     first = stored(firsts(texts.join(full, "node", "left_semi"), words), "firsts")
-    for hubs in (True, False):
+    done = None
+    for turn in ("hubs", "one", "all"):
         hub = _hubs(found, labels).withColumn("hub", F.lit(True))
         marked = (
-            full.join(labels, "node", "left")
+            full.join(classes, "node")
+            .select("node", F.substring("signature", 1, SHORT_VALUES).alias("short"))
+            .join(labels, "node", "left")
             .join(hub, "node", "left")
             .select(
                 "node", F.coalesce("label", "node").alias("label"),
-                F.coalesce("hub", F.lit(False)).alias("hub"),
+                F.coalesce("hub", F.lit(False)).alias("hub"), "short",
             )
         )
-        pairs = stored(sharing(first, marked, hubs), "sharing")
+        pairs = sharing(first, marked, turn)
+        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "sharing")
+        done = pairs if done is None else done.union(pairs)
         fresh = stored(confirmed(pairs, texts, words), "links")
         found, labels = found.union(fresh), joined(labels, fresh)
     return labels

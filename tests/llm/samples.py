@@ -45,7 +45,15 @@ def odd_rows() -> list[tuple]:
     ]
 
 
-EXTRA = ["ids", "length", "node", "leaf", "key", "piece", "host", "lines", "epoch", "quality"]
+# What operators and stages call their own columns.
+EXTRA = [
+    "ids", "length", "node", "leaf", "key", "piece", "host", "lines", "epoch", "quality",
+    "_host", "_text_key", "_removed", "_id", "_key", "_words", "_domain", "_leaf", "_epochs", "_last",
+    "_times", "_epoch", "_group", "group", "text_key", "removed", "own_id", "own_key", "domain",
+    "words", "epochs", "last", "times", "label", "signature", "score", "x", "part", "place",
+    "sequence_id", "offset", "start", "hash", "shard", "page", "n_words", "kept", "n", "tree",
+    "terms", "lead", "word", "decoded", "load",
+]
 
 
 def with_extra(docs):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import random
-from collections import defaultdict
-from hashlib import sha256
+from collections import Counter, defaultdict
+from hashlib import blake2b, sha256
+from zlib import crc32
 
 import pytest
 import xxhash
@@ -103,6 +104,90 @@ def test_equal_texts_and_edits_of_a_merkle_tree():
     assert [p.number for p in new] == [3]
 
 
+def plain_print(text: str) -> str:
+    """The fingerprint from its description, level by level."""
+    def named(data, size):
+        return blake2b(data, digest_size=size).digest()
+
+    lines = text.encode().split(b"\n")
+    own = [named(line, 8) for line in lines]
+    ends = [i for i, line in enumerate(lines) if not line.split() or own[i][0] % 8 == 0]
+    if not ends or ends[-1] != len(lines) - 1:
+        ends.append(len(lines) - 1)
+    starts = [0, *(end + 1 for end in ends[:-1])]
+    sections, shown = [], []
+    for start, end in zip(starts, ends, strict=True):
+        sections.append(named(b"".join(own[start : end + 1]), 8))
+        paragraphs = []
+        for i in range(start, end + 1):
+            words = lines[i].split()
+            runs = [b" ".join(words[k : k + 4]) for k in range(0, len(words), 4)]
+            leaves = "".join(f"{crc32(run) % 2**24:06x}" for run in runs)
+            paragraphs.append(f"{own[i].hex()}.{len(words)}.{leaves}")
+        shown.append(f"{sections[-1].hex()}:{','.join(paragraphs)}")
+    return ";".join([named(b"".join(sections), 16).hex(), *shown])
+
+
+def plain_likeness(one: str, two: str) -> float:
+    """Shares of equal sections, then of equal lines, then of equal runs of words."""
+    def parts(text):
+        lines = text.split("\n")
+        sections, current = [], []
+        for line in lines:
+            current.append(line)
+            own = blake2b(line.encode(), digest_size=8).digest()
+            if not line.split() or own[0] % 8 == 0:
+                sections.append(tuple(current))
+                current = []
+        return sections + ([tuple(current)] if current else [])
+
+    if one == two:
+        return 1.0
+    total = len(one.split()) + len(two.split())
+    if not total:
+        return 0.0
+    first, second = Counter(parts(one)), Counter(parts(two))
+    lines = [Counter(line for s in (x - y).elements() for line in s)
+             for x, y in ((first, second), (second, first))]
+    shared = sum(n * sum(len(line.split()) for line in s) for s, n in (first & second).items())
+    shared += sum(n * len(line.split()) for line, n in (lines[0] & lines[1]).items())
+    runs = []
+    for x, y in ((lines[0], lines[1]), (lines[1], lines[0])):
+        words = [line.split() for line in (x - y).elements()]
+        runs.append(Counter(tuple(w[k : k + 4]) for w in words for k in range(0, len(w), 4)))
+    shared += sum(n * len(run) for run, n in (runs[0] & runs[1]).items())
+    return min(2 * shared / total, 1 - 1e-9)
+
+
+def test_fingerprint_and_likeness_by_their_description():
+    rng = random.Random(8)
+    texts = ["", "a", "\n\n", "a b\n\nc", prose(1, 300), prose(2, 40), "x y z " * 30]
+    for _ in range(60):
+        lines = rng.choice(texts).split("\n")
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(lines) + 1)
+            lines[at : at + rng.randint(0, 2)] = [prose(rng.randrange(99), rng.randint(1, 12))]
+        texts.append("\n".join(lines))
+    for text in texts:
+        assert merkle.fingerprint(text) == plain_print(text)
+        other = rng.choice(texts)
+        got = merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(other))
+        assert got == pytest.approx(plain_likeness(text, other), abs=1e-12)
+
+
+def test_four_thousand_copies_of_pairs_of_words(spark):
+    rng = random.Random(16)
+    original = prose(77, 260)
+    texts = [original, *edited_copies(rng, original, 4000, 14)]
+    sets = [shingle_set(t, 2) for t in texts]
+    alike = [len(sets[0] & s) / len(sets[0] | s) for s in sets[1:]]
+    linked = {0, *(i for i, j in enumerate(alike, 1) if j >= 0.8)}
+    assert len(linked) > 3000
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    found = forest.near_duplicates(documents(spark, rows), 2).collect()
+    assert {r.doc_id for r in found if r.component_id == 0} >= linked
+
+
 @pytest.mark.parametrize("range_rows", [1, 7, 1000])
 @pytest.mark.parametrize("nulls", [0, 3])
 def test_fingerprints_against_the_plain_rule(spark, range_rows, nulls):

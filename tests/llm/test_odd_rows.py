@@ -5,14 +5,14 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
-from tests.llm.samples import documents, folder, odd_rows, prose, row, with_extra
+from tests.llm.samples import EXTRA, documents, folder, odd_rows, prose, row, with_extra
 from tidemark.llm import queries
 
-DOCUMENT_QUERIES = [name for name in queries.QUERIES if not name.startswith("op10_")]
+DOCUMENT_QUERIES = [n for n in queries.QUERIES if not n.startswith(("op10_", "op12_"))]
 PER_ROW = [
     "op2_line_frequency_rules", "op3_backoff_automaton", "op4_lsh_forest",
     "op6_quadratic_discriminant", "op7_extendible_hashing", "op8_seekable_token_files",
-    "op9_merkle_fingerprints",
+    "op9_merkle_fingerprints", "op11_prefix_byte_pairs",
 ]
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -69,6 +69,8 @@ def test_stages_take_odd_rows(spark, tables, kind, stage):
     if stage < len(corpus_pipeline.STAGES) - 1:
         assert result.columns == docs.columns
         assert len(found) <= given
+        if kind == "extra":
+            assert all(r[name] == name for r in found for name in EXTRA)
     if kind == "empty":
         assert not found
 

@@ -29,7 +29,9 @@ frequent AS (
     SELECT host, line FROM norm
     JOIN (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host) USING (host)
     GROUP BY host, line, texts
-    HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) * 100 > texts * 10),
+    HAVING count(DISTINCT t) > 10 AND (count(DISTINCT t) * 100 > texts * 10
+                                       OR count(DISTINCT t) > 30
+                                          AND len(string_split(line, ' ')) >= 8)),
 gone AS (
     SELECT rid, sum(n) AS removed_words FROM norm JOIN frequent USING (host, line) GROUP BY rid),
 c AS (

@@ -1,11 +1,14 @@
 """Quality rules: counts over a text, and lines that recur across a host's documents.
 
 Lines are normalised (A-Z in lower case, words joined by one space) and hashed
-to 64 bits. A line is boilerplate if more than `min_documents` distinct texts of
-its host hold it, and more than `max_share` percent of them. Boilerplate lines
-are removed; a document that keeps less than `min_kept` percent of its words is
-depleted and rejected. Exact copies count as one text, so that copying a page
-does not make its lines boilerplate.
+to 64 bits. A line is boilerplate if more than `min_documents` documents of its host
+hold it, and either more than `max_share` percent of them or, for a line of at least
+`long_words` words, more than `max_documents`: a sentence that so many pages of a host
+repeat is boilerplate however large the host. Boilerplate lines are removed; a
+document that keeps less than `min_kept` percent of its words is depleted and rejected.
+Exact copies count as one document: to count each would remove all lines of a text
+with many copies and reject every copy, where removing copies is another stage's
+work, which keeps one of them.
 
 Everything is keyed by (host, digest of the text), as nothing else decides.
 A null host is a host of its own; a null text has no words and no lines, and
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import kind_of, small_batches, stored
+from tidemark.llm.shared import kind_of, small_batches, stored, unused
 from tidemark.llm.tokens import words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -38,6 +41,8 @@ class LineRules:
     max_repeat_words: int = 50
     min_documents: int = 10
     max_share: int = 10
+    long_words: int = 8
+    max_documents: int = 30
     min_kept: int = 50
 
 
@@ -55,14 +60,14 @@ def repeat_words(words: list[bytes]) -> int:
     return total
 
 
-def line_words(text: str) -> dict[int, int]:
-    """Hash of each normalised line with a word, and the words of all its occurrences."""
-    found: dict[int, int] = {}
+def line_words(text: str) -> dict[int, tuple[int, int]]:
+    """Hash of each normalised line with a word, its words and those of all its occurrences."""
+    found: dict[int, tuple[int, int]] = {}
     for line in text.encode().lower().split(b"\n"):
         words = line.split()
         if words:
             key = line_hash(words)
-            found[key] = found.get(key, 0) + len(words)
+            found[key] = len(words), found.get(key, (0, 0))[1] + len(words)
     return found
 
 
@@ -94,10 +99,11 @@ def text_key(text: Column) -> Column:
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+LINES = ["lines", "line_words", "all_words"]
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """Per document its counts, and its lines as ``lines`` and ``line_words``."""
+    """Per document its counts, and its lines as ``lines, line_words, all_words``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -109,9 +115,12 @@ def document_lines(docs: DataFrame) -> DataFrame:
                     *batch.columns[:3],
                     *(pa.array(c, pa.int64()) for c in counts),
                     pa.array([list(x) for x in lines], pa.list_(pa.int64())),
-                    pa.array([list(x.values()) for x in lines], pa.list_(pa.int32())),
+                    *(
+                        pa.array([[n[k] for n in x.values()] for x in lines], pa.list_(pa.int32()))
+                        for k in (0, 1)
+                    ),
                 ],
-                ["doc_id", "host", "text_key", *COUNTS, "lines", "line_words"],
+                ["doc_id", "host", "text_key", *COUNTS, *LINES],
             )
 
     keyed = docs.select(
@@ -122,29 +131,31 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(
         count,
         f"doc_id {kind_of(docs, 'doc_id')}, host string, text_key binary, {counts}, "
-        "lines array<long>, line_words array<int>",
+        "lines array<long>, line_words array<int>, all_words array<int>",
     )
 
 
 def boilerplate(documents: DataFrame, rules: LineRules) -> DataFrame:
     """``host, text_key, removed`` (hashes) and ``removed_words`` of texts with such lines."""
     lines = documents.select(
-        "host", "text_key", F.explode(F.arrays_zip("lines", "line_words")).alias("_line")
-    ).select("host", "text_key", F.col("_line.lines").alias("line"), "_line.line_words")
+        "host", "text_key", F.explode(F.arrays_zip(*LINES)).alias("_line")
+    ).select("host", "text_key", F.col("_line.lines").alias("line"), "_line.line_words", "_line.all_words")
     lines = lines.distinct()
     texts = documents.groupBy("host").agg(F.count_distinct("text_key").alias("texts"))
+    often = F.col("found") * 100 > F.col("texts") * rules.max_share
+    long = (F.col("words") >= rules.long_words) & (F.col("found") > rules.max_documents)
     frequent = (
         lines.groupBy("host", "line")
-        .agg(F.count("*").alias("found"))
+        .agg(F.count("*").alias("found"), F.max("line_words").alias("words"))
         .where(F.col("found") > rules.min_documents)
         .join(texts, "host")
-        .where(F.col("found") * 100 > F.col("texts") * rules.max_share)
+        .where(often | long)
         .select("host", "line")
     )
     return (
         lines.join(frequent, ["host", "line"])
         .groupBy("host", "text_key")
-        .agg(F.collect_list("line").alias("removed"), F.sum("line_words").alias("removed_words"))
+        .agg(F.collect_list("line").alias("removed"), F.sum("all_words").alias("removed_words"))
     )
 
 
@@ -163,7 +174,7 @@ def with_verdict(frame: DataFrame, rules: LineRules) -> DataFrame:
 def judge(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """Per document: ``doc_id``, the counts, ``removed_words``, ``base_failed``, ``kept``."""
     documents = stored(document_lines(docs), "document-lines")
-    judged = documents.drop("lines", "line_words").join(
+    judged = documents.drop(*LINES).join(
         boilerplate(documents, rules).drop("removed"), ["host", "text_key"], "left"
     )
     return with_verdict(judged, rules).select(
@@ -184,14 +195,14 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         )
         .where("kept")
         .groupBy("host", "text_key")
-        .agg(F.first("removed").alias("_removed"))
+        .agg(F.first("removed").alias("removed"))
     )
     names = docs.columns
-    keyed = docs.withColumn("_host", host_key(F.col("source"))).withColumn(
-        "_text_key", text_key(F.col("text"))
+    host, key, removed = unused(names, "host", "text_key", "removed")
+    keyed = docs.withColumns(
+        {host: host_key(F.col("source")), key: text_key(F.col("text"))}
     )
-    verdict = verdict.withColumnsRenamed({"host": "_host", "text_key": "_text_key"})
-    kept = keyed.join(verdict, ["_host", "_text_key"]).select(*names, "_removed")
+    kept = keyed.join(verdict.toDF(host, key, removed), [host, key]).select(*names, removed)
     text, size = names.index("text"), names.index("n_chars") if "n_chars" in names else None
     schema = ", ".join(f"`{n}` {kind_of(docs, n)}" for n in names)
 

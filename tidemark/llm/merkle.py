@@ -174,20 +174,26 @@ def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     texts are empty; null ids come last, rows with equal ids in the order of
     their texts. A single document is its own successor, no document gives no row.
 
-    The ids alone are first cut into ranges of about `range_rows`. Each task
-    then reads whole ranges in order and holds two documents at a time. The
-    document after a range is the first of the next one, so documents with a
-    range's first id also go to the end of the range before.
+    The ids alone are first cut into ranges of about `range_rows`; of each, the first
+    id goes to all tasks, 8 bytes for so many documents. A task then reads one range in
+    order and holds two documents at a time. The document after a range is the first
+    of the next one, so documents with a range's first id also go to the end of the
+    range before.
     """
     kind = kind_of(docs, "doc_id")
     firsts = _first_ids(docs, range_rows)
     known = np.array([i for i in firsts if i is not None], np.int64)[::-1]
 
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
+    # The range of an id, and 1 more if it is the range's first: twice the one plus the other.
+    @F.pandas_udf("long")
+    def placed(ids: pd.Series) -> pd.Series:
         found = ids.fillna(np.iinfo(np.int64).min).to_numpy()
+        if not len(known):
+            return pd.Series(np.ones(len(found), np.int64))
         at = len(known) - 1 - np.searchsorted(known, found, side="left")
-        return pd.Series(np.clip(at, 0, max(len(firsts) - 1, 0)).astype(np.int32))
+        at = np.clip(at, 0, len(known) - 1)
+        first = (known[::-1][at] == found) & ids.notna().to_numpy()
+        return pd.Series(2 * at + first)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -209,18 +215,19 @@ def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
                 ["doc_id", *(n for n, _ in OUTPUT)],
             )
 
-    part = range_of("_id")
     # Nulls, whatever their type, are after all ids.
-    ids = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("_id"))
-    first = F.col("_id").isNull() if None in firsts else F.col("_id").isin(firsts)
-    before = F.pmod(F.col("part") + F.lit(len(firsts) - 1), F.lit(max(len(firsts), 1)))
-    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("is_next"))
-    copy = F.struct(before.alias("part"), F.lit(True).alias("is_next"))
+    ids = docs.select("doc_id", "text", placed(F.col("doc_id").cast("long")).alias("place"))
+    ranges = max(len(firsts), 1)
+    part = F.shiftright("place", 1).cast("int")
+    own = F.struct(part.alias("part"), F.lit(False).alias("is_next"))
+    copy = F.struct(
+        F.pmod(part + F.lit(ranges - 1), F.lit(ranges)).alias("part"), F.lit(True).alias("is_next")
+    )
+    places = F.when(F.col("place") % 2 == 1, F.array(own, copy)).otherwise(F.array(own))
     return (
-        ids.withColumn("part", part)
-        .withColumn("place", F.explode(F.when(first, F.array(own, copy)).otherwise(F.array(own))))
+        ids.select(F.explode(places).alias("place"), "doc_id", "text")
         .select("place.part", "place.is_next", "doc_id", "text")
-        .repartitionByRange("part")
+        .repartitionById(ranges, "part")
         .sortWithinPartitions("part", "is_next", F.desc_nulls_last("doc_id"), F.asc("text"))
         .mapInArrow(read, f"doc_id {kind}, {OUTPUT_SQL}")
     )

@@ -22,7 +22,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY_DIGITS = 15
@@ -167,11 +167,12 @@ def mixed(
     seed: int = 0,
     tokens: str = "n_tokens",
     epoch: str = "epoch",
+    share: int | None = None,
 ) -> DataFrame:
     """The documents with `epoch`: a row for every epoch that takes the document.
 
     `docs` needs ``doc_id``, the column `tokens` and those of `path`; all columns
-    are kept, but for one named `epoch`, which is replaced. `total` is the budget in tokens, by default what the documents hold.
+    are kept, but for one named `epoch`, which is replaced. `total` is the budget in tokens, by default `share` percent of what the documents hold, or all of it.
     Rows with equal ids have equal keys and are taken together; null ids have the
     key of an empty name. A leaf without tokens is never taken. No rows give none.
     """
@@ -183,17 +184,17 @@ def mixed(
     )
     leaves = stored(sized.groupBy(*path).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     if total is None:
-        total = leaves.agg(F.sum("tokens")).first()[0] or 0
+        total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * (100 if share is None else share) // 100
     limit = stored(
         limits(sized, path, seed, budgets(leaves, path, weights, total, max_epochs)), "limits"
     )
-    key = order_key(seed, F.col("_epochs"), F.col("doc_id"))
-    times = F.col("_epochs") + F.when(key <= F.col("_last"), 1).otherwise(0)
+    leaf, epochs, last, times = unused(docs.columns, "leaf", "epochs", "last", "times")
+    key = order_key(seed, F.col(epochs), F.col("doc_id"))
     return (
-        docs.withColumn("_leaf", path_of(path))
-        .join(limit.toDF("_leaf", "_epochs", "_last"), "_leaf")
-        .withColumn("_times", times)
-        .where("_times > 0")
-        .withColumn(epoch, F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+        docs.withColumn(leaf, path_of(path))
+        .join(limit.toDF(leaf, epochs, last), leaf)
+        .withColumn(times, F.col(epochs) + F.when(key <= F.col(last), 1).otherwise(0))
+        .where(F.col(times) > 0)
+        .withColumn(epoch, F.explode(F.sequence(F.lit(0), F.col(times) - 1)))
         .select(*(n for n in docs.columns if n != epoch), epoch)
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import kind_of, small_batches
+from tidemark.llm.shared import kind_of, small_batches, unused
 from tidemark.llm.tokens import ID_BYTES, ID_TYPE, packed, word_encoder
 
 GROUP_ROWS = 16_384
@@ -108,7 +108,8 @@ def place(pieces: DataFrame, capacity: int, groups: int) -> DataFrame:
     sequence are gapless from 0. No rows give no rows.
     """
     names = pieces.columns
-    keyed = pieces.withColumn("_group", F.pmod(F.xxhash64(*names), F.lit(groups)))
+    (number,) = unused(names, "group")
+    keyed = pieces.withColumn(number, F.pmod(F.xxhash64(*names), F.lit(groups)))
     kept = ", ".join(f"`{n}` {kind_of(pieces, n)}" for n in names)
 
     def fill(key: tuple, group: pa.Table) -> pa.Table:
@@ -119,7 +120,7 @@ def place(pieces: DataFrame, capacity: int, groups: int) -> DataFrame:
         group = group.append_column("sequence_id", numbers)
         return group.append_column("offset", pa.array(offsets))
 
-    return keyed.groupBy("_group").applyInArrow(
+    return keyed.groupBy(number).applyInArrow(
         fill, f"{kept}, sequence_id long, offset long"
     )
 

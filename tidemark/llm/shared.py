@@ -39,3 +39,15 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterato
     for batch in batches:
         for at in range(0, max(batch.num_rows, 1), rows):
             yield batch.slice(at, rows)
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until no column is called so."""
+    taken = {column.lower() for column in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found

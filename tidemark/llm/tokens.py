@@ -46,7 +46,7 @@ class WordEncoder:
     others pass through its normalizer and pre-tokenizer.
     """
 
-    def __init__(self, path: str, room: int = 96 << 20) -> None:
+    def __init__(self, path: str, room: int = 128 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

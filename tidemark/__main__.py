@@ -19,7 +19,7 @@ from tidemark.streaming.slots import stream_slot_metrics
 
 JOBS = [
     "slices", "feed-report", "app-report", "alerts", "backtest", "alert-stream",
-    "alert-corrections",
+    "alert-corrections", "backtest-grid",
 ]
 
 
@@ -37,6 +37,12 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument(
         "--neighbours", type=int, default=3, help="slots to either side of the clock time"
     )
+    parser.add_argument(
+        "--factors", type=float, nargs="+", default=[1.5, 2.0, 3.0], help="of a backtest-grid"
+    )
+    parser.add_argument(
+        "--widths", type=int, nargs="+", default=[1, 3, 6], help="of a backtest-grid"
+    )
     parser.add_argument(
         "--every", help="trigger of a stream, as '15 minutes'; without it, what is there"
     )
@@ -83,6 +89,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "backtest":
         flags = anomaly.anomaly_backtest(anomaly.slot_metrics(feed, messages, p), p)
         flags.write.mode("overwrite").parquet(f"{args.target}/anomaly_backtest")
+    elif args.job == "backtest-grid":
+        found = anomaly.backtest_grid(
+            anomaly.slot_metrics(feed, messages, p), p, args.factors, args.widths
+        )
+        found.write.mode("overwrite").parquet(f"{args.target}/anomaly_backtest_grid")
     elif args.job == "alert-corrections":
         jobs.run_late_corrections(
             feed,

@@ -9,7 +9,8 @@ however many steps follow.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -138,8 +139,8 @@ def _per_metric(frame: DataFrame, *names: str) -> DataFrame:
     return frame.select(*shared, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
-def _band(p: Params) -> list[Column]:
-    """Band columns from ``stats``.
+def _band(p: Params, factor: Column | None = None) -> list[Column]:
+    """Band columns from ``stats``, by the factor of the parameters or another one.
 
     One undefined value in the sample leaves the whole band undefined, and so
     does an empty sample; ``percentile`` alone would skip the undefined value.
@@ -148,12 +149,13 @@ def _band(p: Params) -> list[Column]:
     usable = (rows > 0) & (rows == F.col("stats.defined"))
     q25, q75 = F.when(usable, quartiles[0]), F.when(usable, quartiles[1])
     iqr = q75 - q25
+    a = F.lit(p.iqr_a) if factor is None else factor
     return [
         q25.alias("q25"),
         q75.alias("q75"),
         iqr.alias("iqr"),
-        (q25 - p.iqr_a * iqr).alias("low"),
-        (q75 + p.iqr_a * iqr).alias("up"),
+        (q25 - a * iqr).alias("low"),
+        (q75 + a * iqr).alias("up"),
     ]
 
 
@@ -188,12 +190,15 @@ def iqr_bands(slots: DataFrame, days: Column, p: Params) -> DataFrame:
     )
 
 
+def _outside() -> Column:
+    return (F.col("value") > F.col("up")) | (F.col("value") < F.col("low"))
+
+
 def _flagged(bands: DataFrame) -> DataFrame:
-    outside = (F.col("value") > F.col("up")) | (F.col("value") < F.col("low"))
     return bands.withColumns(
         {
             "is_undefined": F.col("value").isNull(),
-            "is_anomaly": F.coalesce(outside, F.lit(False)),
+            "is_anomaly": F.coalesce(_outside(), F.lit(False)),
         }
     )
 
@@ -209,6 +214,54 @@ def anomaly_backtest(slots: DataFrame, p: Params) -> DataFrame:
     return _flagged(iqr_bands(slots, following_days(p), p))
 
 
+def backtest_grid(
+    slots: DataFrame, p: Params, factors: Sequence[float], widths: Sequence[int]
+) -> DataFrame:
+    """What `anomaly_backtest` would flag for every factor and neighbourhood width.
+
+    Per ``iqr_a, neighbour_slots, metric, event_date``: the ``slots`` of the day, those
+    ``with_band`` and those ``flagged``. Slots meet their history of the greatest
+    width once; a narrower one is the rings of it that lie closer on the clock.
+    """
+    per_day = p.slots_per_day
+    ring = f"least(pmod(slot - centre, {per_day}), pmod(centre - slot, {per_day}))"
+    by_centre = (
+        _look_backs(slots, following_days(p), replace(p, neighbour_slots=max(widths)))
+        .withColumn("ring", F.expr(ring))
+        .groupBy("centre")
+        .agg(
+            _of_own("period").alias("period"),
+            *[_of_own(m).alias(f"value_{m}") for m in ALERT_METRICS],
+            *[
+                _stats(m, f"{EARLIER} AND ring <= {width}").alias(f"within{width}_{m}")
+                for width in widths
+                for m in ALERT_METRICS
+            ],
+        )
+        .where(F.col("period").isNotNull())
+    )
+    names = [f"within{width}" for width in widths]
+    each = ", ".join(
+        f"struct({width} AS neighbour_slots, {name} AS stats)"
+        for width, name in zip(widths, names, strict=True)
+    )
+    rows = (
+        _per_metric(by_centre, "value", *names)
+        .select("period", "metric", "value", F.expr(f"inline(array({each}))"))
+        .select("*", F.explode(F.array(*(F.lit(float(a)) for a in factors))).alias("iqr_a"))
+    )
+    low, up = _band(p, F.col("iqr_a"))[-2:]
+    return (
+        rows.select("period", "metric", "value", "neighbour_slots", "iqr_a", low, up)
+        .groupBy("iqr_a", "neighbour_slots", "metric", F.to_date("period").alias("event_date"))
+        .agg(
+            F.count("*").alias("slots"),
+            F.count("low").alias("with_band"),
+            F.count_if(_outside()).alias("flagged"),
+        )
+    )
+
+
 def alert_messages(bands: DataFrame, last_only: bool = True) -> DataFrame:
     """One message per flagged metric, from `iqr_bands`.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import event_date, week_start
 from tidemark.functions.numbers import ratio
 
+
 def user_weeks(events: DataFrame) -> DataFrame:
     """Users and the weeks of their events: all the cohorts need. Rows may repeat."""
     return events.select("user_id", week_start(event_date()).alias("week"))
@@ -27,12 +28,9 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
 
     A user's weeks meet in one set, one entry per week the user was active, whose
     smallest entry is the first week; so everything takes one shuffle by user.
-    From there on there is one row per week. Each week also passes its
-    active users on to the calendar week after it; a week following a gap
-    hence finds none and counts 0.
+    From there on there is one row per week.
     """
-    none = F.lit(0).cast("bigint")
-    counts = (
+    return dynamics(
         weeks.groupBy("user_id")
         .agg(F.collect_set("week").alias("weeks"))
         .select(
@@ -44,6 +42,15 @@ def weekly_dynamics(weeks: DataFrame) -> DataFrame:
             F.count_if(F.col("week") == F.col("first_week")).alias("new_users"),
         )
     )
+
+
+def dynamics(counts: DataFrame) -> DataFrame:
+    """`weekly_dynamics` from ``week, active_users, new_users``.
+
+    Each week also passes its active users on to the calendar week after it; a
+    week following a gap hence finds none and counts 0.
+    """
+    none = F.lit(0).cast("bigint")
     this_week = F.struct("week", "active_users", "new_users", none.alias("previous_users"))
     next_week = F.struct(
         F.date_add("week", 7).alias("week"),

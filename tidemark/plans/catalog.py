@@ -48,6 +48,8 @@ TEST_RUN = Params(
     min_sent_exclusive=1,
     min_country_users=6,
 )
+# The factors and widths that a grid of back-tests compares.
+TEST_FACTORS, TEST_WIDTHS = (1.5, 2.0, 3.0), (1, 3, 6)
 # On that day, a run at this time finds its newest slot outside its band.
 TEST_RUN_AT = datetime(2024, 1, 30, 16, 30)
 
@@ -356,6 +358,12 @@ def _(t):
     return anomaly.anomaly_backtest(anomaly.slot_metrics(t.feed, t.messages, P), P)
 
 
+@_query("anomaly_backtest_grid")
+def _(t):
+    slots = anomaly.slot_metrics(t.feed, t.messages, P)
+    return anomaly.backtest_grid(slots, P, TEST_FACTORS, TEST_WIDTHS)
+
+
 # The same from rows kept between runs; the store is filled by an earlier run.
 
 
@@ -406,6 +414,17 @@ def _(t):
     return cohorts.weekly_dynamics(user_days.user_weeks(base))
 
 
+@_query("weekly_from_seen")
+def _(t):
+    store = shared_folder(t.spark, "seen")
+    for late, p in ((False, replace(P, as_of=P.day(9))), (True, P)):
+        _load(t, store, late)
+        (feed, _), _ = _loaded(t, store)
+        sources = load_sources(t.spark, [f"{store}/feed"])
+        weekly = jobs.seen_weekly_dynamics(feed, p, f"{store}/seen", sources, buckets=8)
+    return weekly
+
+
 @_query("alert_run")
 def _(t):
     target = shared_folder(t.spark, "alert-run")

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 
 def _with(*parts: str) -> str:
-    return "with " + ",\n".join(parts) + "\n"
+    """Steps of a query, each worked out once however the query is wrapped."""
+    named = [part.replace(" as (", " as materialized (", 1) for part in parts]
+    return "with " + ",\n".join(named) + "\n"
 
 
 def _user(account: str) -> str:
@@ -351,8 +353,14 @@ def _slots(days: str, closed: str = "true") -> list[str]:
     ]
 
 
-NEAR = """c.metric = h.metric and h.period < c.period
-    and least((c.clock - h.clock + 96) % 96, (h.clock - c.clock + 96) % 96) <= 3"""
+def _steps(width: int) -> str:
+    """Every slot once per clock time that it is near to, and how near."""
+    return f"""steps as (
+  select *, abs(step) as distance, (clock + step + 96) % 96 as near_clock
+  from (select *, unnest(range(-{width}, {width + 1})) as step from series))"""
+
+
+NEAR = "c.metric = h.metric and c.clock = h.near_clock and h.period < c.period"
 
 
 def _quantile(value: str, q: float) -> str:
@@ -363,10 +371,11 @@ def _quantile(value: str, q: float) -> str:
 
 def _bands(extra: str = "") -> list[str]:
     return [
+        _steps(3),
         f"""quart as (
   select c.period, c.metric, {_quantile('h.value', 0.25)} as q25,
     {_quantile('h.value', 0.75)} as q75
-  from series c join series h on {NEAR} {extra} group by c.period, c.metric)""",
+  from series c join steps h on {NEAR} {extra} group by c.period, c.metric)""",
         """bands as (
   select s.period, s.metric, s.value, s.age, q25, q75, q75 - q25 as iqr,
     q25 - 2 * (q75 - q25) as low, q75 + 2 * (q75 - q25) as up,
@@ -403,6 +412,31 @@ _flags = (
 CHECK_SQL["anomaly_flags"] = _with(*_slots(ALERT_DAYS), *_bands()) + _flags + " where age = 1"
 OWN_DAYS = "and c.event_date - h.event_date in (0, 1, 7, 8, 14, 15)"
 CHECK_SQL["anomaly_backtest"] = _with(*_slots("true"), *_bands(OWN_DAYS)) + _flags
+# The widths and factors of a grid of back-tests.
+GRID_WIDTHS, GRID_FACTORS = (1, 3, 6), (1.5, 2.0, 3.0)
+GRID = [
+    _steps(max(GRID_WIDTHS)),
+    f"""wide as (
+  select c.period, c.metric, w.width, {_quantile('h.value', 0.25)} as q25,
+    {_quantile('h.value', 0.75)} as q75
+  from series c join steps h on {NEAR} {OWN_DAYS}
+  join (select unnest({list(GRID_WIDTHS)}) as width) w on h.distance <= w.width
+  group by c.period, c.metric, w.width)""",
+    f"""judged as (
+  select f.a, w.width, s.metric, s.event_date, s.value, q25 - f.a * (q75 - q25) as low,
+    q75 + f.a * (q75 - q25) as up
+  from series s
+  cross join (select unnest({list(GRID_WIDTHS)}) as width) w
+  cross join (select cast(unnest({list(GRID_FACTORS)}) as double) as a) f
+  left join wide on wide.period = s.period and wide.metric = s.metric and wide.width = w.width)""",
+]
+CHECK_SQL["anomaly_backtest_grid"] = (
+    _with(*_slots("true"), *GRID)
+    + """select a as iqr_a, cast(width as int) as neighbour_slots, metric, event_date,
+  count(*) as slots, count(low) as with_band,
+  count(*) filter (value > up or value < low) as flagged
+from judged group by a, width, metric, event_date"""
+)
 
 MESSAGES = """told as (
   select now.period, now.metric, now.value, now.age, v2.value as reported_value,
@@ -438,6 +472,7 @@ CHECK_SQL["alert_run"] = (
 )
 CHECK_SQL["slots_from_store"] = CHECK_SQL["slot_metrics_15m"]
 CHECK_SQL["weekly_from_store"] = CHECK_SQL["feed_weekly_dynamics"]
+CHECK_SQL["weekly_from_seen"] = CHECK_SQL["feed_weekly_dynamics"]
 
 # The streams emit the slots that ended an hour before the newest event of the
 # service that is behind; watermarks keep whole milliseconds.
@@ -451,10 +486,11 @@ CHECK_SQL["stream_alerts"] = (
 CHECK_SQL["stream_alerts_late"] = CHECK_SQL["stream_alerts"]
 
 CHART = [
+    _steps(3),
     """given as (
   select c.metric, c.period as centre, h.period, h.value,
     max(h.period) over (partition by c.metric, c.period) as target
-  from series c join series h on """
+  from series c join steps h on """
     + NEAR
     + """ where c.age <= 101)""",
     f"""given_bands as (
@@ -469,7 +505,7 @@ CHART = [
   union all
   select c.metric, c.period, c.period, {_quantile('h.value', 0.25)},
     {_quantile('h.value', 0.75)}
-  from series c left join series h on {NEAR} where c.age = 1
+  from series c left join steps h on {NEAR} where c.age = 1
   group by c.metric, c.period)""",
     """raw as (
   select metric, period, centre, q25, q75, q75 - q25 as iqr,

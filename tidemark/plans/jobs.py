@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.calendar import on_days, runs, up_to
+from tidemark.functions.calendar import ONE_DAY, on_days, runs, up_to
 from tidemark.operators import activity, anomaly, cohorts, reports, services, slices, user_days
 from tidemark.operators.filters import in_alert_days, on_yesterday
 from tidemark.params import Params
+from tidemark.plans import seen
 from tidemark.plans.kept import KeptDays, Sources, day_sources
 from tidemark.streaming import alerts as stream_alerts
 
@@ -83,6 +84,24 @@ def kept_user_days(
     return kept.rows(past, make).unionByName(make([p.as_of]))
 
 
+def seen_weekly_dynamics(
+    events: DataFrame, p: Params, store: str, sources: Sources, buckets: int = 64
+) -> DataFrame:
+    """`cohorts.weekly_dynamics` of a table up to the run's day, without its history.
+
+    Only weeks whose events have changed are read; `store` keeps the users of each
+    week and when each user was first seen. `sources` tells what the days of the
+    table consist of.
+    """
+
+    def make(weeks: Sequence[date]) -> DataFrame:
+        days = [week + i * ONE_DAY for week in weeks for i in range(7)]
+        return cohorts.user_weeks(on_days(events, runs(day for day in days if day <= p.as_of)))
+
+    kept = seen.SeenUsers(events.sparkSession, store, buckets)
+    return seen.weekly_dynamics(*kept.update(seen.week_sources(sources, p.as_of), make))
+
+
 def _usage_counts(
     base: DataFrame,
     feed: DataFrame,

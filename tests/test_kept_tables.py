@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -13,10 +14,10 @@ from pyspark.sql import types as T
 from tests.rows import dicts, feed, messages
 from tests.test_sources_and_jobs import some_rows
 from tidemark.functions.calendar import on_days
-from tidemark.operators import anomaly, cohorts
+from tidemark.operators import anomaly, cohorts, slices
 from tidemark.params import Params
 from tidemark.plans import jobs, seen
-from tidemark.sources import loads
+from tidemark.sources import loads, tables
 from tidemark.sources.tables import (
     FEED_ACTIONS,
     MESSAGE_ACTIONS,
@@ -64,6 +65,58 @@ def test_a_load_counts_once_it_is_whole_and_days_are_listed_alone(spark, tmp_pat
     assert loads.load_sources(spark, [path, f"{tmp_path}/none"]) is None
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_damaged_rows_are_set_aside_with_their_reason(spark, tmp_path, fmt):
+    names = FEED_ACTIONS.names
+    good = [1, "2024-01-29 10:00:00", "view", 0, 20, "iOS", "Peru", "ads"]
+    rows = [good, [2, *good[1:]], [3, "yesterday", *good[2:]], [None, *good[1:]], [4, None, *good[2:]]]
+    source = tmp_path / "in"
+    source.mkdir()
+    if fmt == "csv":
+        lines = [",".join("" if v is None else str(v) for v in row) for row in rows] + ["x,y"]
+    else:
+        lines = [json.dumps(dict(zip(names, row, strict=True))) for row in rows] + ["{broken"]
+    (source / "rows").write_text("\n".join(lines) + "\n")
+    path, aside = f"{tmp_path}/feed", f"{tmp_path}/aside"
+    counts = tables.load_sifted(spark, FEED_ACTIONS, str(source), fmt, path, aside)
+    assert counts == {"kept": 2, "unreadable": 2, "no user_id": 1, "no time": 1}
+    assert sum(counts.values()) == len(lines)
+    assert users(read_events(spark, FEED_ACTIONS, path)) == [1, 2]
+    found = spark.read.parquet(aside).collect()
+    assert len(found) == 4 and all(r.raw and r.file.endswith("rows") for r in found)
+    assert any(lines[-1] in r.raw for r in found if r.reason == "unreadable")
+
+
+def test_days_of_slices_are_published_together(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "slices")
+    days = [date(2024, 1, 28), date(2024, 1, 29)]
+
+    def of(n, *some):
+        rows = [(day, "os", "iOS", n, 0, 0, 0, 0, 0) for day in some]
+        return spark.createDataFrame(rows, slices.SLICE_METRICS)
+
+    def held():
+        return [r[3] for r in sorted(map(tuple, slices.read_slices(spark, path).collect()))]
+
+    slices.write_slices(of(1, *days), path, days)
+    publish = slices._publish
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(slices, "_publish", killed)
+    with pytest.raises(KeyboardInterrupt):
+        slices.write_slices(of(2, *days), path, days)
+    assert held() == [1, 1]
+    monkeypatch.setattr(slices, "_publish", publish)
+    slices.write_slices(of(3, *days), path, days)
+    assert held() == [3, 3]
+    slices.write_slices(of(4, days[0]), path, days)
+    assert held() == [4]
+    slices.write_slices(of(5, days[1]), path)
+    assert held() == [4, 5]
+
+
 LOG = T.StructType([T.StructField("period", T.TimestampType()), T.StructField("x", T.LongType())])
 
 

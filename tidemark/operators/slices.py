@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ SLICE_METRICS = T.StructType(
     ]
 )
 
+# The version of a day that counts is the one with the highest number.
+PUBLISHED = "number long, version string, event_date date"
+
 
 def _label(dimension: str) -> Column:
     """The slice value as text; gender codes are spelled out, others kept."""
@@ -67,26 +72,53 @@ def slice_metrics(totals: DataFrame) -> DataFrame:
 def write_slices(slices: DataFrame, path: str, days: Sequence[date] = ()) -> None:
     """Write days of slices, replacing those days and leaving all others.
 
-    `days` are replaced even if there is no row for them, by an empty file: a
-    day whose events are gone must not keep its old slices.
+    `days` are replaced even if there is no row for them: a day whose events are
+    gone must not keep its old slices. A repeated run therefore never doubles a
+    day. A day has a few hundred rows, so each goes into one file, sorted by slice.
 
-    A repeated run therefore never doubles a day. A day has a few hundred
-    rows, so each goes into one file, sorted by slice.
+    The rows lie in a new version of each day, and one file then names the version
+    for all of them: readers see all days of a run or none. What it replaced
+    stays until someone deletes it. One run at a time writes.
     """
-    spark = slices.sparkSession
-    for day in days:
-        empty = spark.createDataFrame([], SLICE_METRICS).drop("event_date")
-        empty.write.mode("overwrite").parquet(f"{path}/event_date={day}")
+    version = uuid.uuid4().hex
     (
         _to_target(slices)
+        .withColumn("version", F.lit(version))
         .repartition("event_date")
         .sortWithinPartitions("event_date", "dimension", "dimension_value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
+        .write.mode("append")
+        .partitionBy("event_date", "version")
         .parquet(path)
     )
+    spark = slices.sparkSession
+    written = _versions(spark, path).where(F.col("version") == version)
+    found = {row.event_date for row in written.select("event_date").distinct().collect()}
+    _publish(spark, path, version, sorted({*found, *days}))
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(T.StructType([*SLICE_METRICS]).add("version", "string")).parquet(path)
+
+
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(PUBLISHED).parquet(f"{path}/_published")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PUBLISHED)
+
+
+def _publish(spark: SparkSession, path: str, version: str, days: Sequence[date]) -> None:
+    number = (_published(spark, path).agg(F.max("number")).first()[0] or 0) + 1
+    rows = spark.createDataFrame([(number, version, day) for day in days], PUBLISHED)
+    rows.coalesce(1).write.mode("append").parquet(f"{path}/_published")
 
 
 def read_slices(spark: SparkSession, path: str) -> DataFrame:
-    return _to_target(spark.read.schema(SLICE_METRICS).parquet(path))
+    """The published version of every day."""
+    newest = _published(spark, path).groupBy("event_date").agg(
+        F.max_by("version", "number").alias("version")
+    )
+    rows = _versions(spark, path).join(newest, ["event_date", "version"], "left_semi")
+    return _to_target(rows)

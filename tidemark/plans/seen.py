@@ -73,7 +73,8 @@ class SeenUsers:
 
     def merge(self, version: int, weeks: DataFrame) -> DataFrame:
         """The users of a version with those of some weeks (``event_date, user_id``)."""
-        new = weeks.groupBy("user_id").agg(
+        # Dealt like the buckets, so that the join needs no other order on either side.
+        new = weeks.repartition(self._buckets, "user_id").groupBy("user_id").agg(
             F.min("event_date").alias("new_first"), F.max("event_date").alias("new_last")
         )
         if not version:
@@ -130,9 +131,9 @@ class SeenUsers:
     def _write(self, users: DataFrame, version: int, sources: Sources) -> None:
         name = f"tidemark_seen_{sha256(f'{self._path} {version} write'.encode()).hexdigest()[:24]}"
         self._spark.sql(f"DROP TABLE IF EXISTS {name}")
+        # The rows of a task are those of one bucket already.
         (
-            users.repartition(self._buckets, "user_id")
-            .write.mode("overwrite")
+            users.write.mode("overwrite")
             .bucketBy(self._buckets, "user_id")
             .sortBy("user_id")
             .option("path", f"{self._path}/users/version={version}")

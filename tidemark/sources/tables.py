@@ -38,6 +38,9 @@ MESSAGE_ACTIONS = T.StructType(
     ]
 )
 
+# Where Spark leaves a row that does not fit.
+RAW = "_raw"
+
 
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast ``frame`` to ``schema``, keeping an ``event_date`` partition column."""
@@ -78,6 +81,55 @@ def read_events(
     return conform(reader.load(path) if path else reader.load(), schema)
 
 
+def sift_events(
+    spark: SparkSession, schema: T.StructType, path: str, fmt: str, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """The events of csv or json files, and the rows that are damaged.
+
+    A row is damaged if it cannot be read as `schema` (``reason`` "unreadable"), or has
+    no user or no time ("no user_id", "no time"), without which it counts nowhere;
+    ``raw`` is the row as it stands in the file, ``file`` its name. Every row is in
+    exactly one of the two.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError("only csv and json have rows that do not fit their schema")
+    marked = T.StructType([*schema, T.StructField(RAW, T.StringType())])
+    rows = (
+        spark.read.format(fmt)
+        .options(**{**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW})
+        .schema(marked)
+        .load(path)
+        .withColumn("file", F.col("_metadata.file_path"))
+    )
+    reason = (
+        F.when(F.col(RAW).isNotNull(), "unreadable")
+        .when(F.col("user_id").isNull(), "no user_id")
+        .when(F.col("time").isNull(), "no time")
+    )
+    sifted = rows.withColumn("reason", reason)
+    raw = F.coalesce(F.col(RAW), F.to_json(F.struct(*schema.names)))
+    damaged = sifted.where(F.col("reason").isNotNull()).select(
+        F.to_date("time").alias("event_date"), "file", "reason", raw.alias("raw")
+    )
+    return conform(sifted.where(F.col("reason").isNull()), schema), damaged
+
+
+def load_sifted(
+    spark: SparkSession, schema: T.StructType, source: str, fmt: str, path: str, aside: str,
+    **options: str,
+) -> dict[str, int]:
+    """Append the sound rows of files to the event table at `path`, the others to `aside`.
+
+    Returns how many rows were ``kept`` and how many were set aside, by reason. The rows
+    set aside stay with their reason and file, for a load of their own once they are mended.
+    """
+    sound, damaged = sift_events(spark, schema, source, fmt, **options)
+    damaged.write.mode("append").partitionBy("reason").parquet(aside)
+    append_events(sound, schema, path)
+    counts = {row.reason: row["count"] for row in damaged.groupBy("reason").count().collect()}
+    return {"kept": sound.count(), **counts}
+
+
 def stream_events(
     spark: SparkSession,
     schema: T.StructType,

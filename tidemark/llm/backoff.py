@@ -10,9 +10,9 @@ known words and the unknown one add up to 1 in every state.
 
 As an automaton: n-grams are states, an arc carries the log probability of a
 word, and the failure arc of a state carries log m to the state of h'. A text
-is read once from left to right, starting in the state of a text's end. As the
-state after a word is the longest known n-gram that ends there, all positions of
-a block move on together: each takes its arc, or its failure arc and tries again.
+is read once from left to right, starting in the state of a text's end: its state
+takes the arc of the next word, or its failure arc and tries again from there.
+All texts of a block are read side by side, each with a state of its own.
 
 The n-grams of a corpus fit no machine, so none holds them. Documents are put
 into blocks; each block sends the hashes of its distinct n-grams with their
@@ -80,8 +80,9 @@ class Grams:
     """The distinct n-grams of one order in a block.
 
     `at` gives the n-gram that ends at each position (-1: none there), `context`
-    and `word` its parts, `suffix` the n-gram without its first word. `keys` are
-    the distinct hashes, `key_of` the place of each n-gram among them.
+    and `word` its parts, by which n-grams are sorted, `suffix` the n-gram without its
+    first word. `keys` are the distinct hashes, `key_of` the place of each n-gram
+    among them.
     """
 
     at: np.ndarray
@@ -392,32 +393,65 @@ class Automaton:
                 self.failures.append(np.log10(mass[n + 1][size_class(total)]))
         self.unknown = float(np.log10(mass[0, 0]))
 
-    def states(self, first: np.ndarray, end: int) -> np.ndarray:
-        """The order of the state before each position; `first` marks where texts start."""
-        order = np.zeros(len(first), np.int64)
-        for n, g in enumerate(self.grams[:-1], 1):
-            order[(g.at >= 0) & self.known[n - 1][g.at]] = n
-        state = np.concatenate([[0], order[:-1]])
-        state[first] = min(int(self.known[0][end]), len(self.grams) - 1)
-        return state
+        words = len(grams[0].word)
+        self._arc_of = [g.context.astype(np.int64) * words + g.word for g in grams]
 
-    def read(self, first: np.ndarray, end: int) -> np.ndarray:
-        """What each position adds to the log10 probability of its text."""
-        state = self.states(first, end)
-        total = np.zeros(len(first))
-        moving = np.ones(len(first), bool)
+    def start(self, end: int, texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Order and n-gram of the state after a text's end, once for each of some texts."""
+        order = min(int(self.known[0][end]), len(self.grams) - 1)
+        return np.full(texts, order), np.full(texts, end if order else 0)
+
+    def step(self, order: np.ndarray, state: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Moves each state on by a word, in place; what that adds to the log10 probability."""
+        total = np.zeros(len(words))
+        moving = np.arange(len(words))
         for n in range(len(self.grams) - 1, -1, -1):
-            g = self.grams[n]
-            here = np.flatnonzero(moving & (state == n))
-            found = self.known[n][g.at[here]]
-            total[here[found]] += self.arcs[n][g.at[here[found]]]
-            moving[here[found]] = False
+            own = order[moving] == n
+            here = moving[own]
+            if not len(here):
+                continue
+            if n:
+                wanted = state[here].astype(np.int64) * len(self.known[0]) + words[here]
+                arc = np.minimum(np.searchsorted(self._arc_of[n], wanted), len(self._arc_of[n]) - 1)
+                found = (self._arc_of[n][arc] == wanted) & self.known[n][arc]
+            else:
+                arc = words[here]
+                found = self.known[0][arc]
+            taken, arc = here[found], arc[found]
+            total[taken] += self.arcs[n][arc]
+            # The longest n-gram that ends here and is a state.
+            if n + 1 < len(self.grams):
+                order[taken], state[taken] = n + 1, arc
+            else:
+                order[taken], state[taken] = n, self.grams[n].suffix[arc] if n else 0
             stuck = here[~found]
             if n:
-                total[stuck] += self.failures[n - 1][g.context[g.at[stuck]]]
-                state[stuck] = n - 1
+                total[stuck] += self.failures[n - 1][state[stuck]]
+                order[stuck] = n - 1
+                state[stuck] = self.grams[n - 1].suffix[state[stuck]]
             else:
                 total[stuck] += self.unknown
+                state[stuck] = 0
+            moving = np.concatenate([moving[~own], stuck])
+        return total
+
+    def read(self, first: np.ndarray, end: int) -> np.ndarray:
+        """What each position adds to the log10 probability of its text.
+
+        `first` marks where the block's texts start; they are read from left to right.
+        """
+        tokens = self.grams[0].at
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(tokens)))
+        # The longest first, so that those with a next word are always in front.
+        longest = np.argsort(-sizes, kind="stable")
+        places = starts[longest]
+        left = np.searchsorted(-sizes[longest], -np.arange(sizes.max(initial=0)), "left")
+        order, state = self.start(end, len(sizes))
+        total = np.zeros(len(tokens))
+        for at, many in enumerate(left.tolist()):
+            here = places[:many] + at
+            total[here] = self.step(order[:many], state[:many], tokens[here])
         return total
 
 

@@ -88,15 +88,32 @@ def assign(docs: DataFrame, limit: int) -> DataFrame:
 
 
 def _pages(rows: DataFrame, limit: int) -> DataFrame:
-    """Rows of buckets that no bit parts, filled into pages."""
-    bucket = Window.partitionBy("hash")
-    order = bucket.orderBy("n_bytes", "doc_id")
-    before = F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    room = F.lit(limit) - F.max("n_bytes").over(bucket)
+    """Rows of buckets that no bit parts, filled into pages.
+
+    Such a bucket may hold a third of all rows. `rows` is a written table, so what a
+    task reads of it does not change: a bucket's rows are numbered task by task, and
+    each task's part begins where the sums of those before it end.
+    """
+    rows = rows.withColumn("task", F.spark_partition_id())
+    part, bucket = Window.partitionBy("hash", "task"), Window.partitionBy("hash")
+    sums = rows.groupBy("hash", "task").agg(
+        F.sum("n_bytes").alias("bytes"), F.count("*").alias("rows"), F.max("n_bytes").alias("most")
+    )
+    earlier = bucket.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "hash", "task",
+        F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
+        (F.lit(limit) - F.max("most").over(bucket)).alias("room"),
+    )
+    order = part.orderBy("n_bytes", "doc_id")
+    own = F.coalesce(F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = rows.withColumns({"own": own, "number": F.row_number().over(order)})
+    before = F.col("bytes_before") + F.col("own")
     page = F.when(
-        room * 2 >= limit, F.floor(F.coalesce(before, F.lit(0)) / F.greatest(room, F.lit(1)))
-    ).otherwise(F.row_number().over(order) - 1)
-    return rows.select(
+        F.col("room") * 2 >= limit, F.floor(before / F.greatest("room", F.lit(1)))
+    ).otherwise(F.col("rows_before") + F.col("number") - 1)
+    return numbered.join(offsets, ["hash", "task"]).select(
         "doc_id", "n_bytes", F.lit(HASH_BITS).alias("local_depth"), "hash",
         page.cast("int").alias("page"),
     )

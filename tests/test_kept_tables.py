@@ -8,6 +8,7 @@ from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,7 @@ from tidemark.operators import anomaly, cohorts, slices
 from tidemark.params import Params
 from tidemark.plans import jobs, seen
 from tidemark.sources import loads, tables
+from tidemark.sources.scratch import run_folder, shared_folder
 from tidemark.sources.tables import (
     FEED_ACTIONS,
     MESSAGE_ACTIONS,
@@ -199,6 +201,21 @@ def test_late_rows_give_the_slots_and_alerts_of_all_rows(spark, tmp_path):
     assert correct()[0] == [date(2024, 1, 28)]
 
 
+def test_a_run_leaves_no_steps_behind(spark, tmp_path):
+    with run_folder(spark) as folder:
+        first = f"{shared_folder(spark, 'step')}"
+        assert first.startswith(f"{folder}/step-")
+        spark.range(5).write.parquet(first)
+        with run_folder(spark, "inner") as inner:
+            spark.range(3).write.parquet(f"{inner}/x")
+        spark.read.parquet(first).write.parquet(f"{tmp_path}/result")
+    assert not shared_folder(spark, "step").startswith(folder)
+    assert spark.read.parquet(f"{tmp_path}/result").count() == 5
+    for gone in (first, inner):
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(gone)
+
+
 def scans_below(plan: str, node: str) -> list[bool]:
     """For each scan of the table of users, whether a node of that name is above it."""
     found, above = [], []

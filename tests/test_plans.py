@@ -170,13 +170,15 @@ def test_the_app_report_reads_each_event_table_once(spark, tmp_path, monkeypatch
 
 
 def test_stored_stream_slots_are_pruned_by_day(spark, tmp_path):
-    from datetime import date
+    from datetime import date, datetime
 
-    from tidemark.streaming.alerts import stored_slots
+    from tidemark.streaming.alerts import slot_log, stored_slots
+    from tidemark.streaming.slots import SLOT_METRICS
 
-    row = spark.sql("select date'2024-01-30' as event_date, '1015' as slot, 1L as views")
+    day, period = date(2024, 1, 30), datetime(2024, 1, 30, 10, 15)
+    row = spark.createDataFrame([(day, period, "10:15", 1, 1, 1, 0, 0.0, 1)], SLOT_METRICS)
     path = str(tmp_path / "slots")
-    row.write.partitionBy("event_date", "slot").parquet(path)
+    slot_log(spark, path).add(row, [day])
     frame = stored_slots(spark, path, date(2024, 1, 14))
     assert frame.count() == 1
     (filters,) = [line for line in plan(frame).splitlines() if "PartitionFilters" in line]

@@ -101,7 +101,7 @@ def loaded_events(
 ) -> DataFrame | None:
     """The events of the loads that count; None if the table has no table of loads.
 
-    With `days` only the folders of their loads are listed.
+    Only the folders of these loads are listed, with `days` only those of the days.
     """
     loads = live_loads(spark, path, days)
     if loads is None:
@@ -113,9 +113,6 @@ def loaded_events(
             T.StructField("load", T.StringType()),
         ]
     )
-    if days is None:
-        events = spark.read.schema(laid_out).parquet(path)
-        return events.join(loads.drop("number"), ["event_date", "load"], "left_semi").drop("load")
     folders = [f"{path}/event_date={row.event_date}/load={row.load}" for row in loads.collect()]
     if not folders:
         return spark.createDataFrame([], laid_out).drop("load")

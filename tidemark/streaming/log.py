@@ -14,12 +14,15 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.scratch import delete
+
 FILES = 8
 
 
@@ -102,12 +105,5 @@ class SlotLog:
             return
         rows = self._counting(written.where(F.col("event_date").isin(list(full))))
         self._append(rows, F.col("version") + 1)
-        _delete(self._spark, [name for names in full.values() for name in names])
-
-
-def _delete(spark: SparkSession, files: list[str]) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    settings = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in files:
-        path = hadoop.Path(spark.sparkContext._jvm.java.net.URI(name))
-        path.getFileSystem(settings).delete(path, False)
+        # File names are given as in a URI.
+        delete(self._spark, [unquote(name) for names in full.values() for name in names])

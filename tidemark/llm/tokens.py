@@ -37,8 +37,8 @@ class WordEncoder:
 
     A tokenizer that treats white space as a separator gives a text the ids of
     its words, one after the other, and most words of a corpus come back. So
-    the ids of recent words are kept, and those of the pieces that the
-    pre-tokenizer cuts words into, each in two generations of about `room` bytes.
+    the ids of recent words are kept, in two generations of about `room` bytes,
+    and those of the pieces that the pre-tokenizer cuts words into, in half of that.
     The ids are those of ``Tokenizer.encode`` over the whole text.
 
     Words of printable ASCII and Latin-1 letters, on which lower case and
@@ -46,7 +46,7 @@ class WordEncoder:
     others pass through its normalizer and pre-tokenizer.
     """
 
-    def __init__(self, path: str, room: int = 128 << 20) -> None:
+    def __init__(self, path: str, room: int = 88 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,7 +56,7 @@ class WordEncoder:
         plain = PLAIN - {name[0] for name in special}
         self._plain = re.compile(f"[{re.escape(''.join(plain))}]+").fullmatch
         self._words = Recent(self._word, room)
-        self._pieces = Recent(self._piece, room)
+        self._pieces = Recent(self._piece, room // 2)
         self._model_of = self._tokenizer.model.tokenize
         split = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self._cut = regex.compile(split["pattern"]["Regex"]).findall

@@ -5,6 +5,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.samples import documents, folder, odd_rows, prose, row
@@ -131,6 +132,30 @@ def test_a_reader_opens_only_the_frames_it_needs(spark, tmp_path, tokenizer, mon
     assert len(reader.seek) > len(opened) == 1
 
 
+def test_small_files_share_a_list_and_a_reading_task(spark, tmp_path, tokenizer, monkeypatch):
+    rows = odd_rows() + [row(100 + i, prose(i, 50)) for i in range(80)]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        files = frames.write_token_files(
+            documents(spark, rows), queries.TOKENIZER, 2, str(tmp_path / "files")
+        )
+    finally:
+        spark.conf.unset(setting)
+    written = files.collect()
+    assert len(written) > 4 and len(files.inputFiles()) == 1
+    read = []
+    for tokens, tasks in ((1, len(written)), (1 << 30, 1)):
+        monkeypatch.setattr(frames, "READ_TOKENS", tokens)
+        found = frames.read_token_files(files).withColumn("task", F.spark_partition_id()).collect()
+        assert len({r.task for r in found}) == tasks
+        assert [r.start for r in found] == sorted(r.start for r in found)
+        read.append(sorted(repr((r.doc_id, r.start, r.n_tokens, r.ids)) for r in found))
+        ids = b"".join(r.ids for r in sorted(found, key=lambda r: r.start))
+        assert len(ids) == 4 * sum(f.tokens for f in written)
+    assert read[0] == read[1] and len(read[0]) == len(rows)
+
+
 def test_a_damaged_frame_is_noticed(tmp_path):
     path = tmp_path / "x"
     with open(path, "wb") as out:

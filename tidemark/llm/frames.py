@@ -49,6 +49,8 @@ FOOTER = struct.Struct("<IBI")
 SKIPPABLE = struct.Struct("<II")
 
 FRAME_TOKENS = 65_536
+# A task reads whole files; of small ones those that start within so many tokens.
+READ_TOKENS = 1 << 20
 
 Document = tuple[int | None, bytes]
 
@@ -171,7 +173,8 @@ def write_token_files(
     ``file_no, path, documents, tokens, start`` (tokens in the files before).
     A repeated task writes a new file, and only files of tasks that ended well
     are listed. No documents: no files. `path` is a folder that all executors
-    reach, of any kind that pyarrow's file systems know.
+    reach, of any kind that pyarrow's file systems know. The list has a row for
+    each file and is itself written as one file.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +209,8 @@ def write_token_files(
         docs.select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange(F.asc_nulls_first("doc_id"))
         .sortWithinPartitions(F.asc_nulls_first("doc_id"))
-        .mapInArrow(write, "file_no long, path string, documents long, tokens long"),
+        .mapInArrow(write, "file_no long, path string, documents long, tokens long")
+        .repartition(1),
         "token-files",
     )
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
@@ -218,6 +222,7 @@ def read_token_files(files: DataFrame, wanted: Iterable[int] | None = None) -> D
 
     ``start`` counts the tokens of all documents before it over all files. With
     `wanted`, a short list of ids, only these, and only their frames are read.
+    Files that start within the same `READ_TOKENS` tokens are read by one task.
     """
     chosen = None if wanted is None else set(wanted)
 
@@ -235,10 +240,13 @@ def read_token_files(files: DataFrame, wanted: Iterable[int] | None = None) -> D
                             yield _rows(reader.frame(k), start, chosen)
                         start += entry[4]
 
-    many = max(1, files.count())
+    dealt = files.select(
+        "file_no", "path", "start", F.floor(F.col("start") / READ_TOKENS).alias("part")
+    )
+    many = max(1, dealt.select("part").distinct().count())
     return (
-        files.select("file_no", "path", "start")
-        .repartitionByRange(many, "file_no")
+        dealt.repartitionByRange(many, "part")
+        .sortWithinPartitions("file_no")
         .mapInPandas(read, "doc_id long, start long, n_tokens long, ids binary")
     )
 

@@ -37,6 +37,15 @@ def test_words_have_the_ids_of_the_whole_text(tokenizer):
             assert ids == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_of_letters_are_remembered_once():
+    encoder = WordEncoder(queries.TOKENIZER, 10_000)
+    text = "river Étude, étude river's rivers"
+    first = encoder.encode(text)
+    words = {w.encode() for w in text.split()} | {"étude".encode()}
+    assert set(encoder._words) == words and set(encoder._pieces) == {",", "'s"}
+    assert encoder.encode(text) == first
+
+
 def test_all_pieces_of_all_documents_are_packed_without_gaps(spark, tmp_path, tokenizer):
     rows = odd_rows() + [row(100 + i, prose(i, 40 + 37 * i % 900)) for i in range(150)]
     sf_dir = folder(spark, tmp_path, documents=documents(spark, rows))

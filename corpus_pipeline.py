@@ -94,9 +94,10 @@ def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The place of every piece of every document.
 
     Null and empty texts are the end token alone; repeated rows and null ids are
-    documents of their own. No rows give no rows; other columns are not kept.
+    documents of their own. No rows give no rows; other columns are not kept. Tasks do
+    not keep their words, as all stages share the Python workers.
     """
-    return queries.packed(docs)
+    return queries.packed(docs, keep_words=False)
 
 
 STAGES = [

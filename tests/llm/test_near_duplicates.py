@@ -6,6 +6,7 @@ import json
 import random
 from collections import Counter, defaultdict
 from hashlib import blake2b, sha256
+from pathlib import Path
 from zlib import crc32
 
 import pytest
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tests.llm.samples import documents, odd_rows, prose, row
 from tidemark.llm import buckets, chat, forest, graph, merkle, mixing
+from tidemark.llm.shared import stored
+from tidemark.sources import scratch
 
 
 def shingle_set(text, size):
@@ -70,6 +73,42 @@ def test_components_are_those_of_all_pairs(spark, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_small_steps_have_no_file_per_shuffle_partition(spark):
+    rng = random.Random(5)
+    texts = [prose(i, 60) for i in range(60)]
+    for edits in (1, 4):
+        texts += edited_copies(rng, prose(500, 150), 60, edits)
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    settings = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        with scratch.run_folder(spark) as steps:
+            found = forest.near_duplicates(documents(spark, rows), 5)
+            got = sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in found.collect())
+            parts = {p.name: len(list(p.glob("part-*"))) for p in Path(steps).iterdir()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == sorted(map(repr, true_components(rows, 5)))
+    named = {name.rsplit("-", 1)[0] for name in parts}
+    assert {"classes", "nearest", "hooked", "firsts", "sharing", "named-classes"} <= named
+    assert max(parts.values()) <= cores
+
+
+def test_files_of_a_step_are_sized_by_its_rows(spark):
+    frame = spark.range(3000).repartition(40, "id")
+    cores = spark.sparkContext.defaultParallelism
+    for rows, files in ((None, 40), (0, cores), (3000, max(30, cores)), (9000, 40)):
+        found = stored(frame, "sized", rows, 100)
+        assert len(found.inputFiles()) == files and found.distinct().count() == 3000
+
+
 def test_components_of_paths_stars_and_cliques(spark):
     links = [(i, i + 1) for i in range(100, 160)]
     links += [(7, i) for i in range(200, 260)] + [(i, j) for i in range(30) for j in range(i)]

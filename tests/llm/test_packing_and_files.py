@@ -1,16 +1,19 @@
 from __future__ import annotations
 
+import shutil
 from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tests.llm.samples import documents, folder, odd_rows, prose, row
 from tidemark.llm import frames, packing, queries
-from tidemark.llm.tokens import WordEncoder
+from tidemark.llm.tokens import WordEncoder, word_encoder
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +49,25 @@ def test_words_of_letters_are_remembered_once():
     assert encoder.encode(text) == first
 
 
+def test_the_words_of_the_pipeline_go_with_the_task(spark, tmp_path, monkeypatch):
+    path = shutil.copy(queries.TOKENIZER, tmp_path / "own.json")
+    monkeypatch.setattr(queries, "TOKENIZER", str(path))
+    docs = documents(spark, [row(i, prose(i, 50)) for i in range(80)]).repartition(8)
+
+    def words(batches):
+        kept = word_encoder(str(path))._words
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(kept)] * batch.num_rows)], ["n"])
+
+    def kept():
+        return spark.range(80).repartition(8).mapInArrow(words, "n long").agg({"n": "max"}).first()[0]
+
+    left = corpus_pipeline.sequence_packing(spark, docs, "")
+    left = sorted(map(repr, left.collect()))
+    assert len(left) == 80 and kept() == 0
+    assert sorted(map(repr, queries.packed(docs).collect())) == left and kept() > 0
+
+
 def test_all_pieces_of_all_documents_are_packed_without_gaps(spark, tmp_path, tokenizer):
     rows = odd_rows() + [row(100 + i, prose(i, 40 + 37 * i % 900)) for i in range(150)]
     sf_dir = folder(spark, tmp_path, documents=documents(spark, rows))

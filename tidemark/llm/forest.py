@@ -63,6 +63,8 @@ SECOND_VALUES, SECOND_AGREEING = VALUES, 176
 SHORT_VALUES, PAIRS_AT_ONCE = 64, 1 << 16
 # Classes with one shingle beyond which its pairs are made by several tasks.
 CELL_ROWS = 2048
+# Pairs whose texts are compared, and classes whose shingles are ordered, by one task.
+PAIRS_A_TASK, SETS_A_TASK = 512, 512
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20240131)
@@ -332,7 +334,7 @@ def sharing(first: DataFrame, classes: DataFrame, turn: str) -> DataFrame:
     `classes` has ``node, label, hub, short``. The classes with a shingle are dealt into parts; any
     two parts meet in a cell, and only the pairs leave it.
     """
-    rows = stored(first.join(classes, "node"), "shingles")
+    rows = stored(first.join(classes, "node"), "shingles", rows=first.count())
     shared = (
         rows.groupBy("shingle")
         .agg(
@@ -437,9 +439,11 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
             F.min(F.struct("doc_id", "text_key")).alias("own"),
         ),
         "classes",
+        rows=rows.count(),
     )
+    n_classes = classes.count()
     start = classes.withColumns({"label": F.col("node"), "full": F.lit(False)})
-    nearest = stored(candidates(start, second=False), "nearest")
+    nearest = stored(candidates(start, second=False), "nearest", rows=n_classes)
     ends = nearest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     full = nearest.where("a = b and agreeing = 1").select(F.col("a").alias("node"))
     classes = stored(
@@ -447,7 +451,9 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         .join(full.distinct().withColumn("full", F.lit(True)), "node", "left")
         .withColumn("full", F.coalesce("full", F.lit(False))),
         "candidate-classes",
+        rows=n_classes,
     )
+    n_classes = classes.count()
     # One document stands for its class, so that no text moves once per copy.
     one = classes.select(
         "node", F.col("own.doc_id").alias("own_id"), F.col("own.text_key").alias("own_key")
@@ -459,6 +465,7 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         .groupBy("node")
         .agg(F.first("text").alias("text")),
         "candidate-texts",
+        rows=n_classes,
     )
     nearest = nearest.where("a != b").select("a", "b", "agreeing")
     both = nearest.union(nearest.select("b", "a", "agreeing")).toDF("node", "other", "agreeing")
@@ -473,13 +480,14 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         .distinct()
     )
-    tried = stored(chosen, "tried")
-    found = stored(confirmed(tried, texts, words), "links")
-    labels = stored(components(found), "labels")
+    tried = stored(chosen, "tried", rows=2 * n_classes)
+    found = _links(tried, texts, words)
+    labels = stored(components(found), "labels", rows=n_classes)
     relabelled = classes.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    second = stored(candidates(stored(relabelled, "relabelled"), second=True), "second")
+    relabelled = stored(relabelled, "relabelled", rows=n_classes)
+    second = stored(candidates(relabelled, second=True), "second", rows=n_classes)
     scaled = F.expr(f"cast(agreeing * {SECOND_VALUES} / {FIRST_VALUES} as int)")
     dense = classes.where("full").select("node")
     untried = nearest.withColumn("agreeing", scaled).join(tried, ["a", "b"], "left_anti")
@@ -492,20 +500,28 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
         .groupBy("a", "b", "la", "lb")
         .agg(F.max("agreeing").alias("agreeing")),
         "apart",
+        rows=nearest.count() + second.count(),
     )
+    n_pairs = pairs.count()
     best = F.max_by(F.struct("a", "b"), F.struct("agreeing", "a", "b")).alias("pair")
-    new = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried")
-    fresh = stored(confirmed(new, texts, words), "links")
+    new = stored(pairs.groupBy("la", "lb").agg(best).select("pair.*"), "tried", rows=n_pairs)
+    fresh = _links(new, texts, words)
     found, labels = found.union(fresh), joined(labels, fresh)
-    rest = stored(_apart(pairs.join(new, ["a", "b"], "left_anti"), labels), "apart")
-    fresh = stored(confirmed(rest, texts, words), "links")
+    rest = stored(
+        _apart(pairs.join(new, ["a", "b"], "left_anti"), labels), "apart", rows=n_pairs
+    )
+    fresh = _links(rest, texts, words)
     found, labels = found.union(fresh), joined(labels, fresh)
 
     over = second.where("a = b").select(F.col("a").alias("node"))
-    full = stored(dense.union(over).distinct(), "full")
-    if full.isEmpty():
+    full = stored(dense.union(over).distinct(), "full", rows=n_classes)
+    n_full = full.count()
+    if not n_full:
         return labels
-    first = stored(firsts(texts.join(full, "node", "left_semi"), words), "firsts")
+    first = stored(
+        firsts(texts.join(full, "node", "left_semi"), words), "firsts", n_full, SETS_A_TASK
+    )
+    n_first = first.count()
     done = None
     for turn in ("hubs", "one", "all"):
         hub = _hubs(found, labels).withColumn("hub", F.lit(True))
@@ -520,16 +536,24 @@ def linked(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
             )
         )
         pairs = sharing(first, marked, turn)
-        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "sharing")
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "sharing", rows=n_first)
         done = pairs if done is None else done.union(pairs)
-        fresh = stored(confirmed(pairs, texts, words), "links")
+        fresh = _links(pairs, texts, words)
         found, labels = found.union(fresh), joined(labels, fresh)
     return labels
 
 
+def _links(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The stored pairs that are `confirmed`, stored."""
+    return stored(confirmed(pairs, texts, words), "links", pairs.count(), PAIRS_A_TASK)
+
+
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels once the ends of some more links are joined."""
-    if links.isEmpty():
+    n_links = links.count()
+    if not n_links:
         return labels
     between = _apart(links.withColumn("agreeing", F.lit(0)), labels)
     merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
@@ -542,6 +566,7 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
             "node", F.coalesce("to", "label").alias("label")
         ),
         "labels",
+        rows=labels.count() + 2 * n_links,
     )
 
 
@@ -588,7 +613,8 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     names = (
         least.join(labels, "node").groupBy("label").agg(F.min("least").alias("component_id"))
     )
-    members = labels.join(stored(names, "component-names"), "label").drop("label")
+    names = stored(names, "component-names", rows=labels.count())
+    members = labels.join(names, "label").drop("label")
     named = stored(
         least.join(members, "node", "left").select(
             "node",
@@ -597,6 +623,7 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
             .alias("component_id"),
         ),
         "named-classes",
+        rows=rows.count(),
     )
     return (
         rows.join(named, "node", "left")

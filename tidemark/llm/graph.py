@@ -51,7 +51,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = stored(_contracted(links), "links")
     rounds = []
-    while not links.isEmpty():
+    while n_links := links.count():
         both = links.union(links.select("b", "a"))
         parents = (
             both.groupBy("a")
@@ -59,7 +59,9 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("a").alias("node"), F.least("a", "least").alias("parent"))
         )
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("label"))
-        hooked = stored(parents.join(up, "parent").select("node", "label"), "hooked")
+        hooked = stored(
+            parents.join(up, "parent").select("node", "label"), "hooked", rows=2 * n_links
+        )
         rounds.append(hooked)
         links = stored(
             links.join(hooked.toDF("a", "la"), "a")
@@ -68,6 +70,7 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
             .distinct(),
             "links",
+            rows=n_links,
         )
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("label"))

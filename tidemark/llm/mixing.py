@@ -182,11 +182,14 @@ def mixed(
         ),
         "sized",
     )
-    leaves = stored(sized.groupBy(*path).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    leaves = sized.groupBy(*path).agg(F.sum("n_tokens").alias("tokens"))
+    leaves = stored(leaves, "leaves", rows=sized.count())
     if total is None:
         total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * (100 if share is None else share) // 100
     limit = stored(
-        limits(sized, path, seed, budgets(leaves, path, weights, total, max_epochs)), "limits"
+        limits(sized, path, seed, budgets(leaves, path, weights, total, max_epochs)),
+        "limits",
+        rows=leaves.count(),
     )
     leaf, epochs, last, times = unused(docs.columns, "leaf", "epochs", "last", "times")
     key = order_key(seed, F.col(epochs), F.col("doc_id"))

@@ -21,22 +21,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import kind_of, small_batches, unused
-from tidemark.llm.tokens import ID_BYTES, ID_TYPE, packed, word_encoder
+from tidemark.llm.tokens import ID_BYTES, ID_TYPE, WordEncoder, packed, word_encoder
 
 GROUP_ROWS = 16_384
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep_words: bool = True
+) -> DataFrame:
     """One row per document, or per piece of `capacity` tokens of a longer one.
 
     Columns: ``doc_id``, ``piece`` (from 0), ``start`` (ids of the document before
     the piece), ``length`` and ``ids`` (little-endian unsigned 32-bit). Every
     document ends with `end_id`; a null or empty text is that id alone. A null
-    or repeated ``doc_id`` is a document of its own.
+    or repeated ``doc_id`` is a document of its own. Python workers keep the words they
+    have met for their next tasks; without `keep_words` each task gives them up at its
+    end, for jobs whose other steps need that memory.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
+        try:
+            yield from pieces(encoder, batches)
+        finally:
+            if not keep_words:
+                encoder.forget()
+                pa.default_memory_pool().release_unused()
+
+    def pieces(
+        encoder: WordEncoder, batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         end = packed([end_id])
         step = capacity * ID_BYTES
         for batch in small_batches(batches):

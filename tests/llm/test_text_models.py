@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 
 from tests.llm.samples import documents, folder, odd_rows, prose, row
 from tidemark.llm import backoff, discriminant, queries
+from tidemark.sources import scratch
 
 END = b"\n"
 
@@ -158,3 +160,12 @@ def test_one_class_alone_rejects_nothing(spark):
     rows, labels = labelled(30)
     only = spark.createDataFrame([l for l in labels if l[1]], "doc_id long, quality int, toxic int")
     assert discriminant.fit(documents(spark, rows), only) is None
+
+
+def test_the_two_python_steps_of_the_classifier_are_in_tasks_of_their_own(spark):
+    rows = [row(i, prose(i, 20 + i)) for i in range(30)] + [row(None, prose(77, 20))]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    with scratch.run_folder(spark) as steps:
+        assert discriminant.fit(documents(spark, rows), labels) is not None
+        (written,) = Path(steps).iterdir()
+        assert spark.read.parquet(str(written)).count() == 30

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import stored
 from tidemark.llm.tokens import words_of
 
 UPPER, LOWER = slice(65, 91), slice(97, 123)
@@ -132,9 +133,13 @@ def fit(
         return pd.Series(list(matrix(text)))
 
     known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
+    # Written, since two Python steps in a task would take two workers, which then stay.
+    measurements = stored(
+        docs.where("doc_id is not null").select("doc_id", measured("text").alias("x")),
+        "measurements",
+    )
     rows = (
-        docs.select("doc_id", measured("text").alias("x"))
-        .join(known, "doc_id")
+        measurements.join(known, "doc_id")
         .select("quality", "x")
         .mapInPandas(sums, shape)
         .groupBy("label")

@@ -13,6 +13,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.samples import documents, folder, odd_rows, prose, row
 from tidemark.llm import frames, packing, queries
+from tidemark.llm.memory import Recent
+from tidemark.llm.shared import sized_batches
 from tidemark.llm.tokens import WordEncoder, word_encoder
 
 
@@ -49,6 +51,45 @@ def test_words_of_letters_are_remembered_once():
     assert encoder.encode(text) == first
 
 
+def test_texts_coded_together_have_the_ids_of_each(tokenizer):
+    texts = [None, *(r[1] for r in odd_rows()), "", " \x0b\x1c ", "a\x85b\xa0c\x1fd e\0 \0. É\u0301", 
+        "  Étude...  étude' l'été! 'sx''s x<|endoftext|> <pad> a<b. 12. ***a a*** ÿ, ß× ｶ。 Ÿ",
+    ]
+    for keep in (10_000, 3):
+        encoder = WordEncoder(queries.TOKENIZER, keep)
+        for column in (
+            pa.array(texts), pa.array(texts).slice(2), pa.array(texts, pa.large_string()),
+            pa.array(["", None], pa.string()), pa.array([], pa.string()),
+        ):
+            found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(column)]
+            assert found == [
+                tokenizer.encode(text or "", add_special_tokens=False).ids
+                for text in column.to_pylist()
+            ]
+
+
+def test_words_of_texts_coded_together_are_cut_once(monkeypatch):
+    encoder = WordEncoder(queries.TOKENIZER, 10_000)
+    cut = []
+    monkeypatch.setattr(encoder, "_piece", lambda p, piece=encoder._piece: cut.append(p) or piece(p))
+    monkeypatch.setattr(encoder, "_pieces", Recent(encoder._piece, 10_000))
+    texts = ["river Étude, étude... RIVER river. 2024", None, "River, rivers étude, river's 2024"]
+    first = encoder.encode_all(pa.array(texts))
+    kept = {"river", "rivers", "étude", "river's", "2024", ""}
+    assert set(encoder._words) == {word.encode() for word in kept}
+    once = ["river", "rivers", "étude", "'s", "2", "0", "4", ",", ".", "..."]
+    assert sorted(cut) == sorted(once)
+    assert encoder.encode_all(pa.array(texts)) == first == list(map(encoder.encode, texts))
+    assert sorted(cut) == sorted(once)
+
+
+def test_texts_are_sliced_by_their_bytes():
+    texts = ["é" * 6, None, "", "b" * 30, "c", "d" * 7, "e"]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(7)), "text": texts})
+    found = [b.column("n").to_pylist() for b in sized_batches([batch, batch[:0]], "text", 10)]
+    assert found == [[0], [1, 2, 3], [4, 5], [6], []]
+
+
 def test_the_words_of_the_pipeline_go_with_the_task(spark, tmp_path, monkeypatch):
     path = shutil.copy(queries.TOKENIZER, tmp_path / "own.json")
     monkeypatch.setattr(queries, "TOKENIZER", str(path))

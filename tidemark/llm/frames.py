@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import small_batches, stored
+from tidemark.llm.shared import sized_batches, stored
 from tidemark.llm.tokens import ID_BYTES, packed, word_encoder
 from tidemark.sources.scratch import shared_folder
 
@@ -183,15 +183,16 @@ def write_token_files(
         number = TaskContext.get().partitionId()
         name = f"{path}/{number:06d}-{uuid.uuid4().hex}.ids.zst"
         writer = None
-        for batch in small_batches(batches):
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for batch in sized_batches(batches, "text"):
+            doc_ids, coded = batch.column("doc_id"), encoder.encode_all(batch.column("text"))
+            for doc_id, ids in zip(doc_ids.to_pylist(), coded, strict=True):
                 if writer is None:
                     files, inner = _filesystem(name)
                     files.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                     # The name's ending must not make the stream compress once more.
                     out = files.open_output_stream(inner, compression=None)
                     writer = FrameWriter(out, frame_tokens)
-                writer.add(doc_id, encoder.encode(text) + end)
+                writer.add(doc_id, ids + end)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pylist(

@@ -169,3 +169,22 @@ def test_the_two_python_steps_of_the_classifier_are_in_tasks_of_their_own(spark)
         assert discriminant.fit(documents(spark, rows), labels) is not None
         (written,) = Path(steps).iterdir()
         assert spark.read.parquet(str(written)).count() == 30
+
+
+def test_scores_hang_on_rows_and_not_on_their_files(spark):
+    rows = [row(i, prose(i, 20 + 7 * i % 90)) for i in range(300)]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(300)]
+    models = []
+    for parts, order in ((1, 1), (7, -1)):
+        docs = documents(spark, rows[::order]).repartition(parts)
+        known = spark.createDataFrame(labels[::order], "doc_id long, quality int, toxic int")
+        models.append(discriminant.fit(docs, known))
+    for name in ("means", "factors", "constants"):
+        assert getattr(models[0], name).tolist() == getattr(models[1], name).tolist()
+    x = discriminant.matrix([r[1] for r in rows])
+    for n in (1, 2, 5, 64):
+        apart = [models[0].score(x[at : at + n]) for at in range(0, len(x), n)]
+        assert np.concatenate(apart).tolist() == models[0].score(x).tolist()
+    for low in models[0].factors:
+        z = np.array(discriminant.solved(low, x.T))
+        assert np.allclose(low @ z, x.T, rtol=1e-12, atol=1e-12)

@@ -81,19 +81,30 @@ class Discriminant:
         before it is squashed, so that clear cases still differ.
         """
         density = [
-            c - 0.5 * (np.linalg.solve(low, (x - m).T) ** 2).sum(axis=0)
+            c - 0.5 * sum(z * z for z in solved(low, (x - m).T))
             for m, low, c in zip(self.means, self.factors, self.constants, strict=True)
         ]
         return 1 / (1 + np.exp(np.clip((density[0] - density[1]) / x.shape[1], -500, 500)))
 
 
+def solved(low: np.ndarray, right: np.ndarray) -> list[np.ndarray]:
+    """The rows of z with low @ z = right; a column's last digits hang on no other column."""
+    z: list[np.ndarray] = []
+    for row, own in zip(low, right, strict=True):
+        for factor, known in zip(row, z, strict=False):
+            own = own - factor * known
+        z.append(own / row[len(z)])
+    return z
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, to_pooled: float = 0.1, to_identity: float = 0.01
 ) -> Discriminant | None:
     """The model from all documents with a label (``doc_id``, ``quality``).
 
     Null ids and null labels teach nothing, a repeated row counts each time.
-    None if a class has no row.
+    None if a class has no row. Sums of doubles hang on their order, so rows are dealt by id
+    and sorted, and the sums of tasks are added in an order of theirs: files do not matter.
     """
     shape = "label int, n long, total array<double>, squares array<double>"
 
@@ -109,12 +120,14 @@ def fit(
         yield packed_sums(total)
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        parts = sorted(zip(*(map(tuple, group[c]) for c in ("total", "squares")), strict=True))
+        total, squares = zip(*parts, strict=True)
         return pd.DataFrame(
             {
                 "label": [key[0]],
                 "n": [group["n"].sum()],
-                "total": [np.sum(group["total"].to_list(), axis=0)],
-                "squares": [np.sum(group["squares"].to_list(), axis=0)],
+                "total": [np.sum(total, axis=0)],
+                "squares": [np.sum(squares, axis=0)],
             }
         )
 
@@ -138,8 +151,11 @@ def fit(
         docs.where("doc_id is not null").select("doc_id", measured("text").alias("x")),
         "measurements",
     )
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
         measurements.join(known, "doc_id")
+        .repartition(parts, "doc_id")
+        .sortWithinPartitions("doc_id", "quality", "x")
         .select("quality", "x")
         .mapInPandas(sums, shape)
         .groupBy("label")
